@@ -89,11 +89,12 @@ def held_out(parts: int, rest: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, at_most: int) -> DataFrame:
-    """(text, label) of about at_most labelled rows outside the held-out quarter, chosen by a hash of doc_id.
+    """(doc_id, text, y) of about at_most labelled rows outside the held-out quarter, chosen by a hash of doc_id.
 
-    Whole rows are taken or left by the hash, so a run over the same tables learns from the same rows."""
-    labels = labels.where(F.col(label).isNotNull() & ~held_out(4, 2)).groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y"))
+    Whole rows are taken or left by the hash, so a run over the same tables learns from the same rows. The labels taken are
+    few whatever the input's size, which is why they, not the texts, are sent around."""
+    labels = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(4, 2)).groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y"))
     n = labels.count()
     if n > at_most:
         labels = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * at_most / n))
-    return docs.select("doc_id", "text").join(labels, "doc_id")
+    return docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")

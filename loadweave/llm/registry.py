@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bytebpe
+from . import bytebpe, toxicity
 
-_MODULES = (bytebpe,)
+_MODULES = (bytebpe, toxicity)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
