@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bytebpe, quality, toxicity
+from . import bytebpe, language, quality, toxicity
 
-_MODULES = (bytebpe, quality, toxicity)
+_MODULES = (quality, bytebpe, language, toxicity)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
