@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_of, map_batches, table, texts_of
+from .common import column_of, map_batches, table, texts_of, widened
 
 #: Stretches whose ids a worker keeps in each of two generations.
 CACHE_ENTRIES = 300_000
@@ -201,8 +201,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], [*part.schema.names, "ids", "ids_le", "decoded"])
 
     kept = docs.drop("ids", "ids_le", "decoded")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "ids array<int>", "ids_le binary", "decoded binary"])
-    return map_batches(kept, run, schema)
+    return map_batches(kept, run, widened(kept, "ids array<int>, ids_le binary, decoded binary"))
 
 
 _made: dict[int, Codec] = {}

@@ -29,6 +29,11 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     return df.mapInArrow(fn, schema)
 
 
+def widened(df: DataFrame, more: str) -> T.StructType:
+    """df's schema and then the columns of a DDL string."""
+    return T.StructType([*df.schema.fields, *T.StructType.fromDDL(more).fields])
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Whole texts; null is empty."""
     return ["" if x is None else x for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]

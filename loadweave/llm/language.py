@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_of, held_out, map_batches, table
+from .common import column_of, held_out, map_batches, table, widened
 
 #: Documents that the probabilities are learned from, at most (about), and different words of each language, at most.
 MAX_LEARNED, MAX_WORDS = 4000, 30_000
@@ -204,7 +204,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 langs, scores = identifier.predict([t or "" for t in column_of(part, "text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs), pa.array(scores)], [*part.schema.names, "lang_pred", "lang_score"])
 
-    return map_batches(kept, run, kept.schema.add("lang_pred", "string").add("lang_score", "double"))
+    return map_batches(kept, run, widened(kept, "lang_pred string, lang_score double"))
 
 
 def fit_on(docs: DataFrame, learn: Column, path: str | None = None, at_most: int = MAX_LEARNED) -> Model:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import flat_bytes, held_out, labelled_sample, map_batches, table
+from .common import flat_bytes, held_out, labelled_sample, map_batches, table, widened
 
 #: Labelled documents that the model is fitted on, at most (about).
 MAX_LABELLED = 20_000
@@ -262,7 +262,7 @@ def features(docs: DataFrame) -> DataFrame:
                 x = measure(*flat_bytes(part))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(x), pa.list_(pa.float64()))], [*part.schema.names, "quality_features"])
 
-    return map_batches(kept, run, kept.schema.add("quality_features", "array<double>"))
+    return map_batches(kept, run, widened(kept, "quality_features array<double>"))
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, at_most: int = MAX_LABELLED) -> Model:
@@ -282,7 +282,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 part = batch.slice(k, 250)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(model.score(measure(*flat_bytes(part))))], [*part.schema.names, "quality_score"])
 
-    return map_batches(kept, run, kept.schema.add("quality_score", "double"))
+    return map_batches(kept, run, widened(kept, "quality_score double"))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, labelled_sample, map_batches, table, texts_of
+from .common import held_out, labelled_sample, map_batches, table, texts_of, widened
 
 #: Labelled documents that the model is fitted on, at most (about).
 MAX_LABELLED = 5000
@@ -247,7 +247,7 @@ class _Tagger:
 def tag(docs: DataFrame, model: Model) -> DataFrame:
     """docs with `toxicity` (0 to 1) and `toxic_spans`. Offsets are into the lower-cased text, which has the same length but for a few letters such as the dotted capital I."""
     kept = docs.drop("toxicity", "toxic_spans")
-    schema = kept.schema.add("toxicity", "double").add("toxic_spans", "array<struct<start:int,end:int,p:double>>")
+    schema = widened(kept, "toxicity double, toxic_spans array<struct<start:int,end:int,p:double>>")
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
