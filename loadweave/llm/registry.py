@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bytebpe, language, quality, secrets, toxicity
+from . import bytebpe, language, quality, secrets, simhash, toxicity
 
-_MODULES = (quality, bytebpe, language, toxicity, secrets)
+_MODULES = (quality, bytebpe, simhash, language, toxicity, secrets)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
