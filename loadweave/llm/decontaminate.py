@@ -223,6 +223,12 @@ def contaminated(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE,
     return out.where((F.col("coverage") >= coverage) & ((F.col("consistency") >= consistency) | F.col("verbatim")))
 
 
+def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of docs, unchanged, that no item contaminates."""
+    bad = contaminated(docs, items).select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import column_of, map_batches, settled, table, widened
@@ -157,6 +157,17 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     return rows.join(of_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def representatives(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """The rows of docs, unchanged, of one document of each component: that of the smallest doc_id, and one row of it.
+
+    Rows without a doc_id cannot stand for others and are kept."""
+    found = near_duplicates(docs, radius)
+    chosen = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_chosen")).distinct()
+    own = docs.join(chosen, F.col("doc_id") == F.col("_chosen"), "left_semi")
+    one = own.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("_row = 1").drop("_row")
+    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")

@@ -261,6 +261,19 @@ def tag(docs: DataFrame, model: Model) -> DataFrame:
     return map_batches(kept, run, schema)
 
 
+def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs, unchanged, whose toxicity is under the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tagger = _Tagger(model)
+        for batch in batches:
+            for k in range(0, batch.num_rows, 250):
+                part = batch.slice(k, 250)
+                yield part.filter(pa.array(tagger.score(texts_of(part))[0] < threshold))
+
+    return map_batches(docs, run, docs.schema)
+
+
 def fit_on(docs: DataFrame, labels: DataFrame, at_most: int = MAX_LABELLED) -> Model:
     """Learns from about at_most of the labelled rows that are not held out."""
     return fit([(r["text"], r["y"]) for r in labelled_sample(docs, labels, "toxic", at_most).select("text", "y").orderBy("doc_id").collect()])
