@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bytebpe, decontaminate, language, licences, quality, secrets, simhash, toxicity
+from . import bytebpe, decontaminate, language, licences, mtree, quality, secrets, simhash, toxicity
 
-_MODULES = (quality, bytebpe, simhash, language, licences, decontaminate, toxicity, secrets)
+_MODULES = (mtree, quality, bytebpe, simhash, language, licences, decontaminate, toxicity, secrets)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
