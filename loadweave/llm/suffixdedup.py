@@ -38,7 +38,7 @@ from .common import column_of, flat_bytes, map_batches, table
 LENGTH, GRAM = 100, 32
 _GRAMS = LENGTH - GRAM + 1
 #: Bytes of text that a task works on at once; of text that a packed partition stands for; most surroundings of a gram there.
-PIECE, SHARE, HOT = 4 << 20, 16 << 20, 20_000
+PIECE, SHARE, HOT = 1 << 20, 8 << 20, 20_000
 #: Bits of the table of repeated grams, at most: 32 MB. Fuller tables let more anchors through to round 2, where unique ones drop out.
 TABLE_BITS = 1 << 28
 FIRST = -(1 << 63)
@@ -310,15 +310,17 @@ def _repeats(docs: DataFrame, tables: tuple[bytes, bytes], parts: int) -> DataFr
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([0] * len(out), pa.int64()), pa.array([0] * len(out), pa.int64()), pa.array([p for _, p in out], pa.binary())], ["bucket", "doc_id", "mark", "payload"])
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
+        # Packed rows wait as they are; one bucket at a time is opened.
+        held: dict[int, list[bytes]] = {}
         for batch in batches:
             bucket = batch.column(0).to_numpy()
             if len(done := np.flatnonzero(bucket < 0)):
                 yield batch.take(pa.array(done))
             for k in np.flatnonzero(bucket >= 0).tolist():
-                held.append(_unpack(batch.column(3)[k].as_py(), *_MEMBER))
-        if held:
-            yield from _rank(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held.setdefault(int(bucket[k]), []).append(batch.column(3)[k].as_py())
+        while held:
+            _, own = held.popitem()
+            yield from _rank(*(np.concatenate(x) for x in zip(*(_unpack(p, *_MEMBER) for p in own), strict=True)))
 
     packed = map_batches(_input(docs), give, _ROW)
     # Ranges that are settled go to any task; packed anchors go by their grams.
@@ -326,24 +328,25 @@ def _repeats(docs: DataFrame, tables: tuple[bytes, bytes], parts: int) -> DataFr
     return dealt.mapInArrow(rank, _ROW).select("doc_id", "mark", "payload")
 
 
+def _slices(width: np.ndarray) -> Iterator[slice]:
+    """Slices of rows of up to PIECE bytes together, or one row."""
+    ends, low = np.cumsum(width), 0
+    while low < len(width):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PIECE, side="right")))
+        yield slice(low, high)
+        low = high
+
+
 def _rank(gram: np.ndarray, doc: np.ndarray, mark: np.ndarray, start: np.ndarray, offset: np.ndarray, extra: np.ndarray, data: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rounds 2 and 3 among anchors that include all of each gram. extra: windows less one; data: their bytes, end to end."""
     width = extra.astype(np.int64) + LENGTH
     ends = np.cumsum(width)
     begins = ends - width
-    shape, windows = np.zeros(len(gram), np.uint64), []
-    low = 0
-    while low < len(gram):
-        high = max(low + 1, int(np.searchsorted(ends, begins[low] + PIECE, side="right")))
-        own = slice(low, high)
-        base = begins[low]
-        sums = _sums(data[base : ends[high - 1]])
+    shape = np.zeros(len(gram), np.uint64)
+    for own in _slices(width):
+        base = begins[own][0]
+        sums = _sums(data[base : ends[own][-1]])
         shape[own] = _mixed(_fingerprint(sums, begins[own] - base, ends[own] - base) + offset[own].astype(np.uint64))
-        n = extra[own].astype(np.int64) + 1
-        at = np.repeat(begins[own] - base, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        windows.append(_fingerprint(sums, at, at + LENGTH))
-        low = high
-    windows = np.concatenate(windows)
     order = np.lexsort((start, doc, shape, gram))
     lead = np.append(True, (gram[order][1:] != gram[order][:-1]) | (shape[order][1:] != shape[order][:-1]))
     best = order[np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))]
@@ -357,11 +360,18 @@ def _rank(gram: np.ndarray, doc: np.ndarray, mark: np.ndarray, start: np.ndarray
     firsts = np.sort(firsts[np.isin(gram[firsts], several)])
     if not len(firsts):
         return
-    n = extra.astype(np.int64) + 1
-    where = np.cumsum(n) - n
-    own = np.repeat(firsts, n[firsts])
-    step = np.arange(len(own)) - np.repeat(np.cumsum(n[firsts]) - n[firsts], n[firsts])
-    window, place = windows[where[own] + step], start[own] + step
+    n = extra[firsts].astype(np.int64) + 1
+    windows = []
+    for part in _slices(width[firsts]):
+        m, size = firsts[part], width[firsts[part]]
+        at = np.cumsum(size) - size
+        inside = np.arange(int(size.sum())) - np.repeat(at, size)
+        sums = _sums(data[np.repeat(begins[m], size) + inside])
+        at = np.repeat(at, n[part]) + np.arange(int(n[part].sum())) - np.repeat(np.cumsum(n[part]) - n[part], n[part])
+        windows.append(_fingerprint(sums, at, at + LENGTH))
+    own = np.repeat(firsts, n)
+    step = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
+    window, place = np.concatenate(windows), start[own] + step
     # The offset of the anchor in the window: counted from the anchor, windows of any surroundings compare.
     key = _mixed(window + gram[own] * _U(0x9E3779B97F4A7C15) + (offset[own].astype(np.int64) - step).astype(np.uint64))
     order = np.lexsort((place, doc[own], key))
