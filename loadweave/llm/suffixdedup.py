@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_of, flat_bytes, map_batches, table
+from .common import column_of, flat_bytes, map_batches, settled, table
 
 LENGTH, GRAM = 100, 32
 _GRAMS = LENGTH - GRAM + 1
@@ -406,7 +406,8 @@ def _hot_repeats(docs: DataFrame, tables: tuple[bytes, bytes]) -> DataFrame:
             values = (_mixed(a.gram[own] + offset.astype(np.uint64)).view(np.int64), window.view(np.int64), ids[row], marks[row], a.starts()[own] + step)
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], ["gram", "window", "doc_id", "mark", "place"])
 
-    windows = map_batches(_input(docs), give, "gram long, window long, doc_id long, mark long, place long")
+    # Read twice below, so written once.
+    windows = settled(map_batches(_input(docs), give, "gram long, window long, doc_id long, mark long, place long"))
     first = windows.groupBy("gram", "window").agg(F.min(F.struct("doc_id", "place")).alias("first"))
     later = windows.join(first, ["gram", "window"]).where(F.struct("doc_id", "place") != F.col("first"))
     spans = later.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list("place")).alias("places"))
