@@ -49,7 +49,8 @@ def manifest(spark: SparkSession, path: str, **values: object) -> None:
 
 def html_table(df: DataFrame, title: str, at_most: int = 200) -> str:
     """A small table as HTML; cells are escaped in the plan."""
-    cells = [F.coalesce(html_escape(F.when(F.lit(t in ("double", "float")), F.format_number(F.col(f"`{c}`").try_cast("double"), 3)).otherwise(F.col(f"`{c}`").cast("string"))), F.lit("n/a")).alias(c) for c, t in df.dtypes]
+    shown = lambda c, t: F.format_number(F.col(f"`{c}`"), 3) if t in ("double", "float") else F.col(f"`{c}`").cast("string")
+    cells = [F.coalesce(html_escape(shown(c, t)), F.lit("n/a")).alias(c) for c, t in df.dtypes]
     rows = df.select(*cells).limit(at_most).collect()
     head = "".join(f"<th>{c}</th>" for c in df.columns)
     body = "".join("<tr>" + "".join(f"<td>{v}</td>" for v in r) + "</tr>" for r in rows)
