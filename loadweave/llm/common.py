@@ -94,12 +94,14 @@ def held_out(parts: int, rest: int) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, at_most: int) -> DataFrame:
-    """(doc_id, text, y) of about at_most labelled rows outside the held-out quarter, chosen by a hash of doc_id.
+    """(doc_id, text, y, w) of labelled rows outside the held-out quarter, chosen by a hash of doc_id: about at_most / 2 with
+    each label at most. w is how many labelled rows a row stands for.
 
     Whole rows are taken or left by the hash, so a run over the same tables learns from the same rows. The labels taken are
     few whatever the input's size, which is why they, not the texts, are sent around."""
     labels = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(4, 2)).groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y"))
-    n = labels.count()
-    if n > at_most:
-        labels = labels.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * at_most / n))
-    return docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")
+    share = F.lit(1.0)
+    for y, n in labels.groupBy("y").count().collect():
+        share = F.when(F.col("y") == y, F.lit(min(1.0, at_most / 2 / n))).otherwise(share)
+    chosen = labels.withColumn("share", share).where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("share") * 1_000_000)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "y", (1 / F.col("share")).alias("w"))), "doc_id")

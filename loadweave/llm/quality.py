@@ -210,20 +210,23 @@ def _grid_tree(g: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
     return out, best
 
 
-def fit(x: np.ndarray, y: np.ndarray) -> Model:
+def fit(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> Model:
+    """w: what each row counts for; scores are right for rows in those shares."""
     width = len(FEATURES)
+    w = np.ones(len(y)) if w is None else w / w.mean()
     if not len(y) or y.min() == y.max():
         share = np.clip(y.mean() if len(y) else 0.5, 1e-9, 1 - 1e-9)
         return Model(float(np.log(share / (1 - share))), [np.zeros(0)] * width, [np.zeros(1)] * width, [])
     edges = [_edges(x[:, k], BINS) for k in range(width)]
     bins = [np.searchsorted(e, x[:, k]) for k, e in enumerate(edges)]
     tables = [np.zeros(len(e) + 1) for e in edges]
-    intercept = float(np.log(y.mean() / (1 - y.mean())))
+    mean = np.average(y, weights=w)
+    intercept = float(np.log(mean / (1 - mean)))
     z = np.full(len(y), intercept)
 
     def slopes() -> tuple[np.ndarray, np.ndarray]:
         p = 1 / (1 + np.exp(-z))
-        return y - p, p * (1 - p)
+        return w * (y - p), w * p * (1 - p)
 
     for _ in range(ROUNDS):
         for k in range(width):
@@ -267,9 +270,9 @@ def features(docs: DataFrame) -> DataFrame:
 
 def fit_on(docs: DataFrame, labels: DataFrame, at_most: int = MAX_LABELLED) -> Model:
     """Learns from about at_most of the labelled rows that are not held out; only their features reach the driver."""
-    rows = features(labelled_sample(docs, labels, "quality", at_most)).select("doc_id", "y", "quality_features").collect()
-    rows.sort(key=lambda r: (r[0], r[2]))
-    return fit(np.array([r[2] for r in rows]).reshape(-1, len(FEATURES)), np.array([r[1] for r in rows], float))
+    rows = features(labelled_sample(docs, labels, "quality", at_most)).select("doc_id", "y", "w", "quality_features").collect()
+    rows.sort(key=lambda r: (r[0], r[3]))
+    return fit(np.array([r[3] for r in rows]).reshape(-1, len(FEATURES)), np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,11 +32,13 @@ from pyspark.sql import functions as F
 from .common import held_out, labelled_sample, map_batches, table, texts_of, widened
 
 #: Labelled documents that the model is fitted on, at most (about).
-MAX_LABELLED = 5000
+MAX_LABELLED = 2000
 #: Features taken up, at most, the most significant first.
 MAX_FEATURES = 5000
 #: Tokens whose weights a worker keeps.
 CACHE_ENTRIES = 400_000
+#: Marginals below this count as none, so that the length of a clean text is no evidence.
+FLOOR = 0.05
 #: From this score on a document counts as toxic.
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
@@ -102,6 +104,7 @@ def forward_backward(emission: np.ndarray, starts: np.ndarray, trans: np.ndarray
 
 def _evidence(p: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     """For each of n sequences, the logit of the marginals' noisy-or and log(1 + their sum); at: each token's sequence."""
+    p = np.where(p >= FLOOR, p, 0.0)
     none = np.bincount(at, np.log1p(-np.minimum(p, 1 - 1e-9)), n)
     some = -np.expm1(none)
     logit = np.log(np.maximum(some, 1e-9)) - np.maximum(none, -20)
@@ -141,13 +144,18 @@ def significant_features(docs: list[list[str]], y: np.ndarray) -> set[str]:
     return {f for _, f in sorted(found)[:MAX_FEATURES]}
 
 
-def fit(rows: list[tuple[str, int]], steps: int = 60, rate: float = 0.5, ridge: float = 1e-3) -> Model:
-    """rows: (text, 0 or 1)."""
-    y = np.array([int(r[1]) for r in rows], np.int64)
-    if not len(y) or y.min() == y.max():
-        share = (y.sum() + 0.0) / len(y) if len(y) else 0.0
+def fit(rows: Iterable[tuple], steps: int = 60, rate: float = 0.5, ridge: float = 1e-3) -> Model:
+    """rows: (text, 0 or 1), or with what the row counts for as a third value."""
+    docs, y, stands = [], [], []
+    one: dict[str, str] = {}  # equal tokens are one object
+    for text, label, *weight in rows:
+        docs.append([one.setdefault(t, t) for t in tokens(text or "")])
+        y.append(int(label))
+        stands.append(weight[0] if weight else 1.0)
+    y, stands = np.array(y, np.int64), np.array(stands, float)
+    share = float(np.average(y, weights=stands)) if len(y) else 0.0
+    if share in (0.0, 1.0):
         return Model(head=(math.log(max(share, 1e-9) / max(1 - share, 1e-9)), 0.0, 0.0))
-    docs = [tokens("" if r[0] is None else r[0]) for r in rows]
     chosen = sorted(significant_features(docs, y))
     number = {f: k for k, f in enumerate(chosen)}
     # Tokens with no chosen feature are alike, so a window around the others is all that the fit needs of a long text.
@@ -166,7 +174,7 @@ def fit(rows: list[tuple[str, int]], steps: int = 60, rate: float = 0.5, ridge:
             tags.append(int(bool(hits[k]) and toxic == 1))
             starts.append(j == 0)
     if not tags:
-        return Model(head=(math.log(y.mean() / (1 - y.mean())), 0.0, 0.0))
+        return Model(head=(math.log(share / (1 - share)), 0.0, 0.0))
     t, s = np.array(tags), np.array(starts)
     rows_, cols = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1))
     n, inner = len(t), ~s[1:]
@@ -189,8 +197,8 @@ def fit(rows: list[tuple[str, int]], steps: int = 60, rate: float = 0.5, ridge:
     head = np.zeros(3)
     for _ in range(30):  # Newton steps of a ridge logistic regression
         p = 1 / (1 + np.exp(-np.clip(x @ head, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + np.diag([1e-3, 0.1, 0.1])
-        head += np.linalg.solve(h, x.T @ (y - p) - np.array([1e-3, 0.1, 0.1]) * head)
+        h = (x * (stands * p * (1 - p))[:, None]).T @ x + np.diag([1e-3, 0.1, 0.1])
+        head += np.linalg.solve(h, x.T @ (stands * (y - p)) - np.array([1e-3, 0.1, 0.1]) * head)
     model.head = tuple(head.tolist())
     return model
 
@@ -276,7 +284,8 @@ def clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
 def fit_on(docs: DataFrame, labels: DataFrame, at_most: int = MAX_LABELLED) -> Model:
     """Learns from about at_most of the labelled rows that are not held out."""
-    return fit([(r["text"], r["y"]) for r in labelled_sample(docs, labels, "toxic", at_most).select("text", "y").orderBy("doc_id").collect()])
+    rows = labelled_sample(docs, labels, "toxic", at_most).orderBy("doc_id").select("text", "y", "w").toArrow()
+    return fit(r for batch in rows.to_batches() for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
