@@ -30,7 +30,7 @@ from .common import column_of, held_out, map_batches, table, widened
 
 #: Documents that the probabilities are learned from, at most (about), and different words of each language, at most.
 MAX_LEARNED, MAX_WORDS = 4000, 30_000
-#: Words whose likelihoods a worker keeps.
+#: Words whose likelihoods a worker keeps in each of two generations.
 CACHE_ENTRIES = 250_000
 #: Longest word and longest piece; probability of a character outside the vocabulary; rounds of learning.
 WORD, PIECE, UNSEEN, ROUNDS = 24, 16, 1e-9, 3
@@ -58,26 +58,34 @@ def vocabulary(path: str | None = None) -> list[str]:
     return list(dict.fromkeys(p for p in plain if len(p) <= PIECE))
 
 
+def numbered(pieces: list[str]) -> dict[str, int]:
+    """Pieces by number; beginnings of pieces that are no pieces have number -1, and nothing else is in."""
+    number = {piece[:n]: -1 for piece in pieces for n in range(1, len(piece))}
+    number.update((piece, k) for k, piece in enumerate(pieces))
+    return number
+
+
 class Lattice:
     """All segmentations of some words: one edge for each piece at each place, sorted by the position where it ends."""
 
-    def __init__(self, words: list[str], number: dict[str, int]):
+    def __init__(self, words: list[str], number: dict[str, int], unseen: int):
         get = number.get
-        unseen = len(number)
         edges: list[tuple[int, int, int, int]] = []
         add = edges.append
         lasts = np.empty(len(words), np.int64)
         for w, word in enumerate(words):
             s = START + word
             n = lasts[w] = len(s)
-            reached = 0
             for a in range(n):
-                for b in range(a + 1, min(n, a + PIECE) + 1):
-                    if (p := get(s[a:b])) is not None:
+                p = get(s[a])
+                add((a + 1, w, a, unseen if p is None or p < 0 else p))
+                b = a + 1
+                # No piece goes on where none begins like this.
+                while p is not None and b < n:
+                    b += 1
+                    p = get(s[a:b])
+                    if p is not None and p >= 0:
                         add((b, w, a, p))
-                        reached |= 1 << a if b == a + 1 else 0
-                if not reached >> a & 1:
-                    add((a + 1, w, a, unseen))
         e = np.array(edges, np.int64).reshape(-1, 4)
         e = e[np.lexsort((e[:, 1], e[:, 0]))]
         self.end, self.word, self.start, self.piece = e.T
@@ -143,8 +151,8 @@ def fit(rows: Iterable[tuple[str | None, str | None]], pieces: list[str]) -> Mod
     most = [dict(sorted(counts[lang].items(), key=lambda x: (-x[1], x[0]))[:MAX_WORDS]) for lang in languages]
     words = sorted(set().union(*most))
     weight = np.array([[m.get(w, 0) for m in most] for w in words], float)
-    number = {piece: k for k, piece in enumerate(pieces)}
-    lattices = [(Lattice(words[k : k + 5000], number), weight[k : k + 5000]) for k in range(0, len(words), 5000)]
+    number = numbered(pieces)
+    lattices = [(Lattice(words[k : k + 5000], number, len(pieces)), weight[k : k + 5000]) for k in range(0, len(words), 5000)]
     for _ in range(ROUNDS):
         uses = sum(lattice.expected(p, w) for lattice, w in lattices) + 0.01
         p = uses / uses.sum(0)
@@ -158,13 +166,20 @@ class Identifier:
 
     def __init__(self, model: Model):
         self.model = model
-        self.number = {piece: k for k, piece in enumerate(model.pieces)}
+        self.number = numbered(model.pieces)
+        # A young and an old generation of words, and their log likelihoods.
         self.known: dict[str, int] = {}
-        self.logs = np.zeros((0, len(model.languages)))
+        self.old: dict[str, int] = {}
+        self.logs = self.old_logs = np.zeros((0, len(model.languages)))
 
     def _learn(self, words: list[str]) -> None:
-        logs = [np.log(np.maximum(Lattice(words[k : k + 5000], self.number).likelihoods(self.model.p), 1e-300)) for k in range(0, len(words), 5000)]
-        self.known.update(zip(words, range(len(self.logs), len(self.logs) + len(words)), strict=True))
+        again = [w for w in words if w in self.old]
+        fresh = [w for w in words if w not in self.old]
+        logs = [self.old_logs[[self.old[w] for w in again]]] if again else []
+        for k in range(0, len(fresh), 5000):
+            some = Lattice(fresh[k : k + 5000], self.number, len(self.model.pieces)).likelihoods(self.model.p)
+            logs.append(np.log(np.maximum(some, 1e-300)))
+        self.known.update(zip([*again, *fresh], range(len(self.logs), len(self.logs) + len(words)), strict=True))
         self.logs = np.concatenate([self.logs, *logs])
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -173,7 +188,7 @@ class Identifier:
         if not self.model.languages:
             return langs, scores
         if len(self.known) > CACHE_ENTRIES:
-            self.known, self.logs = {}, self.logs[:0]
+            self.old, self.old_logs, self.known, self.logs = self.known, self.logs, {}, self.logs[:0]
         known = self.known
         flat = [w for d in docs for w in d]
         if new := list({w for w in flat if w not in known}):

@@ -213,7 +213,7 @@ def _grid_tree(g: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray,
 def fit(x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> Model:
     """w: what each row counts for; scores are right for rows in those shares."""
     width = len(FEATURES)
-    w = np.ones(len(y)) if w is None else w / w.mean()
+    w = np.ones(len(y)) if w is None or not len(w) else w / w.mean()
     if not len(y) or y.min() == y.max():
         share = np.clip(y.mean() if len(y) else 0.5, 1e-9, 1 - 1e-9)
         return Model(float(np.log(share / (1 - share))), [np.zeros(0)] * width, [np.zeros(1)] * width, [])
