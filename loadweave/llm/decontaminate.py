@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_of, map_batches, table
+from .common import column_of, map_batches, settled, table
 
 WINDOW, LITERALS, COVERAGE, CONSISTENCY = 5, 3, 0.8, 0.5
 #: Bits of the table of benchmark windows: 4 MB, whatever the input.
@@ -208,7 +208,8 @@ def contaminated(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE,
     """(doc_id, item_id, matched, windows, coverage, consistency, verbatim) of each document and item that it gives away."""
     own = item_windows(items).distinct().persist()
     bits, lengths = _bit_table(own)
-    found = candidate_windows(docs, bits, lengths)
+    # Read twice below, so written once: few windows have their bit set.
+    found = settled(candidate_windows(docs, bits, lengths))
     sizes = own.groupBy("item_id").agg(F.countDistinct("at").alias("windows"))
     by_hash = own.groupBy("item_id", "hash", "slots").agg(F.collect_set("at").alias("places")).withColumnRenamed("slots", "item_slots")
     pairs = found.join(by_hash, "hash")
