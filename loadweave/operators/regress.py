@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import clip_low, total
 from .series import drop_ends, numbered, shifted_with_edge
+from .stats import model_metrics
 
 #: Loads of a year that sum to this or less give a year of zeros.
 ZERO_LOAD = 0.01
@@ -120,3 +121,16 @@ def translate(load: DataFrame, base_weather: DataFrame, target_weather: DataFram
     # Stamped an hour later, with the first hour repeated and the last dropped: each stamp keeps the value of the hour before.
     profiles = shifted_with_edge(raw.select(*own, "ts", "value"), own, "value")
     return profiles, found.where("what <> 'prediction'").select(*own, "what", "name", "value")
+
+
+def against_actual(profiles: DataFrame, actual: DataFrame, keys: list[str], targets: list[str]) -> DataFrame:
+    """keys, target, ts, predicted, actual of hours that both sides have: the points of a scatter chart, and what metrics are taken of.
+
+    Groups whose load is zero take part like others."""
+    long = actual.select(*keys, "ts", F.explode(F.array(*[F.struct(F.lit(t).alias("target"), F.col(t).cast("double").alias("actual")) for t in targets])).alias("x"))
+    return profiles.withColumnRenamed("value", "predicted").join(long.select(*keys, "ts", "x.target", "x.actual"), [*keys, "target", "ts"])
+
+
+def target_year_test(profiles: DataFrame, actual: DataFrame, keys: list[str], targets: list[str]) -> DataFrame:
+    """MAE, MSE and R2 of profiles against loads that were metered in the target year."""
+    return model_metrics(against_actual(profiles, actual, keys, targets), [*keys, "target"], "actual", "predicted")

@@ -508,3 +508,14 @@ def regression_pipeline(spark, sf_dir):
 def regression_metrics(spark, sf_dir):
     """Held-out errors, fold errors, importances and the extrapolated share of each group's fit."""
     return _translation(spark, sf_dir, _QUICK)[1]
+
+
+_ACTUAL = "a AS (SELECT kind, ts, v, v * 1.1 + 2 AS p FROM hourly)"
+
+
+@query(f"WITH {HOURLY}, {_ACTUAL} SELECT kind, 'v' AS target, round_even(avg(abs(v - p)), 6) AS mae, round_even(avg((v - p) * (v - p)), 4) AS mse, round_even(1 - avg((v - p) * (v - p)) / nullif(var_pop(v), 0), 6) AS r2 FROM a GROUP BY ALL")
+def target_year_test(spark, sf_dir):
+    h = hourly(spark, sf_dir).select("kind", "ts", "v")
+    profiles = h.select("kind", F.lit("v").alias("target"), "ts", (F.col("v") * 1.1 + 2).alias("value"))
+    out = regress.target_year_test(profiles, h.toDF(*h.columns), ["kind"], ["v"])
+    return out.select("kind", "target", r("mae").alias("mae"), r("mse", 4).alias("mse"), r("r2").alias("r2"))

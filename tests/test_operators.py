@@ -161,3 +161,10 @@ def test_config_rejects_one_year_for_both():
 def test_chunk_names(spark):
     df = spark.createDataFrame([("/d/x_upgrade1_0000-0149.csv",), ("/d/x_upgrade18_0150-0299.csv",), ("/d/notes.txt",)], "path string")
     assert values(readers.parsed_chunk_names(df, "path"), "prefix", "upgrade", "start", "end") == [("x", 1, 0, 149), ("x", 18, 150, 299)]
+
+
+def test_target_year_test(spark):
+    profiles = spark.createDataFrame([("c", "hvac", T0 + k * H, float(k)) for k in range(5)], "county string, target string, ts timestamp_ntz, value double")
+    actual = spark.createDataFrame([("c", T0 + k * H, float(k + 1)) for k in range(1, 9)], "county string, ts timestamp_ntz, hvac double")
+    r = regress.target_year_test(profiles, actual, ["county"], ["hvac"]).first()
+    assert (r["mae"], r["mse"]) == (1.0, 1.0) and r["r2"] == pytest.approx(1 - 1 / 1.25)
