@@ -32,7 +32,7 @@ from .common import settled, table
 
 SCALE, K, EVERY = 64, 20, 20
 #: Vectors of a tree, entries of a page, pages of an inner node, queries of a block.
-TREE, PAGE, FAN, QUERIES_AT_ONCE = 16_384, 64, 16, 512
+TREE, PAGE, FAN, QUERIES_AT_ONCE = 4096, 64, 16, 512
 
 
 class Tree:
@@ -42,7 +42,8 @@ class Tree:
 
     def save(self) -> bytes:
         out = io.BytesIO()
-        np.savez(out, **{k: getattr(self, k) for k in self.PARTS})
+        small = {k: v.astype(np.int32) if k in ("vectors", "page_pivot", "node_pivot") and np.abs(v).max() < 2**31 else v for k in self.PARTS for v in [getattr(self, k)]}
+        np.savez(out, **small)
         return out.getvalue()
 
     @classmethod
@@ -50,7 +51,7 @@ class Tree:
         tree = cls()
         with np.load(io.BytesIO(data)) as parts:
             for k in cls.PARTS:
-                setattr(tree, k, parts[k])
+                setattr(tree, k, parts[k].astype(np.float64) if k in ("vectors", "page_pivot", "node_pivot") else parts[k])
         return tree
 
     @classmethod
@@ -62,22 +63,21 @@ class Tree:
         pages: list[np.ndarray] = []
         nodes: list[int] = []
 
-        def split(own: np.ndarray, inside: bool) -> None:
+        waiting = [(np.arange(len(x)), False)]
+        while waiting:
+            own, inside = waiting.pop()
             if not inside and len(own) <= PAGE * FAN:
                 nodes.append(len(pages))
                 inside = True
             if len(own) <= PAGE:
                 pages.append(own)
-                return
-            far = lambda p: ((x[own] - p) ** 2).sum(1)
-            a = x[own[far(x[own[0]]).argmax()]]
-            b = x[own[far(a).argmax()]]
-            side = np.argsort(x[own] @ (b - a), kind="stable")
+                continue
+            mine = x[own]
+            a = mine[((mine - mine[0]) ** 2).sum(1).argmax()]
+            b = mine[((mine - a) ** 2).sum(1).argmax()]
+            side = np.argsort(mine @ (b - a), kind="stable")
             half = len(own) // 2
-            split(own[side[:half]], inside)
-            split(own[side[half:]], inside)
-
-        split(np.arange(len(x)), False)
+            waiting += [(own[side[half:]], inside), (own[side[:half]], inside)]
         tree = cls()
         at = np.concatenate(pages)
         tree.vectors, tree.ids = vectors[at].astype(np.float64), np.concatenate([ids[order][id_at[k] : id_at[k + 1]] for k in at.tolist()])
@@ -85,9 +85,8 @@ class Tree:
         tree.norm2 = (tree.vectors**2).sum(1)
         tree.page_at = np.concatenate([[0], np.cumsum([len(p) for p in pages])])
         tree.node_at = np.array([*nodes, len(pages)])
-        cover = lambda bounds: cls._cover(tree.vectors, tree.norm2, bounds)
-        tree.page_pivot, tree.page_radius, tree.page_norm2, tree.entry_far = cover(tree.page_at)
-        tree.node_pivot, tree.node_radius, tree.node_norm2, _ = cover(tree.page_at[tree.node_at])
+        tree.page_pivot, tree.page_radius, tree.page_norm2, tree.entry_far = cls._cover(tree.vectors, tree.norm2, tree.page_at)
+        tree.node_pivot, tree.node_radius, tree.node_norm2, _ = cls._cover(tree.vectors, tree.norm2, tree.page_at[tree.node_at])
         owner = np.repeat(np.arange(len(nodes)), np.diff(tree.node_at))
         tree.page_far = np.sqrt(((tree.page_pivot - tree.node_pivot[owner]) ** 2).sum(1))
         return tree
