@@ -14,7 +14,7 @@ from ..functions import dates, numeric, text
 from ..operators import reconcile as rec
 from ..operators import regress, relational, rollup, series, stats
 from ..operators import weather as wx
-from ..sources import readers
+from ..sources import readers, scratch, writers
 from .inputs import HOURLY, PAIRS, hourly, pairs, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -519,3 +519,31 @@ def target_year_test(spark, sf_dir):
     profiles = h.select("kind", F.lit("v").alias("target"), "ts", (F.col("v") * 1.1 + 2).alias("value"))
     out = regress.target_year_test(profiles, h.toDF(*h.columns), ["kind"], ["v"])
     return out.select("kind", "target", r("mae").alias("mae"), r("mse", 4).alias("mse"), r("r2").alias("r2"))
+
+
+# Sources and sinks: written and read again
+
+
+@query(f"WITH {HOURLY} SELECT kind AS fips, ts, round_even(v, 6) AS gwh FROM hourly WHERE kind IN ('click', 'view')")
+def wide_csv_round_trip(spark, sf_dir):
+    path = scratch.folder(spark)
+    h = hourly(spark, sf_dir).where(F.col("kind").isin("click", "view")).select("ts", "kind", "v")
+    writers.wide_loads(h, path, "kind", "v", ["click", "view"])
+    return readers.wide_series(spark, path).where(F.col("gwh").isNotNull()).select("fips", "ts", "gwh")
+
+
+@query("SELECT o_orderkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus IN ('F', 'O')")
+def partitioned_scan(spark, sf_dir):
+    path = scratch.folder(spark)
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    writers.to_parquet(o, path, ["o_orderstatus"])
+    return readers.buildings(spark, path, o.schema, states=["F", "O"], state="o_orderstatus").select(*o.columns)
+
+
+@query(f"WITH {HOURLY}, m AS (SELECT kind, avg(v) AS mae, max(v) AS mse FROM hourly GROUP BY 1) SELECT round_even(avg(mae), 6) AS mae, round_even(avg(mse), 6) AS mse FROM m")
+def metrics_append_mean(spark, sf_dir):
+    path = scratch.folder(spark)
+    m = hourly(spark, sf_dir).groupBy("kind").agg(F.avg("v").alias("mae"), F.max("v").alias("mse"))
+    for part in (F.col("kind") <= "purchase", F.col("kind") > "purchase"):
+        writers.append_metrics(m.where(part), path)
+    return writers.mean_metrics(spark.read.parquet(path), ["kind"])
