@@ -3,8 +3,10 @@
 Weather is instantaneous and load stamps end their hour, so weather row k explains load row k + 1; predictions for the hours
 of the target year are stamped one hour later, the first hour repeats, and the last row drops.
 
-Groups whose load sums to ZERO_LOAD or less never reach Python. Each other group and target is one grouped-map call on the
-group's own rows, at most a few thousand hours; groups are independent, so they spread over any number of executors.
+Groups whose load sums to ZERO_LOAD or less never reach Python. The others are dealt into parts of about GROUPS_AT_ONCE
+groups that share their weather, and each part is one grouped-map call: it gets its groups' loads, a number an hour, and one
+copy of the weather, rather than a row of features for every hour of every group. Parts are independent, so they spread over
+any number of executors.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from .stats import model_metrics
 
 #: Loads of a year that sum to this or less give a year of zeros.
 ZERO_LOAD = 0.01
+#: Groups of one county that are fitted in one call, about.
+GROUPS_AT_ONCE = 8
 
 
 @dataclass(frozen=True)
@@ -33,70 +37,80 @@ class Settings:
     seed: int = 42
 
 
-def training_pairs(load: DataFrame, weather: DataFrame, keys: list[str], weather_keys: list[str], features: list[str], target: str, ts: str = "ts") -> DataFrame:
-    """Load rows with the features of the weather row one place earlier: load loses its first row and weather its last."""
-    y = numbered(drop_ends(load.where(F.col(target).isNotNull()), keys, first=1, ts=ts), keys, ts, "_n").select(*dict.fromkeys([*keys, *weather_keys]), "_n", F.col(target).alias("y"))
-    x = numbered(drop_ends(weather, weather_keys, last=1, ts=ts), weather_keys, ts, "_n").select(*weather_keys, "_n", *features)
-    return y.join(x, [*weather_keys, "_n"]).withColumnRenamed("_n", "hour_no")
-
-
 def split_fold(keys: list[str], parts: int, seed: int = 42):
     """The part, from 0, that a row belongs to: a hash of its key and hour, the same in every run."""
     return F.pmod(F.xxhash64(*keys, "hour_no", F.lit(seed)), F.lit(parts)).cast("int")
 
 
-def fit_predict(pairs: DataFrame, target_weather: DataFrame, keys: list[str], weather_keys: list[str], features: list[str], temperature: str, settings: Settings | None = None) -> DataFrame:
+def fit_predict(load: DataFrame, base_weather: DataFrame, target_weather: DataFrame, keys: list[str], weather_keys: list[str], features: list[str], temperature: str, settings: Settings | None = None, ts: str = "ts") -> DataFrame:
     """(keys, what, hour_no, value, name): predictions of every target hour, and the fit's metrics.
 
+    load: keys, weather_keys, ts, y. Load loses its first row and base weather its last, and rows pair by place.
+
     what `prediction`: value at hour_no, name the model used; what `metric`: mae, mse, r2 on held-out rows, cv_mse (mean over folds) if folds are
     asked for, share_extrapolated; what `importance`: each feature's. Hours within the temperatures seen in training come from the forest, others
     from the network, which is trained only for groups that need it."""
     settings = settings or Settings()
-    parts = 10
-    held = int(round(parts * settings.hold_out))
-    pairs = pairs.withColumns({"fold": split_fold(keys, max(2, settings.folds or 2), settings.seed + 1), "held_out": split_fold(keys, parts, settings.seed) < held})
-    # Target rows meet their group by the group's weather key.
-    groups = pairs.select(*dict.fromkeys([*keys, *weather_keys])).distinct()
-    ahead = numbered(target_weather, weather_keys, "ts", "hour_no").select(*weather_keys, "hour_no", *features).join(groups, weather_keys)
+    every = list(dict.fromkeys([*keys, *weather_keys]))
+    held = int(round(10 * settings.hold_out))
+    own = numbered(drop_ends(load.where(F.col("y").isNotNull()), keys, first=1, ts=ts), keys, ts, "hour_no").select(*every, "hour_no", "y")
+    own = own.withColumns({"fold": split_fold(keys, max(2, settings.folds or 2), settings.seed + 1), "held_out": split_fold(keys, 10, settings.seed) < held})
+    groups = load.select(*every).distinct()
+    parts = groups.groupBy(*weather_keys).agg(F.ceil(F.count(F.lit(1)) / GROUPS_AT_ONCE).alias("_parts"))
+    own = own.join(parts, weather_keys).withColumn("_part", F.pmod(F.xxhash64(*keys), F.col("_parts")).cast("int")).drop("_parts")
+    place = lambda df, role: numbered(df, weather_keys, ts, "hour_no").select(*weather_keys, "hour_no", *features, F.lit(role).alias("role"))
+    weather = place(drop_ends(base_weather, weather_keys, last=1, ts=ts), "base").unionByName(place(target_weather, "target"))
+    weather = weather.join(parts, weather_keys).withColumn("_part", F.explode(F.sequence(F.lit(0), (F.col("_parts") - 1).cast("int")))).drop("_parts")
     # Columns of its own, since both sides of the grouping may come from one table.
-    ahead = ahead.toDF(*ahead.columns)
-    names = {f"{c}": t for c, t in pairs.select(*keys).dtypes}
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in names.items()), "what string", "hour_no int", "value double", "name string"])
-
-    def one(key: tuple, base: pd.DataFrame, target: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
-        from .learners import Forest, Network
-
-        base, target = base.sort_values("hour_no"), target.sort_values("hour_no")
-        x, y, held_rows = base[features].to_numpy(float), base["y"].to_numpy(float), base["held_out"].to_numpy(bool)
-        train = ~held_rows if 0 < held_rows.sum() < len(y) else np.ones(len(y), bool)
-        forest = lambda rows: Forest(settings.trees, settings.depth, seed=settings.seed).fit(x[rows], y[rows])
-        out: list[tuple[str, int, float, str]] = []
-        if settings.folds > 1:
-            fold = base["fold"].to_numpy()
-            scores = [np.mean((y[fold == k] - forest(fold != k).predict(x[fold == k])) ** 2) for k in range(settings.folds) if 0 < (fold == k).sum() < len(y)]
-            out.append(("metric", 0, float(np.mean(scores)) if scores else float("nan"), "cv_mse"))
-        model = forest(train)
-        test = ~train if (~train).any() else train
-        gap = y[test] - model.predict(x[test])
-        spread = y[test].var()
-        out += [("metric", 0, float(np.abs(gap).mean()), "mae"), ("metric", 0, float((gap**2).mean()), "mse"), ("metric", 0, float(1 - (gap**2).mean() / spread) if spread > 0 else float("nan"), "r2")]
-        out += [("importance", 0, float(v), f) for f, v in zip(features, model.importances, strict=True)]
-        tx = target[features].to_numpy(float)
-        t, seen = target[temperature].to_numpy(float), base[temperature].to_numpy(float)
-        outside = (t < seen.min()) | (t > seen.max())
-        predicted = model.predict(tx) if len(tx) else np.zeros(0)
-        if outside.any():
-            predicted[outside] = Network(epochs=settings.epochs, seed=settings.seed).fit(x[train], y[train]).predict(tx[outside])
-        out.append(("metric", 0, float(outside.mean()) * 100 if len(outside) else 0.0, "share_extrapolated"))
-        out += [("prediction", int(n), float(v), "network" if o else "forest") for n, v, o in zip(target["hour_no"], predicted, outside, strict=True)]
-        frame = pd.DataFrame(out, columns=["what", "hour_no", "value", "name"])
-        for c, v in zip(keys, key, strict=True):
-            frame.insert(0, c, v)
-        return frame[[*keys, "what", "hour_no", "value", "name"]]
-
-    return pairs.groupBy(*keys).cogroup(ahead.groupBy(*keys)).applyInPandas(one, schema)
+    weather = weather.toDF(*weather.columns)
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in load.select(*keys).dtypes), "what string", "hour_no int", "value double", "name string"])
+
+    def part(loads: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
+        base = around[around["role"] == "base"].set_index("hour_no")[features]
+        target = around[around["role"] == "target"].sort_values("hour_no")
+        found = []
+        for key, rows in loads.groupby(keys, dropna=False, sort=True):
+            rows = rows.sort_values("hour_no")
+            rows = rows[rows["hour_no"].isin(base.index)]
+            if len(rows):
+                frame = _fit_one(rows, base.loc[rows["hour_no"]], target, features, temperature, settings)
+                for c, v in zip(keys, key, strict=True):
+                    frame[c] = v
+                found.append(frame[[*keys, "what", "hour_no", "value", "name"]])
+        return pd.concat(found) if found else pd.DataFrame(columns=[*keys, "what", "hour_no", "value", "name"])
+
+    by = [*weather_keys, "_part"]
+    return own.groupBy(*by).cogroup(weather.groupBy(*by)).applyInPandas(part, schema)
+
+
+def _fit_one(rows: pd.DataFrame, base: pd.DataFrame, target: pd.DataFrame, features: list[str], temperature: str, settings: Settings) -> pd.DataFrame:
+    """One group: rows (y, fold, held_out) beside base weather, and the target weather."""
+    import numpy as np
+
+    from .learners import Forest, Network
+
+    x, y, held = base[features].to_numpy(float), rows["y"].to_numpy(float), rows["held_out"].to_numpy(bool)
+    train = ~held if 0 < held.sum() < len(y) else np.ones(len(y), bool)
+    forest = lambda some: Forest(settings.trees, settings.depth, seed=settings.seed).fit(x[some], y[some])
+    out: list[tuple[str, int, float, str]] = []
+    if settings.folds > 1:
+        fold = rows["fold"].to_numpy()
+        scores = [np.mean((y[fold == k] - forest(fold != k).predict(x[fold == k])) ** 2) for k in range(settings.folds) if 0 < (fold == k).sum() < len(y)]
+        out.append(("metric", 0, float(np.mean(scores)) if scores else float("nan"), "cv_mse"))
+    model = forest(train)
+    test = ~train if (~train).any() else train
+    gap = y[test] - model.predict(x[test])
+    spread = y[test].var()
+    out += [("metric", 0, float(np.abs(gap).mean()), "mae"), ("metric", 0, float((gap**2).mean()), "mse"), ("metric", 0, float(1 - (gap**2).mean() / spread) if spread > 0 else float("nan"), "r2")]
+    out += [("importance", 0, float(v), f) for f, v in zip(features, model.importances, strict=True)]
+    tx, t, seen = target[features].to_numpy(float), target[temperature].to_numpy(float), base[temperature].to_numpy(float)
+    outside = (t < seen.min()) | (t > seen.max())
+    predicted = model.predict(tx) if len(tx) else np.zeros(0)
+    if outside.any():
+        predicted[outside] = Network(epochs=settings.epochs, seed=settings.seed).fit(x[train], y[train]).predict(tx[outside])
+    out.append(("metric", 0, float(outside.mean()) * 100 if len(outside) else 0.0, "share_extrapolated"))
+    out += [("prediction", int(n), float(v), "network" if o else "forest") for n, v, o in zip(target["hour_no"], predicted, outside, strict=True)]
+    return pd.DataFrame(out, columns=["what", "hour_no", "value", "name"])
 
 
 def translate(load: DataFrame, base_weather: DataFrame, target_weather: DataFrame, keys: list[str], weather_keys: list[str], targets: list[str], features: list[str], temperature: str, settings: Settings | None = None) -> tuple[DataFrame, DataFrame]:
@@ -110,8 +124,7 @@ def translate(load: DataFrame, base_weather: DataFrame, target_weather: DataFram
     sums = long.groupBy(*own).agg(total("y").alias("_sum"))
     zero = sums.where(F.col("_sum") <= ZERO_LOAD)
     fitted = long.join(zero.select(*own), own, "left_anti")
-    pairs = training_pairs(fitted.withColumnRenamed("y", "load"), base_weather, own, weather_keys, features, "load")
-    found = fit_predict(pairs, target_weather, own, weather_keys, features, temperature, settings)
+    found = fit_predict(fitted, base_weather, target_weather, own, weather_keys, features, temperature, settings)
     found = found.persist()
     hours = numbered(target_weather, weather_keys, "ts", "hour_no").select(*weather_keys, "ts", "hour_no")
     groups = long.select(*dict.fromkeys([*own, *weather_keys])).distinct()
