@@ -53,17 +53,17 @@ def scan_project_filter(spark, sf_dir):
 # Rollups
 
 
-@query("SELECT l_returnflag, l_linestatus, round_even(sum((l_extendedprice + l_discount) * l_quantity) / 1000, 4) AS hvac_mwh, round_even(sum(l_tax * l_quantity) / 1000, 4) AS gas_mwh, round_even(sum(l_extendedprice * l_quantity), 2) AS area FROM lineitem GROUP BY ALL")
+@query("SELECT l_returnflag, l_linestatus, round_even(sum((l_extendedprice + l_discount) * l_quantity) / 1000, 6) AS hvac_mwh, round_even(sum(l_tax * l_quantity) / 1000, 6) AS gas_mwh, round_even(sum(l_extendedprice * l_quantity), 2) AS area FROM lineitem GROUP BY ALL")
 def weighted_rollup(spark, sf_dir):
     out = rollup.metadata_rollup(read(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], ["l_extendedprice", "l_discount"], ["l_tax"], area="l_extendedprice", weight="l_quantity")
-    return out.select("l_returnflag", "l_linestatus", r("hvac_mwh", 4).alias("hvac_mwh"), r("gas_mwh", 4).alias("gas_mwh"), r("area", 2).alias("area"))
+    return out.withColumn("area", r("area", 2))
 
 
-@query("SELECT l_returnflag, round_even(sum(l_extendedprice * l_quantity) / 1000, 4) AS hvac_mwh, round_even(sum(l_tax * l_quantity) / 1000, 4) AS gas_mwh FROM lineitem WHERE l_linestatus = 'F' GROUP BY ALL")
+@query("SELECT l_returnflag, round_even(sum(l_extendedprice * l_quantity) / 1000, 6) AS hvac_mwh, round_even(sum(l_tax * l_quantity) / 1000, 6) AS gas_mwh FROM lineitem WHERE l_linestatus = 'F' GROUP BY ALL")
 def weighted_rollup_applied_only(spark, sf_dir):
     items = read(spark, sf_dir, "lineitem").withColumn("applicability", F.col("l_linestatus") == "F")
     out = rollup.metadata_rollup(items, ["l_returnflag"], ["l_extendedprice"], ["l_tax"], weight="l_quantity", applied_only=True)
-    return out.select("l_returnflag", r("hvac_mwh", 4).alias("hvac_mwh"), r("gas_mwh", 4).alias("gas_mwh"))
+    return out
 
 
 @query("SELECT event_type, date_trunc('hour', ts + INTERVAL 59 MINUTE) AS ts, round_even(sum(value), 6) AS value FROM events GROUP BY ALL")
