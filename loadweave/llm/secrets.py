@@ -1,7 +1,8 @@
 """Secret scans with multipart credential linking, in DataFrame operations only.
 
 Base spans are assignments of passwords and the like, access identifiers, and long hexadecimal runs. Weak candidates are
-other runs of exactly 40 key characters ("secret") and web addresses ("endpoint"); alone they mean little. They are
+other runs of exactly 40 key characters ("secret"; up to two of them '=' at the end, none before) and web addresses
+("endpoint"); alone they mean little. They are
 interval-joined with access identifiers of the same text: a secret within SCOPE code points of an access identifier is
 reported, and an endpoint within SCOPE of an access identifier that has such a secret too. The join hashes scopes of
 SCOPE code points, each of which holds a bounded number of parts, so its rows grow in proportion to the text.
@@ -25,9 +26,13 @@ _EITHER = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|p
 ASSIGN = f"(?:{_EITHER})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 #: Runs are maximal, so asking for the least length in the pattern finds the same spans as dropping shorter runs.
 ACCESS, HEX = "AKIA[A-Z0-9]{12,}", "[0-9a-f]{32,}"
-SECRET, ENDPOINT = "[A-Za-z0-9/+=]{40,}", "https?://[A-Za-z0-9._~:/?#@!$&()*+;=%-]+"
+#: '=' belongs to a key as padding only, so that NAME=<key> is a name and a key.
+SECRET = "(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{38}(?:[A-Za-z0-9/+]{2}|[A-Za-z0-9/+]=|==)(?![A-Za-z0-9/+=])"
+ENDPOINT = "https?://[A-Za-z0-9._~:/?#@!$&()*+;=%-]+"
 KINDS = ("assign", "access", "hex", "secret", "endpoint")
 PATTERNS = dict(zip(KINDS, (ASSIGN, ACCESS, HEX, SECRET, ENDPOINT), strict=True))
+#: The SQL counterpart's engine has no look-arounds; it takes runs with '=' anywhere, so it misses keys right after one.
+SQL_PATTERNS = PATTERNS | {"secret": "[A-Za-z0-9/+=]{40,}"}
 #: Code points between the ends of two parts of one credential, at most.
 SCOPE = 200
 #: Least length of an assigned value; exact length of a weak secret.
@@ -101,7 +106,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     linked = base_and_weak(docs)
     linked = link(linked).groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "end")).alias("weak")).select(F.col("doc_id").alias("s_doc"), F.col("key").alias("s_key"), "weak")
     rows = docs.withColumn("_key", _key(text)).join(linked, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("_key") == F.col("s_key")), "left")
+    # Longest first: an address is replaced as a whole before a key that is part of it.
     words = F.array_distinct(F.transform(F.coalesce("weak", F.array().cast("array<struct<start:bigint,end:bigint>>")), lambda x: F.substring(text, (x["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int"))))
+    words = F.array_sort(words, lambda a, b: F.length(b) - F.length(a))
     clean = F.aggregate(words, text, lambda t, w: F.replace(t, w, F.lit(mark)))
     named = f"((?:{_EITHER})[\"']?\\x20*[:=]\\x20*[\"']?)[A-Za-z0-9+/_.=-]{{{VALUE},}}"
     for pattern, by in ((named, "$1" + mark), (ACCESS, mark), (HEX, mark)):
@@ -120,7 +127,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql_spans(kind: str, order: int) -> str:
-    pattern = PATTERNS[kind].replace("'", "''")
+    pattern = SQL_PATTERNS[kind].replace("'", "''")
     value = f"regexp_extract_all(t, '{pattern}', 1)" if kind == "assign" else "NULL::VARCHAR[]"
     keep = {"assign": f"length(v[i]) >= {VALUE}", "secret": f"length(m[i]) = {KEY} AND NOT regexp_full_match(m[i], '[0-9a-f]*')"}.get(kind, "TRUE")
     return f"""SELECT r, '{kind}' AS kind, {order} AS ord, e - length(m[i]) AS s, e FROM (
