@@ -5,7 +5,8 @@ other runs of exactly 40 key characters ("secret"; up to two of them '=' at the
 ("endpoint"); alone they mean little. They are
 interval-joined with access identifiers of the same text: a secret within SCOPE code points of an access identifier is
 reported, and an endpoint within SCOPE of an access identifier that has such a secret too. The join hashes scopes of
-SCOPE code points, each of which holds a bounded number of parts, so its rows grow in proportion to the text.
+SCOPE code points, each of which holds a bounded number of parts, so its rows grow in proportion to the text. A part is in
+all scopes that it reaches into, and a pair comes from the first scope that both are in.
 
 Spark gives a match's text but not its place; the places follow from adding up the lengths of matches and of the stretches
 between them. Lengths count code points.
@@ -69,12 +70,13 @@ def base_and_weak(docs: DataFrame) -> DataFrame:
 def link(spans: DataFrame) -> DataFrame:
     """The weak candidates of spans that stand near their complements."""
     of = lambda kind: spans.where(F.col("kind") == kind)
-    scopes = F.explode(F.sequence(F.floor((F.col("start") - SCOPE) / SCOPE), F.floor((F.col("end") + SCOPE) / SCOPE)))
-    access = of("access").select(F.col("doc_id").alias("a_doc"), F.col("key").alias("a_key"), F.col("start").alias("a_start"), F.col("end").alias("a_end"), scopes.alias("a_scope"))
-    weak = spans.where(F.col("kind").isin("secret", "endpoint")).withColumn("scope", F.floor(F.col("start") / SCOPE))
+    scope = lambda c, by: F.floor((F.col(c) + by) / SCOPE)
+    scopes = lambda by: F.explode(F.sequence(scope("start", -by), scope("end", by)))
+    access = of("access").select(F.col("doc_id").alias("a_doc"), F.col("key").alias("a_key"), F.col("start").alias("a_start"), F.col("end").alias("a_end"), scope("start", -SCOPE).alias("a_first"), scopes(SCOPE).alias("a_scope"))
+    weak = spans.where(F.col("kind").isin("secret", "endpoint")).withColumn("first", scope("start", 0)).withColumn("scope", scopes(0))
     near = weak.join(
         access,
-        F.col("doc_id").eqNullSafe(F.col("a_doc")) & (F.col("key") == F.col("a_key")) & (F.col("scope") == F.col("a_scope")) & (F.col("start") <= F.col("a_end") + SCOPE) & (F.col("end") >= F.col("a_start") - SCOPE),
+        F.col("doc_id").eqNullSafe(F.col("a_doc")) & (F.col("key") == F.col("a_key")) & (F.col("scope") == F.col("a_scope")) & (F.col("scope") == F.greatest("first", "a_first")) & (F.col("start") <= F.col("a_end") + SCOPE) & (F.col("end") >= F.col("a_start") - SCOPE),
     )
     # Of each access identifier: is there a secret near it? Endpoints count only then.
     by_access = Window.partitionBy("a_doc", "a_key", "a_start")
