@@ -7,8 +7,13 @@ document and item: coverage is the share of the item's windows that the document
 placeholder values that stand for a single value each throughout the document. A document is contaminated by an item if its
 coverage is COVERAGE or more and its consistency CONSISTENCY or more; if values differ, it re-parameterises the item.
 
+A capitalised word that opens a sentence may be a name or not, so windows over it are hashed once for each reading, on both
+sides. Readings as plain words decide which of an item's windows count; readings as names may have one plain word less.
+
 Windows with fewer than LITERALS plain words say too little and are left out; items shorter than a window have one window,
-which documents match at that length. Each window counts once for a document however often it occurs, so tables of
+which documents match at that length. Items with no other windows, such as calculations, have windows of their literal words
+instead, marks between them included, so copies are found but not re-parameterised ones; of these, items of fewer than LITERALS
+words are left out, since documents have single numbers and names for many reasons. Each window counts once for a document however often it occurs, so tables of
 numbers and repeated passages yield no pairs beyond one.
 
 Cases: null and empty texts have no windows; a null doc_id is a document like others; rows that share a doc_id count as one
@@ -38,6 +43,9 @@ UNITS = frozenset("mm cm m km in ft yd mi mg g kg t lb lbs oz ml l s sec min h h
 _PLAIN, _NUMBER, _UNIT, _CAPITAL, _NONE = range(5)
 _MARKS = ".,;:!?\"'()[]{}<>«»“”‘’„…*#|&-–—_/\\$%€£+=~^`@¿¡"
 
+#: Stripped from literal words; signs and currencies stay.
+_PUNCTUATION = ".,;:!?\"'()[]{}«»“”‘’„…"
+
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(30))
@@ -58,6 +66,7 @@ class Templates:
         self.hash: list[int] = []
         self.kind: list[int] = []
         self.ends: list[bool] = []
+        self.literal: list[int] = []
 
     def _analyse(self, stretch: str) -> int:
         import xxhash
@@ -75,11 +84,12 @@ class Templates:
         self.hash.append(xxhash.xxh64_intdigest(core.lower().encode(), 17))
         self.kind.append(kind)
         self.ends.append(stretch.rstrip("\"')]”’»")[-1:] in (".", "!", "?", ":"))
+        self.literal.append(xxhash.xxh64_intdigest((stretch.strip(_PUNCTUATION) or stretch).lower().encode(), 19))
         self.known[stretch] = k = len(self.hash) - 1
         return k
 
     def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
-        """Template words of all texts end to end: hash, kind, text number, whether it starts a text; and the stretches they come from."""
+        """Template words of all texts end to end: hash, kind, text number, whether it is plain but may be a name; and the stretches they come from."""
         if len(self.known) > CACHE_ENTRIES:
             self.__init__()
         split = [t.split() for t in texts]
@@ -90,6 +100,7 @@ class Templates:
         at = np.fromiter(map(known.__getitem__, stretches), np.int64, len(stretches))
         kind, ends = np.array(self.kind, np.int8)[at] if len(at) else np.zeros(0, np.int8), np.array(self.ends, bool)[at] if len(at) else np.zeros(0, bool)
         text = np.repeat(np.arange(len(texts)), np.fromiter(map(len, split), np.int64, len(split)))
+        self.last = at, text
         use = np.flatnonzero(kind != _NONE)
         # A stretch of marks alone is no word, but may end a sentence.
         ended = np.maximum.accumulate(np.where(kind != _NONE, np.arange(len(kind)), -1)) if len(kind) else np.zeros(0, np.int64)
@@ -102,9 +113,15 @@ class Templates:
         prior_number = np.zeros(len(use), bool)
         prior_number[1:] = (kind[:-1] == _NUMBER) & ~first[1:]
         kind = np.where((kind == _UNIT) & ~prior_number, _PLAIN, kind)
-        kind = np.where((kind == _CAPITAL) & prior_end, _PLAIN, kind)
+        either = (kind == _CAPITAL) & prior_end
+        kind = np.where(either, _PLAIN, kind)
         h = np.where(kind == _PLAIN, h, _PLACEHOLDER[kind])
-        return h, kind, text, first, [stretches[k] for k in use.tolist()] if len(use) != len(stretches) else stretches
+        return h, kind, text, either, [stretches[k] for k in use.tolist()] if len(use) != len(stretches) else stretches
+
+    def literals(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of the texts read last: the hash of each stretch, and its text number."""
+        at, text = self.last
+        return np.array(self.literal, np.uint64)[at] if len(at) else np.zeros(0, np.uint64), text
 
 
 def _hashes(h: np.ndarray, length: int) -> np.ndarray:
@@ -116,52 +133,84 @@ def _hashes(h: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def _windows(h: np.ndarray, kind: np.ndarray, text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the windows that lie in one text and have enough plain words."""
+def _windows(h: np.ndarray, kind: np.ndarray, text: np.ndarray, length: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows that lie in one text and have `least` plain words."""
     n = len(h) - length + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     plain = np.concatenate([[0], np.cumsum(kind == _PLAIN)])
-    ok = (text[:n] == text[length - 1 :]) & (plain[length:] - plain[:n] >= min(LITERALS, length))
+    ok = (text[:n] == text[length - 1 :]) & (plain[length:] - plain[:n] >= least)
+    return np.flatnonzero(ok), _hashes(h, length)[ok]
+
+
+def _least(length: int, as_names: bool) -> int:
+    """Plain words that a window must have."""
+    return LITERALS - 1 if as_names and length == WINDOW else min(LITERALS, length)
+
+
+def _readings(h: np.ndarray, either: np.ndarray, starts: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """(starts, hashes, names) of windows once more for each choice of words that may be names and are read so; bit k of names is word k."""
+    bits = np.zeros(len(starts), np.int64)
+    for k in range(length):
+        bits |= either[starts + k].astype(np.int64) << k
+    starts, bits = starts[bits > 0], bits[bits > 0]
+    for names in range(1, 1 << length):
+        own = starts[(bits & names) == names]
+        if len(own):
+            out = np.full(len(own), length, np.uint64)
+            for k in range(length):
+                out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + (_PLACEHOLDER[_CAPITAL] if names >> k & 1 else h[own + k]))
+            yield own, out, names
+
+
+def _literal_windows(reader: Templates, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows of literal words of the texts that reader read last."""
+    h, text = reader.literals()
+    n = len(h) - length + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    ok = text[:n] == text[length - 1 :]
     return np.flatnonzero(ok), _hashes(h, length)[ok]
 
 
-def _slots(words: list[str], kind: np.ndarray, start: int, length: int) -> list[str]:
-    return [words[k].strip(_MARKS).lower() or words[k] for k in range(start, start + length) if kind[k] != _PLAIN]
+def _slots(words: list[str], kind: np.ndarray, start: int, length: int, names: int = 0) -> list[str]:
+    return [words[start + k].strip(_MARKS).lower() or words[start + k] for k in range(length) if kind[start + k] != _PLAIN or names >> k & 1]
 
 
 _SCHEMA = pa.schema([("hash", pa.int64()), ("at", pa.int32()), ("slots", pa.list_(pa.string()))])
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item_id, hash, at, slots, length) of all windows of the benchmark. A capitalised first word is taken both as a name and as a plain word, since a document may have it inside a sentence."""
+    """(item_id, hash, at, slots, opens, length) of all windows of the benchmark, in all readings. opens tells which slots open a sentence; length is negative for windows of literal words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Templates()
         for batch in batches:
             for item, text in zip(column_of(batch, "item_id").to_pylist(), column_of(batch, "text").to_pylist(), strict=True):
-                h, kind, place, _, words = reader.read([text or ""])
+                h, kind, place, either, words = reader.read([text or ""])
                 length = min(WINDOW, len(h))
                 if not length:
                     continue
-                rows = []
-                for as_name in (False, True):
-                    if as_name:
-                        if not (kind[0] == _PLAIN and words[0].strip(_MARKS)[:1].isupper()):
-                            continue
-                        h, kind = h.copy(), kind.copy()
-                        h[0], kind[0] = _PLACEHOLDER[_CAPITAL], _CAPITAL
-                    starts, hashes = _windows(h, kind, place, length)
-                    rows += [(x, s, _slots(words, kind, s, length)) for s, x in zip(starts.tolist(), hashes.view(np.int64).tolist(), strict=True) if not as_name or s == 0]
+                starts, hashes = _windows(h, kind, place, length, _least(length, False))
+                rows = [(x, s, _slots(words, kind, s, length), [False] * int((kind[s : s + length] != _PLAIN).sum())) for s, x in zip(starts.tolist(), hashes.view(np.int64).tolist(), strict=True)]
+                for own, hashes, names in _readings(h, either, starts, length):
+                    for s, x in zip(own.tolist(), hashes.view(np.int64).tolist(), strict=True):
+                        if (kind[s : s + length] == _PLAIN).sum() - names.bit_count() >= _least(length, True):
+                            rows.append((x, s, _slots(words, kind, s, length, names), [bool(names >> k & 1) for k in range(length) if kind[s + k] != _PLAIN or names >> k & 1]))
+                if not rows:
+                    size = min(WINDOW, len(reader.last[0]))
+                    starts, hashes = _literal_windows(reader, size)
+                    rows = [(x, s, [], []) for s, x in zip(starts.tolist(), hashes.view(np.int64).tolist(), strict=True) if size >= LITERALS]
+                    length = -size
                 if rows:
-                    x, s, v = zip(*rows)
-                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(rows), pa.int64()), pa.array(x, pa.int64()), pa.array(s, pa.int32()), pa.array(v, pa.list_(pa.string())), pa.array([length] * len(rows), pa.int32())], ["item_id", "hash", "at", "slots", "length"])
+                    x, s, v, o = zip(*rows)
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(rows), pa.int64()), pa.array(x, pa.int64()), pa.array(s, pa.int32()), pa.array(v, pa.list_(pa.string())), pa.array(o, pa.list_(pa.bool_())), pa.array([length] * len(rows), pa.int32())], ["item_id", "hash", "at", "slots", "opens", "length"])
 
-    return map_batches(items.select(F.col("item_id").cast("long"), F.col("text").cast("string")), run, "item_id long, hash long, at int, slots array<string>, length int")
+    return map_batches(items.select(F.col("item_id").cast("long"), F.col("text").cast("string")), run, "item_id long, hash long, at int, slots array<string>, opens array<boolean>, length int")
 
 
 def _bit_table(windows: DataFrame) -> tuple[bytes, list[int]]:
-    """A bit for each window's hash, and the lengths that occur (WINDOW and below). One table of fixed size comes from each partition."""
+    """A bit for each window's hash, and the lengths that occur (WINDOW and below; negative for literal words). One table of fixed size comes from each partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, lengths = np.zeros(TABLE_BITS // 8, np.uint8), set()
@@ -189,14 +238,24 @@ def candidate_windows(docs: DataFrame, bits: bytes, lengths: list[int]) -> DataF
             for k in range(0, batch.num_rows, 250):
                 part = batch.slice(k, 250)
                 ids = column_of(part, "doc_id").to_pylist()
-                h, kind, text, _, words = reader.read([t or "" for t in column_of(part, "text").to_pylist()])
+                h, kind, text, either, words = reader.read([t or "" for t in column_of(part, "text").to_pylist()])
                 rows: dict[tuple, None] = {}
-                for length in lengths:
-                    starts, hashes = _windows(h, kind, text, length)
+
+                def known(starts: np.ndarray, hashes: np.ndarray) -> Iterator[tuple[int, int]]:
                     at = hashes % np.uint64(TABLE_BITS)
                     hit = (table_[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                    for s, x in zip(starts[hit].tolist(), hashes[hit].view(np.int64).tolist(), strict=True):
-                        rows[ids[text[s]], x, tuple(_slots(words, kind, s, length))] = None
+                    return zip(starts[hit].tolist(), hashes[hit].view(np.int64).tolist(), strict=True)
+
+                for length in lengths:
+                    if length < 0:
+                        for s, x in known(*_literal_windows(reader, -length)):
+                            rows[ids[reader.last[1][s]], x, ()] = None
+                        continue
+                    # The benchmark's windows that are too poor are not in the table; those left out here cannot be.
+                    starts, hashes = _windows(h, kind, text, length, _least(length, True))
+                    for own, x_, names in ((starts, hashes, 0), *_readings(h, either, starts, length)):
+                        for s, x in known(own, x_):
+                            rows[ids[text[s]], x, tuple(_slots(words, kind, s, length, names))] = None
                 if rows:
                     d, x, v = zip(*rows)
                     yield pa.RecordBatch.from_arrays([pa.array(d, pa.int64()), pa.array(x, pa.int64()), pa.array([list(s) for s in v], pa.list_(pa.string()))], ["doc_id", "hash", "slots"])
@@ -211,13 +270,15 @@ def contaminated(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE,
     # Read twice below, so written once: few windows have their bit set.
     found = settled(candidate_windows(docs, bits, lengths))
     sizes = own.groupBy("item_id").agg(F.countDistinct("at").alias("windows"))
-    by_hash = own.groupBy("item_id", "hash", "slots").agg(F.collect_set("at").alias("places")).withColumnRenamed("slots", "item_slots")
+    by_hash = own.groupBy("item_id", "hash", "slots", "opens").agg(F.collect_set("at").alias("places")).withColumnRenamed("slots", "item_slots")
     pairs = found.join(by_hash, "hash")
     per_place = pairs.select("doc_id", "item_id", F.explode("places").alias("at"), "slots", "item_slots")
     matched = per_place.groupBy("doc_id", "item_id", "at").agg(F.max((F.col("slots") == F.col("item_slots")).cast("int")).alias("same"))
     matched = matched.groupBy("doc_id", "item_id").agg(F.count(F.lit(1)).alias("matched"), F.min("same").alias("same"))
-    values = pairs.where(F.size("slots") > 0).select("doc_id", "item_id", F.explode(F.arrays_zip("item_slots", "slots")).alias("x"))
-    values = values.groupBy("doc_id", "item_id", F.col("x.item_slots").alias("value")).agg((F.min("x.slots") == F.max("x.slots")).cast("int").alias("one"))
+    values = pairs.where(F.size("slots") > 0).select("doc_id", "item_id", F.explode(F.arrays_zip("item_slots", "slots", "opens")).alias("x"))
+    # What only opens sentences and stays as it is may be no name, so it says nothing of consistency.
+    idle = F.min(F.col("x.opens") & (F.col("x.slots") == F.col("x.item_slots")))
+    values = values.groupBy("doc_id", "item_id", F.col("x.item_slots").alias("value")).agg((F.min("x.slots") == F.max("x.slots")).cast("int").alias("one"), idle.alias("idle")).where(~F.col("idle"))
     steady = values.groupBy("doc_id", "item_id").agg(F.avg("one").alias("steady")).select(F.col("doc_id").alias("d"), F.col("item_id").alias("i"), "steady")
     both = matched.join(steady, F.col("doc_id").eqNullSafe(F.col("d")) & F.col("item_id").eqNullSafe(F.col("i")), "left").join(sizes.withColumnRenamed("item_id", "j"), F.col("item_id").eqNullSafe(F.col("j")))
     out = both.select("doc_id", "item_id", "matched", "windows", (F.col("matched") / F.col("windows")).alias("coverage"), F.coalesce("steady", F.lit(1.0)).alias("consistency"), (F.col("same") == 1).alias("verbatim"))

@@ -343,6 +343,24 @@ def test_decontamination(spark):
     assert decontaminate.decontaminated(docs(spark, rows), items).count() == len(rows) - 3
 
 
+def test_decontamination_of_names_that_open_sentences(spark):
+    item = "Anna has 9 red apples. Ben eats 4 of them. How many apples are left for Anna today?"
+    renamed = item.replace("Anna", "Eve").replace("Ben", "Tom").replace("9", "8")
+    torn = item.replace("Anna has", "Eve has").replace("for Anna", "for Zoe").replace("Ben", "Tom")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(1, "A text. " + renamed), (2, renamed), (3, "so " + item), (4, "He said " + renamed), (5, "The cat has 9 red apples. The dog eats 4 of them. Few apples are left."), (6, torn), *[(k + 10, t) for k, t in EDGES if k is not None]]
+    got = {r["doc_id"]: (r["matched"], r["windows"], r["verbatim"]) for r in decontaminate.contaminated(docs(spark, rows), items).collect()}
+    assert {k: got.get(k) for k in (1, 2, 3, 4)} == {1: (14, 14, False), 2: (14, 14, False), 3: (14, 14, True), 4: (14, 14, False)} and set(got) <= {1, 2, 3, 4, 6}
+    assert {r["doc_id"] for r in decontaminate.contaminated(docs(spark, rows), items, 0.8, 1.0).collect()} == {1, 2, 3, 4}
+
+
+def test_decontamination_of_items_without_plain_words(spark):
+    items = spark.createDataFrame([(1, "Compute 12 * 7 + 45 - 3"), (2, "Boris Anna Carla Dora Emil Frieda"), (3, "42"), (4, "Compute 12 * 7")], "item_id long, text string")
+    rows = [(1, "Question: compute 12 * 7 + 45 - 3. Then 42 more."), (2, "Compute 12 + 7 * 45 - 3"), (3, "Compute 13 * 8 + 46 - 4"), (4, "of (Boris Anna Carla Dora Emil Frieda)"), (5, "42"), (6, "Compute 12 * 7 = 84")]
+    got = {(r["doc_id"], r["item_id"]): (r["verbatim"], r["consistency"]) for r in decontaminate.contaminated(docs(spark, rows), items).collect()}
+    assert got == {(1, 1): (True, 1.0), (1, 4): (True, 1.0), (4, 2): (True, 1.0), (6, 4): (True, 1.0)}
+
+
 def brute_secrets(text):
     letters = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
     spans = [("assign", m.start(), m.end()) for m in re.finditer(f"({letters})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text) if len(m[2]) >= 8]
