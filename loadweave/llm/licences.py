@@ -1,7 +1,7 @@
 """Licence scans by sentences and ordered rules, in DataFrame operations only.
 
-A text is cut into sentences twice: at sentence ends and line breaks, and at sentence ends and blank lines (for wrapped
-text). Sentences are normalised (ASCII lower case, runs of other characters as one space) and mapped to identifiers of known
+A text is cut into sentences three times: at sentence ends and line breaks, at sentence ends and blank lines (for wrapped
+text), and at sentence ends, colons and blank lines (for text that goes on after "the following conditions:"). Sentences are normalised (ASCII lower case, runs of other characters as one space) and mapped to identifiers of known
 licence sentences through a small constant table. A document's identifiers, in order, are then matched against rules: a
 rule names sentences that must follow each other, with other sentences between them as long as none of the steps between
 known sentences exceeds MAX_GAP.
@@ -124,6 +124,8 @@ def _rule_pattern(ids: list[str]) -> str:
 _CUT = "\x02"
 _ENDS, _SPACE = "([.!?;])[ \\t\\r\\n\\f]+", "[ \\t\\r\\f]"
 _SPLITS = {"line": "\\n", "paragraph": f"\\n{_SPACE}*\\n"}
+#: Sentence ends and breaks of each way of cutting; the SQL counterpart has the first two ways.
+_WAYS = {way: (_ENDS, at) for way, at in _SPLITS.items()} | {"colon": (_ENDS.replace(";", ";:"), _SPLITS["paragraph"])}
 
 
 def _key(text: Column) -> Column:
@@ -131,7 +133,7 @@ def _key(text: Column) -> Column:
 
 
 def sentences(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, way, at, id): the known sentences of each text, by both ways of cutting."""
+    """(doc_id, key, way, at, id): the known sentences of each text, by all ways of cutting."""
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     small = lambda c: F.translate(c, _CAPITALS, _SMALL)
@@ -139,7 +141,7 @@ def sentences(docs: DataFrame) -> DataFrame:
     rows = docs.where(small(text).rlike("licen|permission|copyright|warrant|redistribut|software|unencumbered|domain|version|gpl|cc")).where(has)
     rows = rows.select("doc_id", _key(text).alias("key"), text.alias("text"))
     # Rows repeated in full give the same sentences; they count once here.
-    ways = F.explode(F.array(*[F.struct(F.lit(way).alias("way"), F.split(F.regexp_replace(F.regexp_replace("text", _ENDS, "$1" + _CUT), at, _CUT), _CUT).alias("parts")) for way, at in _SPLITS.items()]))
+    ways = F.explode(F.array(*[F.struct(F.lit(way).alias("way"), F.split(F.regexp_replace(F.regexp_replace("text", ends, "$1" + _CUT), at, _CUT), _CUT).alias("parts")) for way, (ends, at) in _WAYS.items()]))
     each = rows.select("doc_id", "key", ways.alias("w")).select("doc_id", "key", "w.way", F.posexplode("w.parts").alias("at", "part"))
     # A constant table of some 2000 rows.
     known = spark.createDataFrame(list(known_sentences().items()), T.StructType([T.StructField("sentence", T.StringType()), T.StructField("id", T.StringType())]))

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -328,6 +329,14 @@ def test_licences(spark):
     assert all(any(w in s for w in licences.KEY_WORDS) for s in licences.known_sentences())
 
 
+def test_licences_that_go_on_after_a_colon(spark):
+    text = licences.SENTENCES
+    mit = " ".join(text[k] for k in ("mit-grant", "mit-notice", "mit-as-is", "mit-liability"))
+    wrapped = "\n".join(textwrap.wrap(text["bsd-grant"], 72)) + "\n" + "\n".join("\n".join(textwrap.wrap(f"{n}. {text[k]}", 72)) for n, k in enumerate(("bsd-source", "bsd-binary", "bsd-names"), 1)) + "\n\n" + text["bsd-as-is"]
+    got = {r["doc_id"]: r["licences"] for r in licences.scan(docs(spark, [(1, "Copyright 2020. " + mit), (2, wrapped), (3, text["gpl3-whole"]), (4, "SPDX-License-Identifier: MIT")])).collect()}
+    assert got == {1: ["MIT"], 2: ["BSD-2-Clause", "BSD-3-Clause"], 3: ["GPL-3.0"], 4: ["MIT"]}
+
+
 def test_decontamination(spark):
     item = "A train leaves the old station at 9 and travels 120 km before it meets Anna near the river."
     other = item.replace("9", "7").replace("120", "85").replace("Anna", "Boris")
