@@ -495,19 +495,19 @@ def _translation(spark, sf_dir, settings):
     return regress.translate(load, base, target, ["kind"], ["county"], ["hvac", "gas"], features, "dry_bulb", settings)
 
 
-_QUICK = regress.Settings(trees=20, depth=6, epochs=5, folds=2)
+_WHOLE = regress.Settings(folds=5)
 
 
 @query()
 def regression_pipeline(spark, sf_dir):
     """Profiles of the target hours by forest and network; random models have no counterpart in the other engine."""
-    return _translation(spark, sf_dir, _QUICK)[0]
+    return _translation(spark, sf_dir, _WHOLE)[0]
 
 
 @query()
 def regression_metrics(spark, sf_dir):
     """Held-out errors, fold errors, importances and the extrapolated share of each group's fit."""
-    return _translation(spark, sf_dir, _QUICK)[1]
+    return _translation(spark, sf_dir, _WHOLE)[1]
 
 
 _ACTUAL = "a AS (SELECT kind, ts, v, v * 1.1 + 2 AS p FROM hourly)"

@@ -44,3 +44,10 @@ def test_entry_has_rows(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_models_have_production_settings(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(catalogue.regress, "translate", lambda *a: (a[-1], a[-1]))
+    for name in ("regression_pipeline", "regression_metrics"):
+        used = catalogue.QUERIES[name](spark, sf_dir)
+        assert (used.trees, used.depth, used.epochs, used.folds) == (100, 10, 50, 5)
