@@ -237,6 +237,13 @@ def daily_resample(spark, sf_dir):
     return rounded(series.by_day(e, ["kind"], "v")).withColumn("day", F.col("day").cast("string"))
 
 
+@query("WITH s AS (SELECT event_type AS kind, ts::DATE AS day, sum(value) AS v FROM events GROUP BY ALL), e AS (SELECT kind, unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM s GROUP BY kind) SELECT kind, day::VARCHAR AS day, round_even(coalesce(v, 0), 6) AS v FROM e LEFT JOIN s USING (kind, day)")
+def daily_resample_all(spark, sf_dir):
+    """daily_resample over all events."""
+    e = read(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), "ts", F.col("value").alias("v"))
+    return rounded(series.by_day(e, ["kind"], "v")).withColumn("day", F.col("day").cast("string"))
+
+
 @query("SELECT event_type, unnest(generate_series(min(date_trunc('day', ts)), max(date_trunc('day', ts)), INTERVAL 1 HOUR)) AS ts FROM events GROUP BY event_type")
 def hourly_calendar(spark, sf_dir):
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
@@ -356,6 +363,12 @@ def pair_set_compare(spark, sf_dir):
     return relational.pair_sets(p, "a", "b")
 
 
+@query("WITH l AS (SELECT DISTINCT l_suppkey AS v FROM lineitem), m AS (SELECT DISTINCT l_partkey AS v FROM lineitem), q AS (SELECT DISTINCT l_suppkey AS a, l_partkey AS b FROM lineitem) SELECT (SELECT count(*) FROM l) AS n_left, (SELECT count(*) FROM m) AS n_right, (SELECT count(*) FROM (SELECT v FROM l INTERSECT SELECT v FROM m)) AS n_both, (SELECT count(*) FROM (SELECT v FROM l EXCEPT SELECT v FROM m)) AS left_only, (SELECT count(*) FROM (SELECT v FROM m EXCEPT SELECT v FROM l)) AS right_only, (SELECT count(*) FROM q) AS n_pairs, (SELECT count(*) FROM q WHERE a = b) AS n_same")
+def pair_set_compare_all(spark, sf_dir):
+    """pair_set_compare over all line items and their whole keys."""
+    return relational.pair_sets(read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey"), "l_suppkey", "l_partkey")
+
+
 @query("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier WHERE s_suppkey % 3 = 0")
 def set_intersect(spark, sf_dir):
     return read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).intersect(read(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select("s_nationkey"))

@@ -51,3 +51,11 @@ def test_models_have_production_settings(spark, sf_dir, monkeypatch):
     for name in ("regression_pipeline", "regression_metrics"):
         used = catalogue.QUERIES[name](spark, sf_dir)
         assert (used.trees, used.depth, used.epochs, used.folds) == (100, 10, 50, 5)
+
+
+def test_whole_tables_are_read(spark, duck, sf_dir):
+    total = duck.execute("SELECT sum(value) FROM events").fetchone()[0]
+    days = catalogue.QUERIES["daily_resample_all"](spark, sf_dir).collect()
+    assert math.isclose(sum(r["v"] for r in days), total, rel_tol=1e-9)
+    pairs = catalogue.QUERIES["pair_set_compare_all"](spark, sf_dir).first()
+    assert pairs["n_pairs"] == duck.execute("SELECT count(*) FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem)").fetchone()[0]
