@@ -7,15 +7,19 @@ each query over all trees are its result.
 
 With integer vectors, <q, x> = (|q|^2 + |x|^2 - d(q, x)^2) / 2. A node of pivot p, radius r and longest vector n thus holds
 no score above (|q|^2 + n^2 - max(0, d(q, p) - r)^2) / 2, and since d(q, p) >= |d(q, o) - d(o, p)| for the parent's pivot o,
-that bound can be had from stored distances before d(q, p) is computed; likewise for entries in a page. Every query takes
-pages best bound first, a few at a time and many queries at once, until the best bound left is below its k-th score.
+that bound can be had from stored distances before d(q, p) is computed; likewise for entries in a page. Every query has one
+queue of nodes and pages and takes what has the best bound, a few at a time and many queries at once, until the best bound
+left is below its k-th score. Distances to pivots that the stored bound rules out are not computed; `computed` and `avoided`
+count them.
 
-Equal vectors are one entry with their ids in order, of which only the first k + 1 can matter to any query.
+Equal vectors are one entry with their ids in order. Of a query's own ids none counts, and of the others only the first k can
+matter, so as many ids are looked at as k and the most frequent id of the entry make.
 
 Cases: null vectors, and vectors with null or non-finite components, take no part, nor do rows without vec_id; vectors of
 other lengths are searched among themselves; rows that share the query's vec_id are the query's own and no candidates;
-repeated candidate rows count each, repeated query rows once; an empty table gives no rows; extra columns are ignored.
-Components are expected to stay below 2^20 after scaling, where all sums are exact.
+repeated candidate rows count each, repeated query rows once (the least vector, if they differ); an empty table gives no
+rows; extra columns are ignored. Sums are exact while a vector's squared length, after scaling, is below 2^52; a longer
+vector stops the job with an error that says so, as its scores would be wrong.
 """
 
 from __future__ import annotations
@@ -33,12 +37,14 @@ from .common import settled, table
 SCALE, K, EVERY = 64, 20, 20
 #: Vectors of a tree, entries of a page, pages of an inner node, queries of a block.
 TREE, PAGE, FAN, QUERIES_AT_ONCE = 4096, 64, 16, 512
+#: Squared lengths from here on are refused: below it every sum of products is an exact double.
+TOO_LONG = 2.0**52
 
 
 class Tree:
     """One block's M-tree, as flat arrays: entries sorted by page, pages by inner node."""
 
-    PARTS = ("vectors", "norm2", "id_at", "ids", "page_at", "page_pivot", "page_radius", "page_norm2", "entry_far", "node_at", "node_pivot", "node_radius", "node_norm2", "page_far")
+    PARTS = ("vectors", "norm2", "id_at", "ids", "id_most", "page_at", "page_pivot", "page_radius", "page_norm2", "entry_far", "node_at", "node_pivot", "node_radius", "node_norm2", "page_far")
 
     def save(self) -> bytes:
         out = io.BytesIO()
@@ -82,6 +88,9 @@ class Tree:
         at = np.concatenate(pages)
         tree.vectors, tree.ids = vectors[at].astype(np.float64), np.concatenate([ids[order][id_at[k] : id_at[k + 1]] for k in at.tolist()])
         tree.id_at = np.concatenate([[0], np.cumsum(np.diff(id_at)[at])])
+        runs = np.flatnonzero(np.concatenate([[True], (np.diff(tree.ids) != 0) | np.isin(np.arange(1, len(tree.ids)), tree.id_at)]))
+        lengths = np.diff(np.append(runs, len(tree.ids)))
+        tree.id_most = np.maximum.reduceat(lengths, np.searchsorted(runs, tree.id_at[:-1]))
         tree.norm2 = (tree.vectors**2).sum(1)
         tree.page_at = np.concatenate([[0], np.cumsum([len(p) for p in pages])])
         tree.node_at = np.array([*nodes, len(pages)])
@@ -129,7 +138,7 @@ class Tree:
                 return
             scores = q[rows] @ self.vectors[a + own].T
             first = self.id_at[a + own]
-            width = np.minimum(self.id_at[a + own + 1] - first, k + 1)
+            width = np.minimum(self.id_at[a + own + 1] - first, k + self.id_most[a + own])
             column = np.repeat(np.arange(len(own)), width)
             ids = self.ids[np.repeat(first, width) + np.arange(len(column)) - np.repeat(np.cumsum(width) - width, width)]
             scores = np.where(ids == query_ids[rows, None], -np.inf, scores[:, column])
@@ -142,65 +151,60 @@ class Tree:
             top = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
             best[rows], best_id[rows] = np.take_along_axis(all_scores, top, 1), np.take_along_axis(all_ids, top, 1)
 
-        def visit_all(rows: np.ndarray, pages: np.ndarray, far: np.ndarray) -> None:
-            order = np.argsort(pages, kind="stable")
-            cuts = np.flatnonzero(np.diff(pages[order])) + 1
-            for part in np.split(order, cuts):
-                if len(part):
-                    visit(int(pages[part[0]]), rows[part], far[part])
-
-        everyone = np.arange(n)
-        node_far = distance(everyone, self.node_pivot)
-        node_above = above(node_far, everyone, self.node_radius, self.node_norm2)
-        # First the best page of the best node, which gives each query a score to beat.
-        page_far = np.full((n, len(self.page_radius)), np.nan)
-        nearest = node_above.argmax(1)
-
-        def open_nodes(chosen: np.ndarray) -> None:
-            """Distances to the pivots of pages in chosen (query, node) pairs, but for pages that the stored distance rules out."""
-            for node in np.flatnonzero(chosen.any(0)).tolist():
-                rows = np.flatnonzero(chosen[:, node])
-                a, b = self.node_at[node], self.node_at[node + 1]
-                stored = np.abs(node_far[rows, node][:, None] - self.page_far[a:b])
-                may = above(stored, rows, self.page_radius[a:b], self.page_norm2[a:b]) >= best[rows, -1:]
-                far = distance(rows, self.page_pivot[a:b])
-                page_far[rows, a:b] = np.where(may, far, np.nan)
-
-        chosen = np.zeros(node_above.shape, bool)
-        chosen[everyone, nearest] = True
-        open_nodes(chosen)
-        page_above = np.where(np.isnan(page_far), -np.inf, above(page_far, everyone, self.page_radius, self.page_norm2))
-        start = page_above.argmax(1)
-        visit_all(everyone, start, page_far[everyone, start])
-        seen = np.zeros(page_far.shape, bool)
-        seen[everyone, start] = True
-        open_nodes((node_above >= best[:, -1:]) & ~chosen)
-        page_above = np.where(np.isnan(page_far) | seen, -np.inf, above(page_far, everyone, self.page_radius, self.page_norm2))
-        # Then the others, best bound first; a query stops at the first page that cannot hold one of its k best.
-        ranked = np.argsort(-page_above, axis=1, kind="stable")
-        done, step, active = 0, 2, everyone
-        while done < ranked.shape[1] and len(active):
-            some = ranked[active, done : done + step]
-            bound = np.take_along_axis(page_above[active], some, 1)
+        nodes, pages = len(self.node_radius), len(self.page_radius)
+        # The queue: no score is above this, for each query and node or page that waits; and distances to the pivots.
+        far = np.full((n, nodes + pages), np.nan)
+        queue = np.full((n, nodes + pages), -np.inf)
+        far[:, :nodes] = distance(np.arange(n), self.node_pivot)
+        queue[:, :nodes] = above(far[:, :nodes], np.arange(n), self.node_radius, self.node_norm2)
+        self.computed, self.avoided = 0, 0
+
+        def open_node(node: int, rows: np.ndarray) -> None:
+            """Puts the node's pages into the queues of rows, but for pages that the stored distance rules out."""
+            a, b = self.node_at[node], self.node_at[node + 1]
+            stored = np.abs(far[rows, node][:, None] - self.page_far[a:b])
+            may = above(stored, rows, self.page_radius[a:b], self.page_norm2[a:b]) >= best[rows, -1:]
+            self.computed, self.avoided = self.computed + int(may.sum()), self.avoided + int((~may).sum())
+            for c in np.flatnonzero(may.any(0)).tolist():
+                some, page = rows[may[:, c]], slice(a + c, a + c + 1)
+                d = distance(some, self.page_pivot[page])
+                far[some, nodes + a + c] = d[:, 0]
+                queue[some, nodes + a + c] = above(d, some, self.page_radius[page], self.page_norm2[page])[:, 0]
+
+        step, active = 1, np.arange(n)
+        while len(active):
+            some = np.argsort(-queue[active], axis=1, kind="stable")[:, :step]
+            bound = np.take_along_axis(queue[active], some, 1)
             want = (bound >= best[active, -1:]) & (bound > -np.inf)
             r, c = np.nonzero(want)
-            visit_all(active[r], some[r, c], page_far[active[r], some[r, c]])
-            done, step, active = done + step, min(2 * step, 64), active[want[:, -1]]
+            rows, items = active[r], some[r, c]
+            queue[rows, items] = -np.inf
+            order = np.argsort(items, kind="stable")
+            for part in np.split(order, np.flatnonzero(np.diff(items[order])) + 1):
+                if len(part) and (item := int(items[part[0]])) < nodes:
+                    open_node(item, rows[part])
+                elif len(part):
+                    visit(item - nodes, rows[part], far[rows[part], item])
+            step, active = min(2 * step, 64), active[want[:, 0]]
         rows, columns = np.nonzero(best > -np.inf)
         return query_ids[rows], best_id[rows, columns], best[rows, columns].astype(np.int64)
 
 
 def scaled(vector: Column) -> Column:
-    """floor(SCALE * x) of each component as a double; null if the vector or a component is null, or one is not finite."""
+    """floor(SCALE * x) of each component as a double; null if the vector or a component is null, or one is not finite; an error if it is too long."""
     x = vector.cast("array<double>")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    return F.when(x.isNotNull() & (F.size(x) > 0) & ~bad, F.transform(x, lambda v: F.floor(v * SCALE).cast("double")))
+    # Doubles this large are whole numbers, which floor() would cast to a long.
+    whole = F.transform(x, lambda v: F.when(F.abs(v) < TOO_LONG, F.floor(v * SCALE).cast("double")).otherwise(v * SCALE))
+    norm2 = F.aggregate(whole, F.lit(0.0), lambda a, v: a + v * v)
+    error = F.raise_error(F.lit("an embedding's squared length reaches 2^52 after scaling: its scores would not be exact")).cast("array<double>")
+    return F.when(x.isNotNull() & (F.size(x) > 0) & ~bad, F.when(norm2 < TOO_LONG, whole).otherwise(error))
 
 
 def _packed(rows: DataFrame, name: str, size: int) -> DataFrame:
     """Rows (vec_id, z) in blocks of about `size`: dim, name (the block's number), ids, values (rows end to end)."""
     n = rows.groupBy("dim").count().select("dim", F.ceil(F.col("count") / size).cast("int").alias("parts"))
-    dealt = rows.join(F.broadcast(n), "dim").withColumn(name, F.pmod(F.xxhash64("vec_id", F.lit(name)), F.col("parts")).cast("int"))
+    dealt = rows.join(F.broadcast(n), "dim").withColumn(name, F.pmod(F.xxhash64("vec_id", "z", F.lit(name)), F.col("parts")).cast("int"))
     packed = dealt.groupBy("dim", name).agg(F.collect_list(F.struct("vec_id", "z")).alias("rows"))
     return packed.select("dim", name, F.col("rows.vec_id").alias("ids"), F.flatten("rows.z").alias("values"))
 
@@ -208,8 +212,12 @@ def _packed(rows: DataFrame, name: str, size: int) -> DataFrame:
 def top_k(rows: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k highest inner products of each query with all rows. rows: vec_id, embedding."""
     spark = rows.sparkSession
-    good = rows.select(F.col("vec_id").cast("long").alias("vec_id"), scaled(F.col("embedding")).alias("z")).where(F.col("vec_id").isNotNull() & F.col("z").isNotNull()).withColumn("dim", F.size("z"))
-    good = settled(good)
+    asks = is_query.alias("asks")
+    good = rows.select(F.col("vec_id").cast("long").alias("vec_id"), asks, scaled(F.col("embedding")).alias("z")).where(F.col("vec_id").isNotNull() & F.col("z").isNotNull())
+    # Of rows with one id and one vector no more than k can be among anyone's k best, so k of them are all that a tree needs.
+    each = good.groupBy("vec_id", "z").agg(F.count(F.lit(1)).alias("copies"), F.coalesce(F.bool_or("asks"), F.lit(False)).alias("asks"))
+    each = settled(each.withColumn("dim", F.size("z")))
+    candidates = each.select("vec_id", "z", "dim", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)).cast("int"))).alias("copy")).drop("copy")
     width = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,21 +228,28 @@ def top_k(rows: DataFrame, is_query: Column, k: int = K) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0)[row : row + 1], batch.column(1)[row : row + 1], pa.array([tree.save()], pa.binary())], ["dim", "tree_no", "tree"])
 
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    trees = settled(_packed(good, "tree_no", TREE).mapInArrow(plant, "dim int, tree_no int, tree binary"))
-    queries = settled(_packed(good.where(is_query).dropDuplicates(["vec_id"]), "query_no", QUERIES_AT_ONCE))
-    # A row for each tree and query block; the number of trees of a length of vectors is small and known from their count.
-    numbers = trees.select("dim", "tree_no").groupBy("dim").agg(F.max("tree_no").alias("last"))
-    asked = queries.join(F.broadcast(numbers), "dim").withColumn("tree_no", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    grid = asked.repartition(width, "dim", "query_no", "tree_no").join(trees, ["dim", "tree_no"]).select("ids", "values", "tree")
+    trees = settled(_packed(candidates, "tree_no", TREE).mapInArrow(plant, "dim int, tree_no int, tree binary"))
+    own = each.where("asks").groupBy("vec_id").agg(F.min("z").alias("z")).withColumn("dim", F.size("z"))
+    queries = settled(_packed(own, "query_no", QUERIES_AT_ONCE))
+    # Each tree goes to one task, once, and query blocks come to it one after another.
+    numbers = trees.select("dim", "tree_no")
+    asked = queries.join(F.broadcast(numbers.groupBy("dim").agg(F.collect_list("tree_no").alias("all"))), "dim")
+    asked = asked.select("dim", F.explode("all").alias("tree_no"), "query_no", "ids", "values", F.lit(None).cast("binary").alias("tree"))
+    first = trees.select("dim", "tree_no", F.lit(-1).alias("query_no"), F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<double>").alias("values"), "tree")
+    lined = first.unionByName(asked).repartition(width, "dim", "tree_no").sortWithinPartitions("dim", "tree_no", "query_no")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = None
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, values = (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in (0, 1))
-                q, v, s = Tree.load(batch.column(2)[row].as_py()).search(ids, values.reshape(len(ids), -1), k)
+                if batch.column(2)[row].as_py() < 0:
+                    tree = Tree.load(batch.column(5)[row].as_py())
+                    continue
+                ids, values = (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in (3, 4))
+                q, v, s = tree.search(ids, values.reshape(len(ids), -1), k)
                 yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(s)], ["query_id", "vec_id", "score"])
 
-    found = grid.mapInArrow(search, "query_id long, vec_id long, score long")
+    found = lined.mapInArrow(search, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -247,7 +262,7 @@ ORACLE = f"""
 WITH good AS (SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS z FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.z, c.z)::BIGINT AS score
-  FROM (SELECT DISTINCT ON (vec_id) * FROM good WHERE vec_id % {EVERY} = 0) q JOIN good c ON c.vec_id <> q.vec_id AND len(c.z) = len(q.z)),
+  FROM (SELECT vec_id, min(z) AS z FROM good WHERE vec_id % {EVERY} = 0 GROUP BY vec_id) q JOIN good c ON c.vec_id <> q.vec_id AND len(c.z) = len(q.z)),
 ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
 SELECT * FROM ranked WHERE rank <= {K}
 """

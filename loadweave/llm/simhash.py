@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import column_of, map_batches, settled, table, widened
@@ -146,25 +146,38 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for each row of docs; component_id is the smallest doc_id of its component."""
-    rows = settled(fingerprints(docs.select("doc_id", "text")).select("doc_id", "fingerprint"))
+def grouped(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, text_hash, fingerprint, root, component_id) for each row of docs. root, a fingerprint, names the component;
+    component_id is its smallest doc_id, which two components share where rows of different texts share a doc_id."""
+    rows = docs.select("doc_id", "text", _text_hash().alias("text_hash"))
+    rows = settled(fingerprints(rows).select("doc_id", "text_hash", "fingerprint"))
     distinct = settled(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
     linked = components(links(distinct, radius)).select(F.col("node").alias("fingerprint"), "root")
     rooted = distinct.join(linked, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = rooted.select("fingerprint", "root").join(named, "root").select("fingerprint", "component_id")
-    return rows.join(of_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    of_print = rooted.select("fingerprint", "root").join(named, "root")
+    return rows.join(of_print, "fingerprint").select("doc_id", "text_hash", "fingerprint", "root", "component_id")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) for each row of docs; component_id is the smallest doc_id of its component."""
+    return grouped(docs, radius).select("doc_id", "fingerprint", "component_id")
 
 
 def representatives(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The rows of docs, unchanged, of one document of each component: that of the smallest doc_id, and one row of it.
+    """One row of docs, unchanged, of each component: of its smallest doc_id, and where rows of that doc_id have several of
+    the component's texts, the text of the smallest hash.
 
     Rows without a doc_id cannot stand for others and are kept."""
-    found = near_duplicates(docs, radius)
-    chosen = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_chosen")).distinct()
-    own = docs.join(chosen, F.col("doc_id") == F.col("_chosen"), "left_semi")
-    one = own.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("_row = 1").drop("_row")
+    least = grouped(docs, radius).where(F.col("doc_id") == F.col("component_id"))
+    chosen = least.groupBy("root", "component_id").agg(F.min("text_hash").alias("_hash")).select(F.col("component_id").alias("_chosen"), "_hash")
+    own = docs.join(chosen, (F.col("doc_id") == F.col("_chosen")) & (_text_hash() == F.col("_hash")), "left_semi")
+    repeats = Window.partitionBy("doc_id", _text_hash()).orderBy(F.xxhash64(*docs.columns))
+    one = own.withColumn("_row", F.row_number().over(repeats)).where("_row = 1").drop("_row")
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
 
 

@@ -88,7 +88,7 @@ def brute_components(rows, radius=3):
     for (i, _), r in zip(rows, root, strict=True):
         if i is not None:
             least[r] = min(least.get(r, i), i)
-    return sorted(((i, np.array([p], np.uint64).view(np.int64)[0], least.get(r)) for (i, _), p, r in zip(rows, prints, root, strict=True)), key=repr)
+    return sorted(((i, np.array([p], np.uint64).view(np.int64)[0], least.get(r)) for (i, _), p, r in zip(rows, prints, root, strict=True)), key=repr), sorted(least.values())
 
 
 def test_fingerprint_bit_by_bit():
@@ -111,10 +111,19 @@ def test_simhash_components(spark):
         base[rng.randrange(len(base))] = "changed"
         rows.append((1001 - 2 * k, " ".join(base)))
     rows += EDGES + [(2000, rows[0][1])]
-    assert rows_of(simhash.near_duplicates(docs(spark, rows)).select("doc_id", "fingerprint", "component_id")) == [(a, int(b), c) for a, b, c in brute_components(rows)]
+    assert rows_of(simhash.near_duplicates(docs(spark, rows)).select("doc_id", "fingerprint", "component_id")) == [(a, int(b), c) for a, b, c in brute_components(rows)[0]]
     kept = simhash.representatives(docs(spark, rows).withColumn("component_id", F.lit("mine")))
-    chosen = {c for _, _, c in brute_components(rows) if c is not None}
-    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(chosen) and kept.columns[-1] == "component_id"
+    # One row of each component; doc_ids 4 and 6 stand for two components each.
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == brute_components(rows)[1] and kept.columns[-1] == "component_id"
+
+
+def test_representatives_of_shared_doc_ids(spark):
+    rng = random.Random(6)
+    a, b, c = (" ".join(rng.choices([f"w{k}" for k in range(300)], k=80)) for _ in range(3))
+    rows = [(5, a), (5, b), (7, a), (9, b), (9, c), (9, c), (11, None), (11, ""), (None, c)]
+    kept = simhash.representatives(docs(spark, rows).withColumn("root", F.lit("r")).withColumn("text_hash", F.lit(1)))
+    got = rows_of(kept.select("doc_id", F.coalesce("text", F.lit(""))))
+    assert got == sorted([(5, a), (5, b), (9, c), (11, ""), (None, c)], key=repr) and kept.columns[-2:] == ["root", "text_hash"]
 
 
 def test_forest_connects_what_links_connect():
@@ -206,6 +215,32 @@ def test_tree_search_is_exact():
             assert b[a == ids[k]].tolist() == ids[other][want].tolist() and s[a == ids[k]].tolist() == score[other][want].tolist()
 
 
+def test_search_of_repeated_own_rows(spark):
+    rows = [(20, [1.0])] * 25 + [(21, [1.0]), (22, [0.5]), (23, [-1.0])] + [(24, [0.25])] * 30
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = [(r["vec_id"], r["score"]) for r in mtree.top_k(df, F.col("vec_id") == 20, 5).orderBy("rank").collect()]
+    assert got == [(21, 4096), (22, 2048), (24, 1024), (24, 1024), (24, 1024)]
+    assert [r["vec_id"] for r in mtree.top_k(df, F.col("vec_id") == 21, 26).orderBy("rank").collect()] == [20] * 25 + [22]
+
+
+@pytest.mark.parametrize("x", [2e17, 2e7, -3e37])
+def test_search_refuses_lengths_it_cannot_add_up(spark, x):
+    df = spark.createDataFrame([(20, [x]), (21, [1.0])], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="would not be exact"):
+        mtree.top_k(df, F.col("vec_id") == 20).collect()
+
+
+def test_stored_distances_avoid_computations():
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.integers(-3000, 3000, (40, 8)), 100, axis=0) + rng.integers(-20, 20, (4000, 8))
+    tree = mtree.Tree.build(np.arange(4000), x)
+    a, b, s = tree.search(np.arange(0, 4000, 100), x[::100], 5)
+    want = [np.lexsort((np.arange(4000), -np.where(np.arange(4000) == i, -(2**60), x @ x[i])))[:5] for i in range(0, 4000, 100)]
+    assert b.reshape(-1, 5).tolist() == [w.tolist() for w in want]
+    # Pages whose distance was worked out are fewer than all pages of all queries, and some were left out by the stored bound.
+    assert tree.avoided > 0 and tree.computed < 40 * len(tree.page_radius)
+
+
 def test_search_leaves_out_what_has_no_numbers(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, None), (3, [1.0, None]), (4, [nan, 1.0]), (5, [inf, 1.0]), (20, [-0.01, 0.3]), (20, [-0.01, 0.3]), (None, [1.0, 1.0]), (40, []), (60, [1.0, 2.0, 3.0])]
