@@ -171,13 +171,7 @@ class Tree:
                 far[some, nodes + a + c] = d[:, 0]
                 queue[some, nodes + a + c] = above(d, some, self.page_radius[page], self.page_norm2[page])[:, 0]
 
-        step, active = 1, np.arange(n)
-        while len(active):
-            some = np.argsort(-queue[active], axis=1, kind="stable")[:, :step]
-            bound = np.take_along_axis(queue[active], some, 1)
-            want = (bound >= best[active, -1:]) & (bound > -np.inf)
-            r, c = np.nonzero(want)
-            rows, items = active[r], some[r, c]
+        def take(rows: np.ndarray, items: np.ndarray) -> None:
             queue[rows, items] = -np.inf
             order = np.argsort(items, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(items[order])) + 1):
@@ -185,6 +179,18 @@ class Tree:
                     open_node(item, rows[part])
                 elif len(part):
                     visit(item - nodes, rows[part], far[rows[part], item])
+
+        # First the best page of the best node, which gives each query a score to beat.
+        active = np.arange(n)
+        take(active, queue[:, :nodes].argmax(1))
+        take(active, nodes + queue[:, nodes:].argmax(1))
+        step = 2
+        while len(active):
+            some = np.argsort(-queue[active], axis=1, kind="stable")[:, :step]
+            bound = np.take_along_axis(queue[active], some, 1)
+            want = (bound >= best[active, -1:]) & (bound > -np.inf)
+            r, c = np.nonzero(want)
+            take(active[r], some[r, c])
             step, active = min(2 * step, 64), active[want[:, 0]]
         rows, columns = np.nonzero(best > -np.inf)
         return query_ids[rows], best_id[rows, columns], best[rows, columns].astype(np.int64)
