@@ -6,10 +6,10 @@ is the product over its words (runs of letters, in lower case, each after a word
 likelihoods of words it has met in a table of bounded size. Probabilities are learned by expectation-maximisation, whose
 expected counts sum over all segmentations too, from a bounded sample of the documents that are not held out.
 
-Characters that no piece covers cost a small constant in every language. Words over 24 letters are cut every 24 letters,
-and segmentations do not cross those cuts.
+Characters that no piece covers cost a small constant in every language. Words of any length are summed whole: longer ones,
+as in scripts without spaces, one by one in logarithms.
 
-Cases: a null text, or one without a letter, gives `und` and score 0; documents with a null language are not learned from;
+Cases: a null text, or one without a letter (Unicode's letters; numerals such as fractions are none), gives `und` and score 0; documents with a null language are not learned from;
 without any language known every text with a letter gives `und` and 0; ties go to the language that sorts first; repeated
 rows repeat; an empty table gives no rows.
 """
@@ -23,26 +23,28 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import column_of, held_out, map_batches, table, widened
 
-#: Documents that the probabilities are learned from, at most (about), and different words of each language, at most.
-MAX_LEARNED, MAX_WORDS = 4000, 30_000
-#: Words whose likelihoods a worker keeps in each of two generations.
-CACHE_ENTRIES = 250_000
-#: Longest word and longest piece; probability of a character outside the vocabulary; rounds of learning.
-WORD, PIECE, UNSEEN, ROUNDS = 24, 16, 1e-9, 3
+#: Documents that the probabilities are learned from, at most (about), in equal parts by language.
+MAX_LEARNED = 4000
+#: Words whose likelihoods a worker keeps in each of two generations; words that are summed at once.
+CACHE_ENTRIES, AT_ONCE = 250_000, 5000
+#: Words over this are summed in logarithms; probability of a character outside the vocabulary; rounds of learning.
+WORD, UNSEEN, ROUNDS = 24, 1e-9, 3
 START = "▁"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_ALMOST = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str) -> list[str]:
-    found = _LETTERS.findall(text.lower())
-    if any(len(w) > WORD for w in found):
-        found = [w[k : k + WORD] for w in found for k in range(0, len(w), WORD)]
-    return found
+    """Runs of letters in lower case."""
+    found = _ALMOST.findall(low := text.lower())
+    # The standard pattern takes numerals such as fractions for letters; few texts have any.
+    return found if all(map(str.isalpha, found)) else _LETTERS.findall(low)
 
 
 def vocabulary(path: str | None = None) -> list[str]:
@@ -55,7 +57,7 @@ def vocabulary(path: str | None = None) -> list[str]:
         path = public_tokenizers.path("piece_bpe_32k.model")
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     plain = (sp.id_to_piece(k).lower() for k in range(sp.get_piece_size()) if not (sp.is_control(k) or sp.is_unknown(k) or sp.is_byte(k)))
-    return list(dict.fromkeys(p for p in plain if len(p) <= PIECE))
+    return list(dict.fromkeys(plain))
 
 
 def numbered(pieces: list[str]) -> dict[str, int]:
@@ -125,6 +127,43 @@ class Lattice:
         return out
 
 
+def _pieces_at(s: str, a: int, number: dict[str, int], unseen: int) -> Iterator[tuple[int, int]]:
+    """(end, piece) of each piece of s that begins at a."""
+    p = number.get(s[a])
+    yield a + 1, unseen if p is None or p < 0 else p
+    b = a + 1
+    while p is not None and b < len(s):
+        b += 1
+        p = number.get(s[a:b])
+        if p is not None and p >= 0:
+            yield b, p
+
+
+def long_forward(word: str, number: dict[str, int], log_p: np.ndarray) -> np.ndarray:
+    """The logarithms of the sums for each prefix of one word of any length: [position, language]."""
+    s, unseen = START + word, len(log_p) - 1
+    f = np.full((len(s) + 1, log_p.shape[1]), -np.inf)
+    f[0] = 0
+    for a in range(len(s)):
+        for b, piece in _pieces_at(s, a, number, unseen):
+            np.logaddexp(f[b], f[a] + log_p[piece], out=f[b])
+    return f
+
+
+def long_expected(word: str, number: dict[str, int], p: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece in one word of any length that occurs weight times, by language."""
+    s, unseen, log_p, out = START + word, len(p) - 1, np.log(p), np.zeros_like(p)
+    f = long_forward(word, number, log_p)
+    back = np.full_like(f, -np.inf)
+    back[-1] = 0
+    for a in range(len(s) - 1, -1, -1):
+        for b, piece in _pieces_at(s, a, number, unseen):
+            after = log_p[piece] + back[b]
+            np.logaddexp(back[a], after, out=back[a])
+            out[piece] += weight * np.exp(f[a] + after - f[-1])
+    return out
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -134,8 +173,8 @@ class Model:
     log_prior: np.ndarray
 
 
-def fit(rows: Iterable[tuple[str | None, str | None]], pieces: list[str]) -> Model:
-    """rows: (text, language)."""
+def fit(rows: Iterable[tuple[str | None, str | None]], pieces: list[str], totals: dict[str, int] | None = None) -> Model:
+    """rows: (text, language); totals: how many documents each language has, if rows are a sample by language."""
     counts: dict[str, Counter[str]] = {}
     docs: Counter[str] = Counter()
     for text, lang in rows:
@@ -148,17 +187,23 @@ def fit(rows: Iterable[tuple[str | None, str | None]], pieces: list[str]) -> Mod
     p[-1] = UNSEEN
     if not width:
         return Model([], pieces, p, np.zeros(0))
-    most = [dict(sorted(counts[lang].items(), key=lambda x: (-x[1], x[0]))[:MAX_WORDS]) for lang in languages]
-    words = sorted(set().union(*most))
-    weight = np.array([[m.get(w, 0) for m in most] for w in words], float)
+    words = sorted(set().union(*counts.values()), key=lambda w: (len(w), w))
     number = numbered(pieces)
-    lattices = [(Lattice(words[k : k + 5000], number, len(pieces)), weight[k : k + 5000]) for k in range(0, len(words), 5000)]
+    short = sum(len(w) <= WORD for w in words)
+    weights = lambda some: np.array([[counts[lang][w] for lang in languages] for w in some], float)
     for _ in range(ROUNDS):
-        uses = sum(lattice.expected(p, w) for lattice, w in lattices) + 0.01
+        # Lattices are made anew in each round, so that memory does not grow with the number of words.
+        uses = np.full_like(p, 0.01)
+        for k in range(0, short, AT_ONCE):
+            some = words[k : min(short, k + AT_ONCE)]
+            uses += Lattice(some, number, len(pieces)).expected(p, weights(some))
+        for word in words[short:]:
+            uses += long_expected(word, number, p, weights([word])[0])
         p = uses / uses.sum(0)
         p[-1] = UNSEEN
-    total = sum(docs[lang] for lang in languages)
-    return Model(languages, pieces, p, np.log([docs[lang] / total for lang in languages]))
+    of = totals or docs
+    total = sum(of[lang] for lang in languages)
+    return Model(languages, pieces, p, np.log([of[lang] / total for lang in languages]))
 
 
 class Identifier:
@@ -167,6 +212,7 @@ class Identifier:
     def __init__(self, model: Model):
         self.model = model
         self.number = numbered(model.pieces)
+        self.log_p = np.log(model.p)
         # A young and an old generation of words, and their log likelihoods.
         self.known: dict[str, int] = {}
         self.old: dict[str, int] = {}
@@ -175,10 +221,13 @@ class Identifier:
     def _learn(self, words: list[str]) -> None:
         again = [w for w in words if w in self.old]
         fresh = [w for w in words if w not in self.old]
+        fresh.sort(key=len)
+        short = sum(len(w) <= WORD for w in fresh)
         logs = [self.old_logs[[self.old[w] for w in again]]] if again else []
-        for k in range(0, len(fresh), 5000):
-            some = Lattice(fresh[k : k + 5000], self.number, len(self.model.pieces)).likelihoods(self.model.p)
+        for k in range(0, short, AT_ONCE):
+            some = Lattice(fresh[k : min(short, k + AT_ONCE)], self.number, len(self.model.pieces)).likelihoods(self.model.p)
             logs.append(np.log(np.maximum(some, 1e-300)))
+        logs += [long_forward(w, self.number, self.log_p)[-1:] for w in fresh[short:]]
         self.known.update(zip([*again, *fresh], range(len(self.logs), len(self.logs) + len(words)), strict=True))
         self.logs = np.concatenate([self.logs, *logs])
 
@@ -223,12 +272,15 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def fit_on(docs: DataFrame, learn: Column, path: str | None = None, at_most: int = MAX_LEARNED) -> Model:
-    """Learns from about at_most of the documents for which `learn` holds, chosen by a hash of doc_id."""
+    """Learns from about at_most of the documents for which `learn` holds, in equal parts by language, chosen by a hash of doc_id."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    n = rows.count()
-    if n > at_most:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * at_most / n))
-    return fit(((r[0], r[1]) for r in rows.select("text", "lang").collect()), vocabulary(path))
+    totals = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not totals:
+        return fit([], vocabulary(path))
+    shares = [(lang, float(min(1.0, at_most / len(totals) / n))) for lang, n in totals.items()]
+    of_lang = docs.sparkSession.createDataFrame(shares, "lang string, _share double")
+    rows = rows.join(F.broadcast(of_lang), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("_share") * 1_000_000)
+    return fit(((r[0], r[1]) for r in rows.select("text", "lang").toLocalIterator()), vocabulary(path), totals)
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

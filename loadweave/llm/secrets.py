@@ -32,8 +32,9 @@ SECRET = "(?<![A-Za-z0-9/+])[A-Za-z0-9/+]{38}(?:[A-Za-z0-9/+]{2}|[A-Za-z0-9/+]=|
 ENDPOINT = "https?://[A-Za-z0-9._~:/?#@!$&()*+;=%-]+"
 KINDS = ("assign", "access", "hex", "secret", "endpoint")
 PATTERNS = dict(zip(KINDS, (ASSIGN, ACCESS, HEX, SECRET, ENDPOINT), strict=True))
-#: The SQL counterpart's engine has no look-arounds; it takes runs with '=' anywhere, so it misses keys right after one.
+#: The SQL counterpart's engine has no look-arounds. It takes runs with '=' anywhere; a key can only be a run's last 40 characters.
 SQL_PATTERNS = PATTERNS | {"secret": "[A-Za-z0-9/+=]{40,}"}
+SQL_KEY = "[A-Za-z0-9/+]{38}([A-Za-z0-9/+]{2}|[A-Za-z0-9/+]=|==)"
 #: Code points between the ends of two parts of one credential, at most.
 SCOPE = 200
 #: Least length of an assigned value; exact length of a weak secret.
@@ -131,8 +132,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql_spans(kind: str, order: int) -> str:
     pattern = SQL_PATTERNS[kind].replace("'", "''")
     value = f"regexp_extract_all(t, '{pattern}', 1)" if kind == "assign" else "NULL::VARCHAR[]"
-    keep = {"assign": f"length(v[i]) >= {VALUE}", "secret": f"length(m[i]) = {KEY} AND NOT regexp_full_match(m[i], '[0-9a-f]*')"}.get(kind, "TRUE")
-    return f"""SELECT r, '{kind}' AS kind, {order} AS ord, e - length(m[i]) AS s, e FROM (
+    keep = {"assign": f"length(v[i]) >= {VALUE}", "secret": f"regexp_full_match(right(m[i], {KEY}), '{SQL_KEY}') AND (length(m[i]) = {KEY} OR m[i][-{KEY + 1}] = '=') AND NOT regexp_full_match(right(m[i], {KEY}), '[0-9a-f]*')"}.get(kind, "TRUE")
+    size = KEY if kind == "secret" else "length(m[i])"
+    return f"""SELECT r, '{kind}' AS kind, {order} AS ord, e - {size} AS s, e FROM (
       SELECT r, m, v, i, coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i], lambda x: length(x))), 0) AS e FROM (
         SELECT r, m, v, g, unnest(range(1, len(m) + 1)) AS i FROM (
           SELECT r, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g, {value} AS v FROM docs WHERE regexp_matches(t, '{pattern}')))) WHERE {keep}"""

@@ -33,8 +33,8 @@ from .common import held_out, labelled_sample, map_batches, table, texts_of, wid
 
 #: Labelled documents that the model is fitted on, at most (about).
 MAX_LABELLED = 2000
-#: Features taken up, at most, the most significant first.
-MAX_FEATURES = 5000
+#: Tokens of whole documents that the fit goes through at once, about.
+TOKENS_AT_ONCE = 200_000
 #: Tokens whose weights a worker keeps.
 CACHE_ENTRIES = 400_000
 #: Marginals below this count as none, so that the length of a clean text is no evidence.
@@ -46,7 +46,9 @@ _BLOCK = 64
 
 
 def tokens(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    low = text.lower()
+    # Some capitals are longer in lower case; words are found in the text as it is then, so that offsets stay right.
+    return _WORD.findall(low) if len(low) == len(text) else [w.lower() for w in _WORD.findall(text)]
 
 
 def features(token: str) -> tuple[str, ...]:
@@ -140,8 +142,22 @@ def significant_features(docs: list[list[str]], y: np.ndarray) -> set[str]:
         if a * n0 > 4 * b * n1:
             g = 2 * (a * math.log(a / ((a + b) * share)) + (b * math.log(b / ((a + b) * (1 - share))) if b else 0))
             if g >= least:
-                found.append((-g, f))
-    return {f for _, f in sorted(found)[:MAX_FEATURES]}
+                found.append(f)
+    return set(found)
+
+
+def _in_parts(docs: list[list[str]], y: np.ndarray, empty: bool = False) -> Iterator[list[tuple[list[str], int]]]:
+    """(words, label) in lists of about TOKENS_AT_ONCE words; documents without words only if asked for."""
+    part, size = [], 0
+    for words, label in zip(docs, y.tolist(), strict=True):
+        if words or empty:
+            part.append((words, label))
+            size += len(words)
+        if size >= TOKENS_AT_ONCE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 def fit(rows: Iterable[tuple], steps: int = 60, rate: float = 0.5, ridge: float = 1e-3) -> Model:
@@ -158,42 +174,48 @@ def fit(rows: Iterable[tuple], steps: int = 60, rate: float = 0.5, ridge: float
         return Model(head=(math.log(max(share, 1e-9) / max(1 - share, 1e-9)), 0.0, 0.0))
     chosen = sorted(significant_features(docs, y))
     number = {f: k for k, f in enumerate(chosen)}
-    # Tokens with no chosen feature are alike, so a window around the others is all that the fit needs of a long text.
     own: dict[str, list[int]] = {}
-    pairs: list[tuple[int, int]] = []
-    tags, starts = [], []
-    for words, toxic in zip(docs, y.tolist(), strict=True):
-        hits = []
-        for w in words:
-            if w not in own:
-                own[w] = [number[f] for f in features(w) if f in number]
-            hits.append(own[w])
-        keep = sorted({k for i, h in enumerate(hits) if h for k in range(max(0, i - 10), min(len(hits), i + 11))}) or range(min(20, len(hits)))
-        for j, k in enumerate(keep):
-            pairs += [(len(tags), f) for f in hits[k]]
-            tags.append(int(bool(hits[k]) and toxic == 1))
-            starts.append(j == 0)
-    if not tags:
+    parts = []
+    for some in _in_parts(docs, y):
+        pairs: list[tuple[int, int]] = []
+        tags, starts = [], []
+        for words, toxic in some:
+            for k, w in enumerate(words):
+                if w not in own:
+                    own[w] = [number[f] for f in features(w) if f in number]
+                pairs += [(len(tags), f) for f in own[w]]
+                tags.append(bool(own[w]) and toxic == 1)
+                starts.append(k == 0)
+        at = np.array(pairs, np.int64).reshape(-1, 2)
+        parts.append((np.array(tags, bool), np.array(starts, bool), at[:, 0], at[:, 1]))
+    if not parts:
         return Model(head=(math.log(share / (1 - share)), 0.0, 0.0))
-    t, s = np.array(tags), np.array(starts)
-    rows_, cols = (np.array([p[i] for p in pairs], np.int64) for i in (0, 1))
-    n, inner = len(t), ~s[1:]
+    # The ridge weighs against the tokens that have chosen features, and not against how long texts are.
+    n = 20 * max(1, sum(len(np.unique(at)) for _, _, at, _ in parts))
+    seen = sum(np.array([np.sum(~s[1:] & (t[:-1] == i) & (t[1:] == j)) for i in (0, 1) for j in (0, 1)]) for t, s, _, _ in parts)
+    ridges = np.append(np.full(len(chosen), 1 / max(1, len(chosen))), [0, 1e-1, 1e-1, 1e-1, 1e-1])
     theta = np.concatenate([np.zeros(len(chosen)), [-2.0, 0, 0, 0, 0]])
     m1, m2 = np.zeros_like(theta), np.zeros_like(theta)
-    seen = [np.sum(inner & (t[:-1] == i) & (t[1:] == j)) for i in (0, 1) for j in (0, 1)]
     for k in range(1, steps + 1):
-        emission = np.bincount(rows_, theta[cols], n) + theta[-5]
         trans = np.exp(theta[-4:]).reshape(2, 2)
-        p, fw, bw = forward_backward(emission, s, trans)
-        pot = np.exp(np.clip(emission[1:], -30, 30))
-        f, b = fw[:-1], bw[1:]
-        both = np.stack([trans[0, 0] + 0 * f, trans[0, 1] * pot * b, trans[1, 0] * f, trans[1, 1] * f * pot * b])
-        both = (both / both.sum(0))[:, inner].sum(1) if len(f) else np.zeros(4)
-        gain = np.concatenate([np.bincount(cols, (t - p)[rows_], len(chosen)), [np.sum(t - p)], seen - both]) / n - ridge * theta * np.append(np.ones(len(chosen)) / len(chosen) if chosen else [], [0, 1e-1, 1e-1, 1e-1, 1e-1])
+        gain = np.zeros_like(theta)
+        both = np.zeros(4)
+        for t, s, rows_, cols in parts:
+            emission = np.bincount(rows_, theta[cols], len(t)) + theta[-5]
+            p, fw, bw = forward_backward(emission, s, trans)
+            pot = np.exp(np.clip(emission[1:], -30, 30))
+            f, b = fw[:-1], bw[1:]
+            steps_ = np.stack([trans[0, 0] + 0 * f, trans[0, 1] * pot * b, trans[1, 0] * f, trans[1, 1] * f * pot * b])
+            both += (steps_ / steps_.sum(0))[:, ~s[1:]].sum(1)
+            gain[: len(chosen)] += np.bincount(cols, (t - p)[rows_], len(chosen))
+            gain[-5] += np.sum(t - p)
+        gain[-4:] = seen - both
+        gain = gain / n - ridge * theta * ridges
         m1, m2 = 0.9 * m1 + 0.1 * gain, 0.99 * m2 + 0.01 * gain**2
         theta += rate * (m1 / (1 - 0.9**k)) / (np.sqrt(m2 / (1 - 0.99**k)) + 1e-9) / (1 + k / 40)
     model = Model(dict(zip(chosen, theta[: len(chosen)].tolist(), strict=True)), float(theta[-5]), np.exp(theta[-4:]).reshape(2, 2))
-    x = _Tagger(model).evidence(docs)
+    tagger = _Tagger(model)
+    x = np.concatenate([tagger.evidence([words for words, _ in some]) for some in _in_parts(docs, y, empty=True)])
     head = np.zeros(3)
     for _ in range(30):  # Newton steps of a ridge logistic regression
         p = 1 / (1 + np.exp(-np.clip(x @ head, -30, 30)))
@@ -240,7 +262,8 @@ class _Tagger:
         for k in np.flatnonzero(p >= 0.5).tolist():
             toxic.setdefault(int(at[k]), []).append(k)
         for d, hits in toxic.items():
-            places = [(m.start(), m.end()) for m in _WORD.finditer(texts[d].lower())]
+            low = texts[d].lower()
+            places = [m.span() for m in _WORD.finditer(low if len(low) == len(texts[d]) else texts[d])]
             last = -2
             for k in hits:
                 start, end = places[k - int(first[d])]
@@ -253,7 +276,7 @@ class _Tagger:
 
 
 def tag(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with `toxicity` (0 to 1) and `toxic_spans`. Offsets are into the lower-cased text, which has the same length but for a few letters such as the dotted capital I."""
+    """docs with `toxicity` (0 to 1) and `toxic_spans`. Offsets are code points of the text as it is."""
     kept = docs.drop("toxicity", "toxic_spans")
     schema = widened(kept, "toxicity double, toxic_spans array<struct<start:int,end:int,p:double>>")
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))

@@ -295,6 +295,23 @@ def test_toxicity_learns_words_and_prefixes(spark):
     assert toxicity.clean(docs(spark, [*EDGES, (9, "vilest grubbyx vilest")]), model).count() == len(EDGES)
 
 
+def test_toxicity_offsets_and_long_texts(spark):
+    rows = labelled_rows()
+    late = [("plain " * 3000 + t, y) for t, y in rows[:40]]
+    model = toxicity.fit(rows[:200] + late)
+    tagger = toxicity._Tagger(model)
+    text = "İİİ plain İ vilest vilest word"
+    scores, spans = tagger.score([text, "plain " * 5000 + "vilest vilest grubbyaa"])
+    assert [text[s["start"] : s["end"]] for s in spans[0]] == ["vilest vilest"] and (scores >= 0.3).all()
+
+
+def test_toxicity_held_out_recall(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    rows = toxicity.op9_toxicity(spark, sf_dir).where("held_out").join(common.table(spark, sf_dir, "labels").where("toxic IS NOT NULL"), "doc_id")
+    n = {(r["toxic"], r["predicted"]): r["n"] for r in rows.groupBy("toxic", "predicted").agg(F.count("*").alias("n")).collect()}
+    assert n[1, 1] >= 0.9 * (n[1, 1] + n.get((1, 0), 0)) and n[0, 0] >= 0.95 * (n[0, 0] + n.get((0, 1), 0))
+
+
 def test_models_without_labels(spark):
     assert toxicity._Tagger(toxicity.fit([])).score(["", "x"])[0].max() < 0.01
     assert np.allclose(quality.fit(np.zeros((0, len(quality.FEATURES))), np.zeros(0)).score(np.zeros((2, len(quality.FEATURES)))), 0.5)
@@ -345,6 +362,27 @@ def test_language_sums_all_segmentations(spark):
     assert all(found[k]["lang_pred"] == "und" and found[k]["lang_score"] == 0 for k in (1, 2, 3))
 
 
+def test_language_of_long_words_and_numerals(spark):
+    pieces = ["a", "b", "ab", "ba", "aba", "▁", "▁a", "▁ab", "abababababababababab"]
+    model = language.fit([("abab aba", "x"), ("bbb bab " + "ba" * 20, "y")], pieces)
+    number, word = language.numbered(pieces), "abbab" * 8
+    got = language.long_forward(word, number, np.log(model.p))[-1]
+    for k in range(2):
+        assert got[k] == pytest.approx(np.log(brute_segmentations("▁" + word, {p: v for p, v in zip(pieces, model.p[:, k], strict=False)})))
+    short, weight = "abab", np.array([2.0, 1.0])
+    want = language.Lattice([short], number, len(pieces)).expected(model.p, weight[None])
+    assert np.allclose(language.long_expected(short, number, model.p, weight), want)
+    found = {r["doc_id"]: r for r in language.identify(docs(spark, [(1, "10² ½"), (2, "① Ⅳ"), (3, "ab½"), (4, "ab" * 20_000), (5, "日本" * 3000)]), model).collect()}
+    assert [found[k]["lang_pred"] for k in (1, 2)] == ["und", "und"] and found[1]["lang_score"] == 0
+    assert all(found[k]["lang_pred"] in ("x", "y") and 0 < found[k]["lang_score"] <= 1 for k in (3, 4, 5))
+
+
+def test_language_learns_rare_languages(spark):
+    rows = [(k, f"word{k % 7} plain text", "en", "s", 1) for k in range(400)] + [(1000 + k, "żółw gęś jaźń", "pl", "s", 1) for k in range(3)]
+    model = language.fit_on(spark.createDataFrame(rows, DOCS), F.lit(True), at_most=40)
+    assert model.languages == ["en", "pl"] and np.exp(model.log_prior) == pytest.approx([400 / 403, 3 / 403])
+
+
 def test_language_held_out_accuracy(spark, sf_dir):
     from loadweave.llm.registry import QUERIES
 
@@ -442,6 +480,11 @@ def test_secrets_after_equals_signs(spark):
     texts = [env + key, env + padded + "\n", env + f'"{double}"', env + key + "=", env + "=" + key[:39], env + key + "A", f"{access}:{key}", f"{access} {address} {key}"]
     found = {r["doc_id"]: [r["text"][s["start"] : s["end"]] for s in r["spans"] if s["kind"] in ("secret", "endpoint")] for r in secrets.scan(docs(spark, [*enumerate(texts)])).join(docs(spark, [*enumerate(texts)]).select("doc_id", "text"), "doc_id").collect()}
     assert found == {0: [key], 1: [padded], 2: [double], 3: [], 4: [], 5: [], 6: [key], 7: [address, key, key]}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", [*enumerate(texts)])
+    own = secrets.scan(docs(spark, [*enumerate(texts)])).select("doc_id", secrets._joined(F.col("spans")).alias("spans"))
+    assert rows_of(own) == sorted(con.execute(f"SELECT doc_id, spans FROM ({secrets.ORACLE})").fetchall(), key=repr)
     clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs(spark, [*enumerate(texts)])).collect()}
     assert clean[0] == "AWS_ACCESS_KEY_ID=[SECRET]\nAWS_SECRET_ACCESS_KEY=[SECRET]" and clean[6] == "[SECRET]:[SECRET]" and clean[7] == "[SECRET] [SECRET] [SECRET]"
 
