@@ -280,7 +280,8 @@ def fit_on(docs: DataFrame, learn: Column, path: str | None = None, at_most: int
     shares = [(lang, float(min(1.0, at_most / len(totals) / n))) for lang, n in totals.items()]
     of_lang = docs.sparkSession.createDataFrame(shares, "lang string, _share double")
     rows = rows.join(F.broadcast(of_lang), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("_share") * 1_000_000)
-    return fit(((r[0], r[1]) for r in rows.select("text", "lang").toLocalIterator()), vocabulary(path), totals)
+    taken = rows.select("text", "lang").toArrow()
+    return fit((r for batch in taken.to_batches() for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)), vocabulary(path), totals)
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
