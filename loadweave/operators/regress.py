@@ -130,7 +130,10 @@ def translate(load: DataFrame, base_weather: DataFrame, target_weather: DataFram
     groups = long.select(*dict.fromkeys([*own, *weather_keys])).distinct()
     stamped = groups.join(hours, weather_keys)
     predicted = found.where("what = 'prediction'").select(*own, "hour_no", "value")
-    raw = stamped.join(predicted, [*own, "hour_no"], "left").withColumn("value", clip_low(F.coalesce("value", F.lit(0.0))))
+    # Only groups whose loads sum to nothing are zero; a group that could not be fitted (no base weather) stays missing.
+    nothing = zero.select(*own, F.lit(0.0).alias("_none"))
+    raw = stamped.join(predicted, [*own, "hour_no"], "left").join(nothing, own, "left")
+    raw = raw.withColumn("value", F.when(F.coalesce("value", "_none").isNotNull(), clip_low(F.coalesce("value", "_none"))))
     # Stamped an hour later, with the first hour repeated and the last dropped: each stamp keeps the value of the hour before.
     profiles = shifted_with_edge(raw.select(*own, "ts", "value"), own, "value")
     return profiles, found.where("what <> 'prediction'").select(*own, "what", "name", "value")

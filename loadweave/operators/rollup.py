@@ -51,9 +51,16 @@ def savings_rollup(series: DataFrame, keys: list[str], ts: str, upgrade: str, me
     return with_baseline(group_totals(series, [*keys, ts, upgrade], measures), keys, ts, upgrade, measures, baseline)
 
 
+def _one_value(lookup: DataFrame, on: str, value: str) -> DataFrame:
+    """(on, value), one row a key. A key with two values is an error when the plan runs, rather than either of them by chance."""
+    clash = F.count_distinct(F.struct(value)) > 1
+    error = F.raise_error(F.concat(F.lit(f"{on} has more than one {value}: "), F.coalesce(F.col(on).cast("string"), F.lit("null"))))
+    return lookup.groupBy(on).agg(F.when(clash, error.cast(lookup.schema[value].dataType)).otherwise(F.min(value)).alias(value))
+
+
 def rolled_up(series: DataFrame, to: DataFrame, on: str, parent: str, ts: str, value: str, unmapped: str | None = None) -> DataFrame:
-    """Totals by parent and time. to: (on, parent), of any size; entities without a parent are dropped, or gathered under `unmapped`."""
-    joined = series.join(to.select(on, parent).dropDuplicates([on]), on, "left" if unmapped is not None else "inner")
+    """Totals by parent and time. to: (on, parent), of any size, an error if an entity has two parents; entities without a parent are dropped, or gathered under `unmapped`."""
+    joined = series.join(_one_value(to, on, parent), on, "left" if unmapped is not None else "inner")
     if unmapped is not None:
         joined = joined.withColumn(parent, F.coalesce(F.col(parent), F.lit(unmapped)))
     return joined.groupBy(parent, ts).agg(total(value).alias(value))
@@ -71,4 +78,4 @@ def chunked(groups: DataFrame, keys: list[str], size: int) -> DataFrame:
 
 def labelled(df: DataFrame, lookup: DataFrame, on: str, label: str, fallback: Column) -> DataFrame:
     """df with a label from lookup, or the fallback where there is none."""
-    return df.join(lookup.select(on, label).dropDuplicates([on]), on, "left").withColumn(label, F.coalesce(F.col(label), fallback))
+    return df.join(_one_value(lookup, on, label), on, "left").withColumn(label, F.coalesce(F.col(label), fallback))

@@ -152,6 +152,26 @@ def test_translation(spark):
     assert metrics["r2"] > 0.8 and 0 < metrics["share_extrapolated"] < 5
 
 
+def test_groups_without_weather_have_no_profile(spark):
+    w = spark.createDataFrame([("c", y, T0 + k * H, float(k % 24)) for k in range(100) for y in (2018, 2012)] + [("d", 2012, T0 + k * H, 1.0) for k in range(100)], "county string, year int, ts timestamp_ntz, dry_bulb double")
+    of = lambda y: w.where(F.col("year") == y).drop("year")
+    load = spark.createDataFrame([(c, T0 + k * H, float(k % 24), 0.0) for k in range(100) for c in "cd"], "county string, ts timestamp_ntz, hvac double, gas double")
+    profiles, _ = regress.translate(load, of(2018), of(2012), ["county"], ["county"], ["hvac", "gas"], ["dry_bulb"], "dry_bulb", regress.Settings(trees=5, depth=4, epochs=2))
+    got = {(r["county"], r["target"]): (r["n"], r["known"], r["s"]) for r in profiles.groupBy("county", "target").agg(F.count("*").alias("n"), F.count("value").alias("known"), F.sum("value").alias("s")).collect()}
+    assert got["d", "hvac"] == (100, 0, None) and got["d", "gas"] == got["c", "gas"] == (100, 100, 0.0)
+    assert got["c", "hvac"][:2] == (100, 100) and got["c", "hvac"][2] > 0
+
+
+def test_two_parents_or_labels_are_an_error(spark):
+    df = spark.createDataFrame([("x", T0, 1.0), ("y", T0, 2.0)], "k string, ts timestamp_ntz, v double")
+    once = spark.createDataFrame([("x", "p1"), ("x", "p1")], "k string, p string")
+    assert values(rollup.rolled_up(df, once, "k", "p", "ts", "v", "none"), "p", "v") == [("none", 2.0), ("p1", 1.0)]
+    twice = once.union(spark.createDataFrame([("x", "p2")], "k string, p string"))
+    for run in (lambda: rollup.rolled_up(df, twice, "k", "p", "ts", "v"), lambda: rollup.labelled(df, twice, "k", "p", F.lit("f"))):
+        with pytest.raises(Exception, match="more than one p: x"):
+            run().collect()
+
+
 def test_config_rejects_one_year_for_both():
     with pytest.raises(ValueError):
         readers.RunConfig.of({"base_year": 2018, "target_year": 2018})
