@@ -122,6 +122,8 @@ def _rule_pattern(ids: list[str]) -> str:
 
 # Sentence marks are followed by this sign, which then also stands for line breaks or blank lines.
 _CUT = "\x02"
+#: The stop of "v. 2.0" ends no sentence: the space after it goes before texts are cut.
+_VERSION = "([^A-Za-z0-9][vV]\\.)[ \\t\\r\\n\\f]+([0-9])"
 _ENDS, _SPACE = "([.!?;])[ \\t\\r\\n\\f]+", "[ \\t\\r\\f]"
 _SPLITS = {"line": "\\n", "paragraph": f"\\n{_SPACE}*\\n"}
 #: Sentence ends and breaks of each way of cutting; the SQL counterpart has the first two ways.
@@ -141,7 +143,7 @@ def sentences(docs: DataFrame) -> DataFrame:
     rows = docs.where(small(text).rlike("licen|permission|copyright|warrant|redistribut|software|unencumbered|domain|version|gpl|cc")).where(has)
     rows = rows.select("doc_id", _key(text).alias("key"), text.alias("text"))
     # Rows repeated in full give the same sentences; they count once here.
-    ways = F.explode(F.array(*[F.struct(F.lit(way).alias("way"), F.split(F.regexp_replace(F.regexp_replace("text", ends, "$1" + _CUT), at, _CUT), _CUT).alias("parts")) for way, (ends, at) in _WAYS.items()]))
+    ways = F.explode(F.array(*[F.struct(F.lit(way).alias("way"), F.split(F.regexp_replace(F.regexp_replace(F.regexp_replace("text", _VERSION, "$1$2"), ends, "$1" + _CUT), at, _CUT), _CUT).alias("parts")) for way, (ends, at) in _WAYS.items()]))
     each = rows.select("doc_id", "key", ways.alias("w")).select("doc_id", "key", "w.way", F.posexplode("w.parts").alias("at", "part"))
     # A constant table of some 2000 rows.
     known = spark.createDataFrame(list(known_sentences().items()), T.StructType([T.StructField("sentence", T.StringType()), T.StructField("id", T.StringType())]))
@@ -173,7 +175,7 @@ ORACLE = f"""
 WITH known(sentence, id) AS (VALUES {', '.join(f'({_quoted(s)}, {_quoted(k)})' for s, k in known_sentences().items())}),
 rule(licence, pattern) AS (VALUES {', '.join(f'({_quoted(licence)}, {_quoted(_rule_pattern(r))})' for licence, r in rules())}),
 docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
-cut AS ({' UNION ALL '.join(f"SELECT r, '{way}' AS way, string_split(regexp_replace(regexp_replace(t, '{_ENDS}', '\\1' || chr(2), 'g'), '{at}', chr(2), 'g'), chr(2)) AS parts FROM docs" for way, at in _SPLITS.items())}),
+cut AS ({' UNION ALL '.join(f"SELECT r, '{way}' AS way, string_split(regexp_replace(regexp_replace(regexp_replace(t, '{_VERSION}', '\\1\\2', 'g'), '{_ENDS}', '\\1' || chr(2), 'g'), '{at}', chr(2), 'g'), chr(2)) AS parts FROM docs" for way, at in _SPLITS.items())}),
 each AS (SELECT r, way, unnest(parts) AS part, unnest(range(len(parts))) AS place FROM cut),
 found AS (SELECT r, way, place, id FROM each JOIN known ON sentence = trim(regexp_replace(translate(part, '{_CAPITALS}', '{_SMALL}'), '[^a-z0-9]+', ' ', 'g'))),
 gaps AS (SELECT *, place - lag(place) OVER (PARTITION BY r, way ORDER BY place) AS gap FROM found),
