@@ -17,6 +17,7 @@ rows repeat; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -254,14 +256,25 @@ class Identifier:
         return langs, scores
 
 
+#: The identifier that this worker process made last, by the name of its model. Later tasks of the same process find their words in it.
+_MADE: dict[str, Identifier] = {}
+
+
+def _identifier(name: str, model: Broadcast) -> Identifier:
+    if name not in _MADE:
+        _MADE.clear()
+        _MADE[name] = Identifier(model.value)
+    return _MADE[name]
+
+
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """docs with `lang_pred` and `lang_score`, the posterior probability of the predicted language."""
     kept = docs.drop("lang_pred", "lang_score")
     # The model's size is that of the vocabulary times the languages, whatever the input's size.
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        identifier = Identifier(shared.value)
+        identifier = _identifier(name, shared)
         for batch in batches:
             for k in range(0, batch.num_rows, 250):
                 part = batch.slice(k, 250)
