@@ -56,13 +56,15 @@ def flat_bytes(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A folder that the driver and all executors see: spark.checkpoint.dir, set to a temporary one only where it is unset (tests)."""
+    """A folder that the driver and all executors see: spark.checkpoint.dir, set to a temporary one only where it is unset on a local master (tests)."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not found:
         current = sc._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: on a cluster it must name a folder that all hosts share")
         import tempfile
 
         found = tempfile.mkdtemp(prefix="loadweave-checkpoint-")

@@ -410,6 +410,28 @@ def test_licences_that_go_on_after_a_colon(spark):
     assert got == {1: ["MIT"], 2: ["BSD-2-Clause", "BSD-3-Clause"], 3: ["GPL-3.0"], 4: ["MIT"]}
 
 
+def test_every_licence_rule_fires(spark):
+    """Each rule's sentences in a text of their own, and each name as a statement with a stop after "v."."""
+    rules = licences.rules()
+    texts = [" ".join(licences.SENTENCES[k] for k in ids) if ids[0] in licences.SENTENCES else f"SPDX-License-Identifier: {licence}" for licence, ids in rules]
+    got = {r["doc_id"]: r["licences"] for r in licences.scan(docs(spark, list(enumerate(texts)))).collect()}
+    assert all(licence in got[k] for k, (licence, _) in enumerate(rules))
+    said = [(licence, name) for licence, names in licences.NAMES.items() for name in names]
+    got = {r["doc_id"]: r["licences"] for r in licences.scan(docs(spark, [(k, f"Some words. Licensed under the {name}. More.") for k, (_, name) in enumerate(said)])).collect()}
+    assert all(got[k] == [licence] for k, (licence, _) in enumerate(said))
+
+
+def test_language_words_outlive_tasks(spark):
+    model = language.fit([("der hund und die katze", "de"), ("the dog and the cat", "en")], language.vocabulary())
+    rows = docs(spark, [(k, t) for k in range(20) for t in ("the dog", "die katze", None, "12")]).repartition(8)
+    for _ in range(2):
+        got = {(r["text"], r["lang_pred"]) for r in language.identify(rows, model).collect()}
+        assert got == {("the dog", "en"), ("die katze", "de"), (None, "und"), ("12", "und")}
+    # Another model in the same workers starts afresh.
+    other = language.fit([("the dog and the cat", "xx"), ("der hund und die katze", "yy")], language.vocabulary())
+    assert {r["lang_pred"] for r in language.identify(rows, other).collect()} == {"xx", "yy", "und"}
+
+
 def test_decontamination(spark):
     item = "A train leaves the old station at 9 and travels 120 km before it meets Anna near the river."
     other = item.replace("9", "7").replace("120", "85").replace("Anna", "Boris")
