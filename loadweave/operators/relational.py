@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import zip_longest
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,21 @@ def not_in(c: Column, *values: object) -> Column:
     return c.isNull() | ~c.isin(*values)
 
 
+def in_all(wanted: DataFrame, keys: list[str], *tables: DataFrame) -> DataFrame:
+    """The wanted keys, each once, that every table has."""
+    found = wanted.select(*keys).distinct()
+    for df in tables:
+        found = found.join(df.select(*keys), keys, "left_semi")
+    return found
+
+
+def require_same_columns(ref: DataFrame, reg: DataFrame) -> None:
+    """An error unless both have the same columns in the same order; it names the first place where they differ."""
+    for n, (a, b) in enumerate(zip_longest(ref.columns, reg.columns)):
+        if a != b:
+            raise ValueError(f"columns differ at position {n}: {a!r} and {b!r}")
+
+
 def alignment(ref: DataFrame, reg: DataFrame, keys: list[str]) -> DataFrame:
     """One row: how many keys both sides have, only the first, only the second, in one full join of distinct keys."""
     a = ref.select(*keys).distinct().withColumn("_a", F.lit(1))

@@ -96,6 +96,15 @@ def by_day(df: DataFrame, keys: list[str], value: str, ts: str = "ts") -> DataFr
     return spine.join(sums, [*keys, "day"], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
 
 
+def summary(ranges: DataFrame, start: str, end: str, keys: list[str] | None = None) -> DataFrame:
+    """keys, n, first_start, first_end, last_start, last_end: how many ranges each series has, and its first and last one.
+
+    Without keys one row; without ranges n is 0 and the others are missing."""
+    at = F.struct(start, end)
+    of = ranges.groupBy(*(keys or [])).agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("a"), F.max(at).alias("z"))
+    return of.select(*(keys or []), "n", F.col(f"a.{start}").alias("first_start"), F.col(f"a.{end}").alias("first_end"), F.col(f"z.{start}").alias("last_start"), F.col(f"z.{end}").alias("last_end"))
+
+
 def gaps(ranges: DataFrame, start: str, end: str, step: int, keys: list[str] | None = None) -> DataFrame:
     """Start and end of every range that is missing between neighbours, in steps; `whole` tells if the last of them ends where the next begins."""
     w = Window.partitionBy(*(keys or [])).orderBy(start)

@@ -128,9 +128,9 @@ def semi_join(spark, sf_dir):
     return read(spark, sf_dir, "customer").join(big, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query("SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)")
 def anti_join(spark, sf_dir):
-    buyers = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    buyers = read(spark, sf_dir, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
     return read(spark, sf_dir, "customer").join(buyers, "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 
@@ -231,9 +231,9 @@ def seasonal_totals(spark, sf_dir):
     return rounded(series.by_season(pairs(spark, sf_dir), ["nation"], "ref"), 8)
 
 
-@query("WITH s AS (SELECT event_type AS kind, ts::DATE AS day, sum(value) AS v FROM events WHERE user_id % 5 = 0 GROUP BY ALL), e AS (SELECT kind, unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM s GROUP BY kind) SELECT kind, day::VARCHAR AS day, round_even(coalesce(v, 0), 6) AS v FROM e LEFT JOIN s USING (kind, day)")
+@query("WITH s AS (SELECT event_type AS kind, ts::DATE AS day, sum(value) AS v FROM events GROUP BY ALL), e AS (SELECT kind, unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM s GROUP BY kind) SELECT kind, day::VARCHAR AS day, round_even(coalesce(v, 0), 6) AS v FROM e LEFT JOIN s USING (kind, day)")
 def daily_resample(spark, sf_dir):
-    e = read(spark, sf_dir, "events").where("user_id % 5 = 0").select(F.col("event_type").alias("kind"), "ts", F.col("value").alias("v"))
+    e = read(spark, sf_dir, "events").select(F.col("event_type").alias("kind"), "ts", F.col("value").alias("v"))
     return rounded(series.by_day(e, ["kind"], "v")).withColumn("day", F.col("day").cast("string"))
 
 
@@ -250,12 +250,24 @@ def hourly_calendar(spark, sf_dir):
     return series.hours(read(spark, sf_dir, "events").groupBy("event_type").agg(F.min(day).alias("a"), F.max(day).alias("b")), "a", "b").select("event_type", "ts")
 
 
-@query("WITH b AS (SELECT DISTINCT ((o_orderkey // 40) * 15)::INTEGER AS s FROM orders WHERE o_orderkey % 11 < 2 AND o_custkey % 5 = 0), n AS (SELECT s, s + 15 AS e, lead(s) OVER (ORDER BY s) AS nx FROM b) SELECT g::INTEGER AS gap_start, least(g + 15, nx)::INTEGER AS gap_end, ((nx - e) % 15 = 0) AS whole FROM (SELECT e, nx, unnest(generate_series(e, nx - 1, 15)) AS g FROM n WHERE nx > e)")
+@query("WITH b AS (SELECT DISTINCT (o_orderkey * 15)::INTEGER AS s FROM orders WHERE o_orderstatus = 'P'), n AS (SELECT s, s + 15 AS e, lead(s) OVER (ORDER BY s) AS nx FROM b) SELECT g::INTEGER AS gap_start, least(g + 15, nx)::INTEGER AS gap_end, ((nx - e) % 15 = 0) AS whole FROM (SELECT e, nx, unnest(generate_series(e, nx - 1, 15)) AS g FROM n WHERE nx > e)")
 def file_gap_detection(spark, sf_dir):
-    o = read(spark, sf_dir, "orders").where("o_orderkey % 11 < 2 AND o_custkey % 5 = 0").select((F.floor(F.col("o_orderkey") / 40) * 15).cast("int").alias("start")).distinct()
+    o = read(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select((F.col("o_orderkey") * 15).cast("int").alias("start")).distinct()
     return series.gaps(o.withColumn("end", F.col("start") + 15), "start", "end", 15)
 
 
+@query("SELECT o_orderstatus AS series, count(*) AS n, min(o_orderkey * 15) AS first_start, arg_min(o_orderkey * 15 + o_custkey, o_orderkey) AS first_end, max(o_orderkey * 15) AS last_start, arg_max(o_orderkey * 15 + o_custkey, o_orderkey) AS last_end FROM orders GROUP BY ALL")
+def file_series_summary(spark, sf_dir):
+    ranges = read(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("series"), (F.col("o_orderkey") * 15).alias("start"), (F.col("o_orderkey") * 15 + F.col("o_custkey")).alias("end"))
+    return series.summary(ranges, "start", "end", ["series"])
+
+
+@query("SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'O' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
+def requested_series(spark, sf_dir):
+    wanted, ref, reg = (_buyers(spark, sf_dir, status) for status in "OFP")
+    return relational.in_all(wanted, ["k"], ref, reg)
+
+
 @query("SELECT 'run_upgrade' || (o_orderkey % 3) || '_' || lpad((o_orderkey * 15)::VARCHAR, greatest(4, length((o_orderkey * 15)::VARCHAR))::INTEGER, '0') || '-' || lpad((o_orderkey * 15 + 14)::VARCHAR, greatest(4, length((o_orderkey * 15 + 14)::VARCHAR))::INTEGER, '0') || '.csv' AS path, 'run' AS prefix, (o_orderkey % 3)::INTEGER AS upgrade, (o_orderkey * 15)::INTEGER AS start, (o_orderkey * 15 + 14)::INTEGER AS \"end\" FROM orders")
 def chunk_name_parsing(spark, sf_dir):
     n = F.col("o_orderkey") * 15
@@ -357,9 +369,9 @@ def ba_state_list(spark, sf_dir):
     return stats.state_lists(read(spark, sf_dir, "nation"), "n_regionkey", "n_name")
 
 
-@query("WITH p AS (SELECT l_suppkey % 60 AS a, l_partkey % 45 AS b FROM lineitem WHERE l_orderkey % 50 = 0), l AS (SELECT DISTINCT a AS v FROM p), m AS (SELECT DISTINCT b AS v FROM p), q AS (SELECT DISTINCT a, b FROM p) SELECT (SELECT count(*) FROM l) AS n_left, (SELECT count(*) FROM m) AS n_right, (SELECT count(*) FROM (SELECT v FROM l INTERSECT SELECT v FROM m)) AS n_both, (SELECT count(*) FROM (SELECT v FROM l EXCEPT SELECT v FROM m)) AS left_only, (SELECT count(*) FROM (SELECT v FROM m EXCEPT SELECT v FROM l)) AS right_only, (SELECT count(*) FROM q) AS n_pairs, (SELECT count(*) FROM q WHERE a = b) AS n_same")
+@query("WITH p AS (SELECT l_suppkey % 60 AS a, l_partkey % 45 AS b FROM lineitem), l AS (SELECT DISTINCT a AS v FROM p), m AS (SELECT DISTINCT b AS v FROM p), q AS (SELECT DISTINCT a, b FROM p) SELECT (SELECT count(*) FROM l) AS n_left, (SELECT count(*) FROM m) AS n_right, (SELECT count(*) FROM (SELECT v FROM l INTERSECT SELECT v FROM m)) AS n_both, (SELECT count(*) FROM (SELECT v FROM l EXCEPT SELECT v FROM m)) AS left_only, (SELECT count(*) FROM (SELECT v FROM m EXCEPT SELECT v FROM l)) AS right_only, (SELECT count(*) FROM q) AS n_pairs, (SELECT count(*) FROM q WHERE a = b) AS n_same")
 def pair_set_compare(spark, sf_dir):
-    p = read(spark, sf_dir, "lineitem").where("l_orderkey % 50 = 0").select((F.col("l_suppkey") % 60).alias("a"), (F.col("l_partkey") % 45).alias("b"))
+    p = read(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 60).alias("a"), (F.col("l_partkey") % 45).alias("b"))
     return relational.pair_sets(p, "a", "b")
 
 
@@ -369,14 +381,18 @@ def pair_set_compare_all(spark, sf_dir):
     return relational.pair_sets(read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey"), "l_suppkey", "l_partkey")
 
 
-@query("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier WHERE s_suppkey % 3 = 0")
+def _buyers(spark, sf_dir, status):
+    return read(spark, sf_dir, "orders").where(F.col("o_orderstatus") == status).select(F.col("o_custkey").alias("k"))
+
+
+@query("SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' INTERSECT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
 def set_intersect(spark, sf_dir):
-    return read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).intersect(read(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select("s_nationkey"))
+    return _buyers(spark, sf_dir, "F").intersect(_buyers(spark, sf_dir, "P"))
 
 
-@query("SELECT c_nationkey AS k FROM customer EXCEPT SELECT s_nationkey FROM supplier WHERE s_suppkey % 3 = 0")
+@query("SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
 def set_except(spark, sf_dir):
-    return read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")).subtract(read(spark, sf_dir, "supplier").where("s_suppkey % 3 = 0").select("s_nationkey"))
+    return _buyers(spark, sf_dir, "F").subtract(_buyers(spark, sf_dir, "P"))
 
 
 # Reshaping

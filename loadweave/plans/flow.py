@@ -27,9 +27,13 @@ class Result:
 def run(config: RunConfig, buildings: DataFrame, loads: DataFrame, hourly_weather: DataFrame, keys: list[str], electric: list[str], gas: list[str], weight: str = "weight", settings: regress.Settings | None = None) -> Result:
     """buildings and loads: keys, a weight, a column for each end use (kWh); loads also ts. hourly_weather: county, year, ts, measures.
 
-    keys have the county column; weather is looked up by the county that the configuration names. Everything is one lazy
+    If both have a column upgrade, those of the configuration are taken, and upgrade is one of the keys. keys have the county column; weather is looked up by the county that the configuration names. Everything is one lazy
     plan but for the fits, which are kept so that profiles and metrics do not fit twice."""
     county = config.weather_county()
+    if "upgrade" in buildings.columns and "upgrade" in loads.columns:
+        # The upgrades of this run, side by side: each is a group of its own.
+        buildings, loads = (df.where(F.col("upgrade").isin(*config.upgrades)) for df in (buildings, loads))
+        keys = list(dict.fromkeys(["upgrade", *keys]))
     scoped = config.scope(buildings) if "state" in buildings.columns else buildings
     meta = rollup.metadata_rollup(scoped, keys, electric, gas, weight=weight, applied_only=config.applied_only)
     in_scope = loads.join(meta.select(*keys).distinct(), keys, "left_semi")
@@ -45,5 +49,5 @@ def run(config: RunConfig, buildings: DataFrame, loads: DataFrame, hourly_weathe
     profiles = profiles.withColumn("value", F.bround("value", 6))
     regressed = series.first_rows(profiles, [*keys, "target"]).groupBy(*keys).agg(*[F.coalesce(F.sum(F.when(F.col("target") == t, F.col("value"))), F.lit(0.0)).alias(t) for t in TARGETS])
     reconciled = reconcile.reconcile(meta, series.annual(hourly, keys, TARGETS), regressed, keys, TARGETS)
-    counties = profiles.where(F.col("target") == TARGETS[0]).groupBy(config.county_column, "ts").agg(mwh_to_gwh(F.sum("value")).alias("gwh"))
+    counties = profiles.where(F.col("target") == TARGETS[0]).groupBy(*(["upgrade"] if "upgrade" in keys else []), config.county_column, "ts").agg(mwh_to_gwh(F.sum("value")).alias("gwh"))
     return Result(meta, hourly, profiles, fits, reconciled, counties)
