@@ -91,6 +91,16 @@ def test_flow_and_report(spark, tmp_path):
     assert set(validation.chart_data(side, side)) == {"monthly_bars", "top_counties", "daily_points", "hourly_points", "profile_panels"}
 
 
+def test_flow_keeps_upgrades_apart(spark):
+    n = 48
+    b = spark.createDataFrame([(u, "G5000030", "VT", 2.0, 1000.0 * (u + 1), 0.0) for u in (0, 1, 2)], "upgrade int, county string, state string, weight double, e double, g double")
+    loads = spark.createDataFrame([(u, "G5000030", T0 + k * H, 2.0, float(u + 1), 0.0) for u in (0, 1, 2) for k in range(n)], "upgrade int, county string, ts timestamp_ntz, weight double, e double, g double")
+    w = spark.createDataFrame([("G5000030", y, dt.datetime(y, 1, 1, 1) + k * H, 10 + 5 * math.sin(k / 4)) for y in (2018, 2012) for k in range(n)], "county string, year int, ts timestamp_ntz, dry_bulb double")
+    r = flow.run(readers.RunConfig.of({"upgrades": [0, 2]}), b, loads, w, ["county"], ["e"], ["g"], settings=regress.Settings(trees=3, depth=3, epochs=1))
+    assert {(x["upgrade"], x["hvac_mwh_meta"]) for x in r.reconciled.collect()} == {(0, 2.0), (2, 6.0)}
+    assert {x["upgrade"]: x["n"] for x in r.counties.groupBy("upgrade").agg(F.count("*").alias("n")).collect()} == {0: n, 2: n}
+
+
 def test_retries(spark):
     calls = []
 

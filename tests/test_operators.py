@@ -188,3 +188,23 @@ def test_target_year_test(spark):
     actual = spark.createDataFrame([("c", T0 + k * H, float(k + 1)) for k in range(1, 9)], "county string, ts timestamp_ntz, hvac double")
     r = regress.target_year_test(profiles, actual, ["county"], ["hvac"]).first()
     assert (r["mae"], r["mse"]) == (1.0, 1.0) and r["r2"] == pytest.approx(1 - 1 / 1.25)
+
+
+def test_series_summary(spark):
+    df = spark.createDataFrame([("a", 150, 299), ("a", 0, 149), ("b", 7, 9), (None, 1, 2)], "series string, start long, end long")
+    got = {r["series"]: tuple(r)[1:] for r in series.summary(df, "start", "end", ["series"]).collect()}
+    assert got == {"a": (2, 0, 149, 150, 299), "b": (1, 7, 9, 7, 9), None: (1, 1, 2, 1, 2)}
+    assert tuple(series.summary(df.where("series = 'none'"), "start", "end").first()) == (0, None, None, None, None)
+
+
+def test_series_that_all_tables_have(spark):
+    wanted, ref, reg = (spark.createDataFrame([(x,) for x in rows], "k string") for rows in (["a", "a", "b", None], ["a", "a", "c"], ["c", "a"]))
+    assert [r["k"] for r in relational.in_all(wanted, ["k"], ref, reg).collect()] == ["a"]
+
+
+def test_same_columns_in_the_same_order(spark):
+    a = spark.range(1).select(F.lit(1).alias("x"), F.lit(2).alias("y"))
+    relational.require_same_columns(a, a)
+    for other in (a.select("y", "x"), a.select("x"), a.withColumn("z", F.lit(3))):
+        with pytest.raises(ValueError, match="position"):
+            relational.require_same_columns(a, other)
