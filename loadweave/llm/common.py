@@ -34,6 +34,17 @@ def widened(df: DataFrame, more: str) -> T.StructType:
     return T.StructType([*df.schema.fields, *T.StructType.fromDDL(more).fields])
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that df has no column of."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """Whole texts; null is empty."""
     return ["" if x is None else x for x in batch.column(batch.schema.get_field_index(column)).to_pylist()]
