@@ -40,7 +40,7 @@ def frequent(hashes: DataFrame, h: str, at_most: int) -> DataFrame:
     part = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part")
     parts = hashes.groupBy(part).agg(F.expr(f"approx_top_k_accumulate(`{h}`, {at_most})").alias("sketch"))
     # Grouped by a constant, so that a table without rows gives no sketch; combining none is an error in Spark.
-    merged = parts.groupBy(F.lit(0)).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {at_most}), {at_most})").alias("found"))
+    merged = parts.groupBy(F.lit("all").alias("all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {at_most}), {at_most})").alias("found"))
     return merged.select(F.explode("found").alias("x")).where("x.count > 1").select("x.item")
 
 
