@@ -35,11 +35,41 @@ def nth_part(c: Column, separator: str, n: int) -> Column:
 
 
 def key_text(*columns: str) -> Column:
-    """The composite key as text, ('a', 'b'), for sinks; inside plans the key columns themselves are used."""
-    quoted = [F.concat(F.lit("'"), F.col(c).cast("string"), F.lit("'")) for c in columns]
+    """The composite key as text, ('a', 'b'), for sinks; inside plans the key columns themselves are used.
+
+    Different keys give different texts: a missing part is None without quotes, and quotes and backslashes in parts are escaped."""
+    escaped = lambda c: F.regexp_replace(F.col(c).cast("string"), r"(['\\])", r"\\$1")
+    quoted = [F.coalesce(F.concat(F.lit("'"), escaped(c), F.lit("'")), F.lit("None")) for c in columns]
     return F.concat(F.lit("("), F.concat_ws(", ", *quoted), F.lit(")"))
 
 
+def title_case(c: Column) -> Column:
+    """Every letter that follows no letter is upper case, all others lower: O'Brien-Smith. (initcap looks at blanks only.)"""
+    pieces = F.regexp_extract_all(c, F.lit(r"(\p{L}+|[^\p{L}]+)"), 1)
+    shown = lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.lower(F.substring(p, 2, 1_000_000)))
+    return F.array_join(F.transform(pieces, shown), "")
+
+
+def fixed(c: Column, places: int, grouped: bool = False) -> Column:
+    """A number with so many places, half to even; with commas between thousands if grouped. Missing values stay missing."""
+    exact = F.bround(c.cast("double"), places)
+    return F.format_number(exact, places) if grouped else F.when(c.isNotNull(), F.format_string(f"%.{places}f", exact))
+
+
+def significant(c: Column, digits: int = 3) -> Column:
+    """A number with so many significant digits and no trailing zeros, 0.00123 or 12.3; beyond that 1.23e+08 or 1.23e-05."""
+    x = c.cast("double")
+    whole = F.format_string(f"%.{digits - 1}e", x)
+    power = F.regexp_extract(whole, r"e([+-]\d+)$", 1).try_cast("int")
+    bare = lambda t: F.when(F.instr(t, ".") > 0, F.regexp_replace(t, r"\.?0+$", "")).otherwise(t)
+    written = F.format_string("%.0f", whole.cast("double"))
+    for k in range(1, digits + 4):
+        written = F.when(power == digits - 1 - k, bare(F.format_string(f"%.{k}f", whole.cast("double")))).otherwise(written)
+    far = F.concat(bare(F.regexp_extract(whole, "^([^e]*)", 1)), F.regexp_extract(whole, r"(e[+-]\d+)$", 1))
+    finite = c.isNotNull() & ~F.isnan(x)
+    return F.when(finite, F.when(x == 0, F.lit("0")).when((power < -4) | (power >= digits), far).otherwise(written))
+
+
 def slug(c: Column, fallback: str = "unknown") -> Column:
     bare = F.regexp_replace(F.regexp_replace(c, "[^A-Za-z0-9_-]+", "-"), "^[-_]+|[-_]+$", "")
     return F.coalesce(F.nullif(bare, F.lit("")), F.lit(fallback))

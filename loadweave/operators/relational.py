@@ -7,6 +7,8 @@ from itertools import zip_longest
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranking import with_rank
+
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
     """Left join to a lookup without repeated rows. A key with several values is an error, since it would double df's rows."""
@@ -83,11 +85,16 @@ def unpivoted(wide: DataFrame, ids: list[str], name: str, value: str) -> DataFra
 
 
 def pivoted(long: DataFrame, ids: list[str], name: str, value: str, names: list[str]) -> DataFrame:
-    """Wide form for sinks. A name that repeats for the same ids is an error, as no single value would be right."""
-    repeated = long.groupBy(*ids, name).count().where("count > 1").limit(1).collect()
-    if repeated:
-        raise ValueError(f"repeated: {tuple(repeated[0])}")
-    return long.groupBy(*ids).pivot(name, names).agg(F.first(value))
+    """Wide form for sinks, when the plan runs an error for a name that repeats for the same ids, as no single value would be
+    right, and for a name that is not among `names`, as its values would be lost."""
+    shown = F.coalesce(F.col(name).cast("string"), F.lit("null"))
+    stray = F.raise_error(F.concat(F.lit("no column for: "), shown))
+    known = F.col(name).isin(*names) & F.col(name).isNotNull()
+    twice = F.raise_error(F.concat(F.lit("repeated: "), F.max(shown))).cast(long.schema[value].dataType)
+    of = long.withColumn(name, F.when(known, F.col(name)).otherwise(stray.cast(long.schema[name].dataType)))
+    cells = {n: F.col(name) == F.lit(n) for n in names}
+    one = lambda c: F.when(F.count(F.when(c, 1)) > 1, twice).otherwise(F.max(F.when(c, F.col(value))))
+    return of.groupBy(*ids).agg(*[one(c).alias(str(n)) for n, c in cells.items()])
 
 
 def extremes(df: DataFrame, by: str, key: str, k: int = 5) -> DataFrame:
@@ -100,12 +107,11 @@ def extremes(df: DataFrame, by: str, key: str, k: int = 5) -> DataFrame:
 def best_middle_worst(df: DataFrame, by: str, key: str, k: int = 3) -> DataFrame:
     """The k lowest values, the k around the middle and the k highest, by rank among known values.
 
-    Ranks of few rows (entities, not hours), so one ordered window is enough."""
-    known = df.where(F.col(by).isNotNull())
-    w = Window.orderBy(by, key)
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    ranked = known.withColumn("rank", F.row_number().over(w)).withColumn("n", n)
-    start = F.greatest(F.lit(0), F.floor((F.col("n") - k) / 2))
-    flags = {"best": F.col("rank") <= k, "middle": (F.col("rank") > start) & (F.col("rank") <= start + k), "worst": F.col("rank") > F.col("n") - k}
+    The middle starts k // 2 places before place n // 2 (from 0), and earlier if it would run over the end. Ranks are dealt by
+    range (ranking.with_rank), so no task sees all rows."""
+    ranked = with_rank(df.where(F.col(by).isNotNull()), [by, key], "rank", "n")
+    end = F.least(F.col("n"), F.greatest(F.lit(0), F.floor(F.col("n") / 2) - k // 2) + k)
+    start = F.greatest(F.lit(0), end - k)
+    flags = {"best": F.col("rank") <= k, "middle": (F.col("rank") > start) & (F.col("rank") <= end), "worst": F.col("rank") > F.col("n") - k}
     tagged = ranked.withColumn("group", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(g)) for g, c in flags.items()]))))
-    return tagged.select(key, by, "rank", "group")
+    return tagged.select(key, by, F.col("rank").cast("int").alias("rank"), "group")

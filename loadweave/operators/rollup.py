@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import hour_end
 from ..functions.numeric import kwh_to_mwh, row_sum, total
+from .ranking import with_rank
 
 
 def keep_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,21 +60,22 @@ def _one_value(lookup: DataFrame, on: str, value: str) -> DataFrame:
 
 
 def rolled_up(series: DataFrame, to: DataFrame, on: str, parent: str, ts: str, value: str, unmapped: str | None = None) -> DataFrame:
-    """Totals by parent and time. to: (on, parent), of any size, an error if an entity has two parents; entities without a parent are dropped, or gathered under `unmapped`."""
+    return rolled_up_all(series, to, on, parent, ts, [value], unmapped)
+
+
+def rolled_up_all(series: DataFrame, to: DataFrame, on: str, parent: str, ts: str, values: list[str], unmapped: str | None = None) -> DataFrame:
+    """Totals of all values by parent and time, in one join and one aggregation. to: (on, parent), of any size, an error if an
+    entity has two parents; entities without a parent are dropped, or gathered under `unmapped`."""
     joined = series.join(_one_value(to, on, parent), on, "left" if unmapped is not None else "inner")
     if unmapped is not None:
         joined = joined.withColumn(parent, F.coalesce(F.col(parent), F.lit(unmapped)))
-    return joined.groupBy(parent, ts).agg(total(value).alias(value))
+    return joined.groupBy(parent, ts).agg(*[total(v).alias(v) for v in values])
 
 
 def chunked(groups: DataFrame, keys: list[str], size: int) -> DataFrame:
     """Distinct keys with the number of their chunk of `size` in key order. Ranks are dealt by range, without one task for all rows."""
-    distinct = groups.select(*keys).distinct()
-    parts = distinct.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id())
-    parts = parts.persist()
-    before = parts.groupBy("_part").count().withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
-    return parts.join(F.broadcast(before), "_part").select(*keys, F.floor((within + F.col("_before") - 1) / size).cast("int").alias("chunk"))
+    ranked = with_rank(groups.select(*keys).distinct(), keys, "_rank")
+    return ranked.select(*keys, F.floor((F.col("_rank") - 1) / size).cast("int").alias("chunk"))
 
 
 def labelled(df: DataFrame, lookup: DataFrame, on: str, label: str, fallback: Column) -> DataFrame:

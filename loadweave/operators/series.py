@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.dates import SEASONS, season
@@ -74,26 +74,43 @@ def hours(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.withColumn("ts", F.explode(F.sequence(F.col(start), F.col(end), F.expr("interval 1 hour"))))
 
 
+def _spread(df: DataFrame, keys: list[str], values: list[str], cells: list[tuple[Column, dict[str, Column]]]) -> DataFrame:
+    """Totals of all values in each cell (a condition, and columns that name it), 0 where a cell has no rows.
+
+    Cells are columns of one partial aggregation, so no spine is joined and both sides of a comparison are summed at once."""
+    sums = [F.coalesce(F.sum(F.when(when, F.col(v))), F.lit(0.0)).alias(f"_{k}_{v}") for k, (when, _) in enumerate(cells) for v in values]
+    rows = [F.struct(*[c.alias(n) for n, c in names.items()], *[F.col(f"_{k}_{v}").alias(v) for v in values]) for k, (_, names) in enumerate(cells)]
+    return df.groupBy(*keys).agg(*sums).select(*keys, F.explode(F.array(*rows)).alias("x")).select(*keys, "x.*")
+
+
+def by_month_of(df: DataFrame, keys: list[str], values: list[str], ts: str = "ts") -> DataFrame:
+    """keys, month, values: totals of all twelve months of each series; months without rows are 0."""
+    return _spread(df, keys, values, [(F.month(ts) == m, {"month": F.lit(m)}) for m in range(1, 13)])
+
+
 def by_month(df: DataFrame, keys: list[str], value: str, ts: str = "ts") -> DataFrame:
-    """Totals of all twelve months of each series; months without rows are 0. Months are columns of one partial aggregation, so no spine is joined."""
-    month = F.month(ts)
-    sums = df.groupBy(*keys).agg(*[F.coalesce(F.sum(F.when(month == m, F.col(value))), F.lit(0.0)).alias(f"_{m}") for m in range(1, 13)])
-    each = F.explode(F.array(*[F.struct(F.lit(m).alias("month"), F.col(f"_{m}").alias(value)) for m in range(1, 13)])).alias("x")
-    return sums.select(*keys, each).select(*keys, "x.month", f"x.{value}")
+    return by_month_of(df, keys, [value], ts)
+
+
+def by_season_of(df: DataFrame, keys: list[str], values: list[str], ts: str = "ts") -> DataFrame:
+    """keys, season_no, season, values: totals of all four seasons of each series; seasons without rows are 0."""
+    return _spread(df, keys, values, [(season(F.col(ts)) == s, {"season_no": F.lit(k), "season": F.lit(s)}) for k, s in enumerate(SEASONS)])
 
 
 def by_season(df: DataFrame, keys: list[str], value: str, ts: str = "ts") -> DataFrame:
-    sums = df.groupBy(*keys).agg(*[F.coalesce(F.sum(F.when(season(F.col(ts)) == s, F.col(value))), F.lit(0.0)).alias(s) for s in SEASONS])
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("season_no"), F.lit(s).alias("season"), F.col(s).alias(value)) for k, s in enumerate(SEASONS)])).alias("x")
-    return sums.select(*keys, each).select(*keys, "x.season_no", "x.season", f"x.{value}")
+    return by_season_of(df, keys, [value], ts)
+
+
+def by_day_of(df: DataFrame, keys: list[str], values: list[str], ts: str = "ts") -> DataFrame:
+    """keys, day, values: daily totals from each series' first day to its last; days without rows are 0."""
+    sums = df.groupBy(*keys, F.to_date(ts).alias("day")).agg(*[total(v).alias(v) for v in values])
+    ends = sums.groupBy(*keys).agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
+    spine = ends.withColumn("day", F.explode(F.sequence("_a", "_b"))).drop("_a", "_b")
+    return spine.join(sums, [*keys, "day"], "left").withColumns({v: F.coalesce(v, F.lit(0.0)) for v in values})
 
 
 def by_day(df: DataFrame, keys: list[str], value: str, ts: str = "ts") -> DataFrame:
-    """Daily totals from each series' first day to its last; days without rows are 0."""
-    day = F.to_date(ts)
-    sums = df.groupBy(*keys, day.alias("day")).agg(total(value).alias(value))
-    spine = sums.groupBy(*keys).agg(F.min("day").alias("_a"), F.max("day").alias("_b")).withColumn("day", F.explode(F.sequence("_a", "_b"))).drop("_a", "_b")
-    return spine.join(sums, [*keys, "day"], "left").withColumn(value, F.coalesce(value, F.lit(0.0)))
+    return by_day_of(df, keys, [value], ts)
 
 
 def summary(ranges: DataFrame, start: str, end: str, keys: list[str] | None = None) -> DataFrame:

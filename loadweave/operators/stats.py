@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import correlation, pct_diff, safe_div, total
-from .series import by_day, by_month
+from .series import by_day_of, by_month_of
 
 
 def _group(df: DataFrame, keys: list[str]):
@@ -36,10 +36,8 @@ def across(df: DataFrame, value: str, key: str, keys: list[str] | None = None) -
 
 def month_mape(pairs: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
     """Mean and median, over entities and months with a total in ref, of the relative gap between monthly totals, in percent."""
-    # Both sides' months come from one aggregation each over the same shuffle of entities.
-    ref, reg = by_month(pairs, keys, "ref", ts), by_month(pairs, keys, "reg", ts)
     gap = F.abs(pct_diff(F.col("ref"), F.col("reg")))
-    return ref.join(reg, [*keys, "month"]).select(gap.alias("ape")).agg(F.avg("ape").alias("mape_mean"), F.median("ape").alias("mape_median"))
+    return by_month_of(pairs, keys, ["ref", "reg"], ts).select(gap.alias("ape")).agg(F.avg("ape").alias("mape_mean"), F.median("ape").alias("mape_median"))
 
 
 def hourly_correlation(pairs: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -48,9 +46,7 @@ def hourly_correlation(pairs: DataFrame, keys: list[str] | None = None) -> DataF
 
 def daily_correlation(pairs: DataFrame, keys: list[str] | None = None, ts: str = "ts") -> DataFrame:
     """Correlation of daily totals; days without rows count as 0."""
-    ref = by_day(pairs, keys or [], "ref", ts)
-    reg = by_day(pairs, keys or [], "reg", ts)
-    return hourly_correlation(ref.join(reg, [*(keys or []), "day"]), keys)
+    return hourly_correlation(by_day_of(pairs, keys or [], ["ref", "reg"], ts), keys)
 
 
 def diurnal_correlation(pairs: DataFrame, period: Column, hour: Column) -> DataFrame:
@@ -76,14 +72,6 @@ def peaks(pairs: DataFrame, keys: list[str], ts: str = "ts") -> DataFrame:
     )
 
 
-def percentiles(pairs: DataFrame, keys: list[str] | None = None, at: tuple[float, ...] = (0.90, 0.95, 0.99)) -> DataFrame:
-    """Exact percentiles of both sides, one row for each."""
-    sides = _group(pairs, keys or []).agg(F.percentile("ref", F.array(*map(F.lit, at))).alias("a"), F.percentile("reg", F.array(*map(F.lit, at))).alias("b"))
-    rows = sides.select(*(keys or []), F.posexplode(F.arrays_zip("a", "b")).alias("k", "x"))
-    out = rows.select(*(keys or []), F.element_at(F.array(*map(F.lit, at)), F.col("k") + 1).alias("q"), F.col("x.a").alias("ref"), F.col("x.b").alias("reg"))
-    return out.withColumn("pct_diff", pct_diff(F.col("ref"), F.col("reg")))
-
-
 def model_metrics(df: DataFrame, keys: list[str], actual: str, predicted: str) -> DataFrame:
     """MAE, MSE and R2 of a prediction; R2 is NULL where the actual values do not vary."""
     both = df.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull())

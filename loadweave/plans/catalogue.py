@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, numeric, text
 from ..operators import reconcile as rec
-from ..operators import regress, relational, rollup, series, stats
+from ..operators import ranking, regress, relational, rollup, savings, series, stats
 from ..operators import weather as wx
 from ..sources import readers, scratch, writers
 from .inputs import HOURLY, PAIRS, hourly, pairs, read
@@ -90,6 +90,61 @@ def savings_self_join(spark, sf_dir):
     return rounded(rollup.savings_rollup(items, ["l_suppkey"], "ts", "l_linenumber", ["q"], baseline=1), 4)
 
 
+_UPGRADES = (1, 2)
+_SAVINGS = """WITH b AS (SELECT s_suppkey AS bldg, s_nationkey AS nation, 1.0 + s_suppkey % 3 AS w, s_acctbal > 0 AS a1, s_nationkey % 2 = 0 AS a2 FROM supplier),
+l AS (SELECT nation, date_trunc('month', l_shipdate) AS ts, (l_linenumber - 1) % 3 AS u, w * l_quantity AS hvac, w * l_tax AS gas, a1, a2 FROM lineitem JOIN b ON l_suppkey = bldg)
+"""
+
+
+def _savings_inputs(spark, sf_dir):
+    """Line items as loads of buildings (suppliers) under a baseline and two upgrades, and which upgrade applies to which building."""
+    loads = read(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("bldg_id"), ((F.col("l_linenumber") - 1) % 3).alias("upgrade"), F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("ts"), "l_quantity", "l_tax"
+    )
+    applies = F.when(F.col("upgrade") == 1, F.col("s_acctbal") > 0).when(F.col("upgrade") == 2, F.col("s_nationkey") % 2 == 0).otherwise(True)
+    metadata = read(spark, sf_dir, "supplier").withColumn("upgrade", F.explode(F.array(*map(F.lit, (0, *_UPGRADES)))))
+    return loads, metadata.select(F.col("s_suppkey").alias("bldg_id"), "upgrade", F.col("s_nationkey").alias("nation"), (F.lit(1.0) + F.col("s_suppkey") % 3).alias("weight"), applies.alias("applicability"))
+
+
+def _wide(spark, sf_dir, upgrades, **more):
+    loads, metadata = _savings_inputs(spark, sf_dir)
+    measures = {"hvac": F.col("l_quantity"), "gas": F.col("l_tax")}
+    return savings.wide_totals(loads, metadata, "bldg_id", "upgrade", ["nation"], measures, list(upgrades), applicable="applicability", already_hourly=True, **more)
+
+
+@query(
+    _SAVINGS
+    + " UNION ALL ".join(
+        f"SELECT nation, {u} AS upgrade, ts, round_even(sum(hvac) FILTER (u = 0), 4) AS hvac_baseline, round_even(sum(hvac) FILTER (u = {u}), 4) AS hvac_upgrade, round_even(sum(hvac) FILTER (u = 0) - sum(hvac) FILTER (u = {u}), 4) + 0.0 AS hvac_savings, "
+        f"round_even(sum(gas) FILTER (u = 0), 6) AS gas_baseline, round_even(sum(gas) FILTER (u = {u}), 6) AS gas_upgrade, round_even(sum(gas) FILTER (u = 0) - sum(gas) FILTER (u = {u}), 6) + 0.0 AS gas_savings, count(*) FILTER (u = 0) AS rows_baseline, count(*) FILTER (u = {u}) AS rows_upgrade "
+        f"FROM l WHERE a{u} GROUP BY nation, ts HAVING count(*) FILTER (u = 0) > 0 AND count(*) FILTER (u = {u}) > 0"
+        for u in _UPGRADES
+    )
+)
+def upgrade_savings(spark, sf_dir):
+    """Savings of two upgrades, each over the buildings that it applies to, from one scan of the loads."""
+    out = savings.savings(_wide(spark, sf_dir, _UPGRADES, applied_only=True), ["nation"], ["hvac", "gas"], list(_UPGRADES))
+    return out.select(*[r(c, 4 if c.startswith("hvac") else 6).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes])
+
+
+@query(_SAVINGS + "SELECT nation, u::INTEGER AS upgrade, ts, round_even(sum(hvac), 4) AS hvac, round_even(sum(gas), 6) AS gas FROM l GROUP BY ALL")
+def upgrade_totals(spark, sf_dir):
+    """Totals of the baseline and of both upgrades over all buildings; groups and weights come from metadata by building."""
+    out = savings.totals(_wide(spark, sf_dir, (0, *_UPGRADES)), ["nation"], ["hvac", "gas"], [0, *_UPGRADES])
+    return out.select("nation", "upgrade", "ts", r("hvac", 4).alias("hvac"), r("gas").alias("gas"))
+
+
+@query(_SAVINGS + "SELECT nation, u::INTEGER AS upgrade, ts, round_even(sum(hvac), 4) AS hvac FROM l GROUP BY ALL")
+def upgrades_replaced(spark, sf_dir):
+    """Tables by upgrade: all three are written, then one of them again, which replaces its own rows and no others."""
+    path = scratch.folder(spark)
+    wide = _wide(spark, sf_dir, (0, *_UPGRADES))
+    of = lambda upgrades: savings.totals(wide, ["nation"], ["hvac"], upgrades).withColumn("hvac", r("hvac", 4))
+    writers.replace_partitions(of([0, *_UPGRADES]), path, ["upgrade"])
+    writers.replace_partitions(of([2]), path, ["upgrade"])
+    return spark.read.parquet(path).select("nation", "upgrade", "ts", "hvac")
+
+
 @query(f"WITH {PAIRS} SELECT n_regionkey AS zone, ts, round_even(sum(ref), 8) AS ref FROM pairs JOIN nation ON nation = n_nationkey GROUP BY ALL")
 def ba_rollup(spark, sf_dir):
     to = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_regionkey").alias("zone"))
@@ -356,10 +411,33 @@ def national_peak_and_load_factor(spark, sf_dir):
 
 @query(f"WITH {PAIRS} SELECT q::DOUBLE AS q, round_even(quantile_cont(ref, 0.90), 6) AS ref, round_even(quantile_cont(reg, 0.90), 6) AS reg, round_even(100 * (quantile_cont(reg, 0.90) - quantile_cont(ref, 0.90)) / quantile_cont(ref, 0.90), 6) AS pct_diff FROM pairs, (SELECT 0.9 AS q) GROUP BY q UNION ALL SELECT 0.95, round_even(quantile_cont(ref, 0.95), 6), round_even(quantile_cont(reg, 0.95), 6), round_even(100 * (quantile_cont(reg, 0.95) - quantile_cont(ref, 0.95)) / quantile_cont(ref, 0.95), 6) FROM pairs UNION ALL SELECT 0.99, round_even(quantile_cont(ref, 0.99), 6), round_even(quantile_cont(reg, 0.99), 6), round_even(100 * (quantile_cont(reg, 0.99) - quantile_cont(ref, 0.99)) / quantile_cont(ref, 0.99), 6) FROM pairs")
 def load_percentiles(spark, sf_dir):
-    return rounded(stats.percentiles(pairs(spark, sf_dir)))
+    return rounded(ranking.percentiles(pairs(spark, sf_dir)))
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT l_suppkey, {q}::DOUBLE AS q, round_even(quantile_cont(l_extendedprice, {q}), 6) AS ref, round_even(quantile_cont(l_quantity, {q}), 6) AS reg, round_even(100 * (quantile_cont(l_quantity, {q}) - quantile_cont(l_extendedprice, {q})) / quantile_cont(l_extendedprice, {q}), 6) AS pct_diff FROM lineitem GROUP BY l_suppkey"
+        for q in (0.9, 0.95, 0.99)
+    )
+)
+def load_percentiles_by_key(spark, sf_dir):
+    """Percentiles of each supplier's prices and quantities; quantities are few values that many rows share."""
+    items = read(spark, sf_dir, "lineitem").select("l_suppkey", F.col("l_extendedprice").alias("ref"), F.col("l_quantity").alias("reg"))
+    return rounded(ranking.percentiles(items, ["l_suppkey"]))
+
+
+# Places from 0: the middle starts at max(0, n // 2 - k // 2), ends k later or at n, and is moved back if it was cut; k = 3.
+_BMW = """p AS (SELECT *, least(n, greatest(0, n // 2 - 3 // 2) + 3) AS stop FROM k), g AS (SELECT *, 'best' AS "group" FROM p WHERE rank - 1 < 3
+UNION ALL SELECT *, 'middle' FROM p WHERE rank - 1 >= greatest(0, stop - 3) AND rank - 1 < stop UNION ALL SELECT *, 'worst' FROM p WHERE rank - 1 >= n - 3)"""
+
+
+@query(f"WITH k AS (SELECT s_suppkey, s_acctbal, row_number() OVER (ORDER BY s_acctbal, s_suppkey) AS rank, count(*) OVER () AS n FROM supplier WHERE s_acctbal IS NOT NULL), {_BMW} SELECT s_suppkey, s_acctbal, rank::INTEGER AS rank, \"group\" FROM g")
+def best_middle_worst_even(spark, sf_dir):
+    """As best_middle_worst, of an even number of rows."""
+    return relational.best_middle_worst(read(spark, sf_dir, "supplier"), "s_acctbal", "s_suppkey")
 
 
-@query(f"WITH {PAIRS}, e AS (SELECT nation, avg(abs(ref - reg)) / nullif(avg(ref), 0) AS nmae FROM pairs GROUP BY ALL), k AS (SELECT *, row_number() OVER (ORDER BY nmae, nation) AS rank, count(*) OVER () AS n FROM e), g AS (SELECT *, 'best' AS \"group\" FROM k WHERE rank <= 3 UNION ALL SELECT *, 'middle' FROM k WHERE rank > greatest(0, (n - 3) // 2) AND rank <= greatest(0, (n - 3) // 2) + 3 UNION ALL SELECT *, 'worst' FROM k WHERE rank > n - 3) SELECT nation, round_even(nmae, 6) AS nmae, rank::INTEGER AS rank, \"group\" FROM g")
+@query(f"WITH {PAIRS}, e AS (SELECT nation, avg(abs(ref - reg)) / nullif(avg(ref), 0) AS nmae FROM pairs GROUP BY ALL), k AS (SELECT *, row_number() OVER (ORDER BY nmae, nation) AS rank, count(*) OVER () AS n FROM e), {_BMW} SELECT nation, round_even(nmae, 6) AS nmae, rank::INTEGER AS rank, \"group\" FROM g")
 def best_middle_worst(spark, sf_dir):
     return rounded(relational.best_middle_worst(stats.errors(pairs(spark, sf_dir), ["nation"]).select("nation", "nmae"), "nmae", "nation"))
 
@@ -404,7 +482,7 @@ def union_by_name(spark, sf_dir):
     return e.where("event_type = 'view'").select("event_id", "value").unionByName(e.where("event_type <> 'view'").select("event_id", "user_id"), allowMissingColumns=True).na.fill(-1, ["user_id"])
 
 
-_KINDS = ("click", "purchase", "signup", "view")
+_KINDS = ("click", "error", "purchase", "signup", "view")
 
 
 @query(f"WITH {HOURLY} SELECT ts, " + ", ".join(f"round_even(max(v) FILTER (kind = '{k}'), 6) AS {k}" for k in _KINDS) + " FROM hourly GROUP BY ts")
@@ -553,11 +631,11 @@ def target_year_test(spark, sf_dir):
 # Sources and sinks: written and read again
 
 
-@query(f"WITH {HOURLY} SELECT kind AS fips, ts, round_even(v, 6) AS gwh FROM hourly WHERE kind IN ('click', 'view')")
+@query(f"WITH {HOURLY} SELECT kind AS fips, ts, round_even(v, 6) AS gwh FROM hourly")
 def wide_csv_round_trip(spark, sf_dir):
     path = scratch.folder(spark)
-    h = hourly(spark, sf_dir).where(F.col("kind").isin("click", "view")).select("ts", "kind", "v")
-    writers.wide_loads(h, path, "kind", "v", ["click", "view"])
+    h = hourly(spark, sf_dir).select("ts", "kind", "v")
+    writers.wide_loads(h, path, "kind", "v", list(_KINDS))
     return readers.wide_series(spark, path).where(F.col("gwh").isNotNull()).select("fips", "ts", "gwh")
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import mwh_to_gwh, row_sum
-from ..operators import reconcile, regress, rollup, series, weather
+from ..operators import reconcile, regress, rollup, savings, series, weather
+from ..sources import scratch, writers
 from ..sources.readers import RunConfig
 
 TARGETS = ["hvac_mwh", "gas_mwh"]
@@ -16,30 +17,65 @@ TARGETS = ["hvac_mwh", "gas_mwh"]
 
 @dataclass(frozen=True)
 class Result:
+    """Tables of a run. `upgrade` is one of the keys if the inputs have it; savings is None without upgrades to compare."""
+
     meta: DataFrame
     series: DataFrame
+    savings: DataFrame | None
     profiles: DataFrame
     fits: DataFrame
     reconciled: DataFrame
     counties: DataFrame
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: df for name, df in vars(self).items() if df is not None}
+
+
+def _hourly(config: RunConfig, buildings: DataFrame, loads: DataFrame, keys: list[str], electric: list[str], gas: list[str], weight: str) -> tuple[DataFrame, DataFrame | None]:
+    """Hourly totals by keys, and savings of upgrades; both from one scan of loads, and both of one table of sums, written once."""
+    measures = {"hvac_mwh": row_sum(*electric) / 1000, "gas_mwh": row_sum(*gas) / 1000}
+    building = config.building_column
+    rounded = [F.bround(t, 6).alias(t) for t in TARGETS]
+    # Savings need the baseline's loads: asked for, or there anyway.
+    others = [u for u in config.upgrades if u != config.baseline] if config.savings or config.baseline in config.upgrades else []
+    if building in buildings.columns and building in loads.columns and "upgrade" in keys:
+        groups = [k for k in keys if k != "upgrade"]
+        applicable = "applicability" if "applicability" in buildings.columns else None
+        wide = savings.wide_totals(loads, buildings, building, "upgrade", groups, measures, list(config.upgrades), config.baseline, weight=weight if weight in buildings.columns else None, applicable=applicable, applied_only=config.applied_only or config.savings)
+        wide = scratch.written(wide)
+        hourly = savings.totals(wide, groups, TARGETS, list(config.upgrades))
+        saved = savings.savings(wide, groups, TARGETS, list(config.upgrades), config.baseline) if others else None
+        return hourly.select(*keys, "ts", *rounded), saved
+    rows = loads.select(*keys, "ts", *([weight] if weight in loads.columns else []), *[c.alias(m) for m, c in measures.items()])
+    hourly = rollup.hourly_rollup(rows, keys, TARGETS, weight=weight if weight in loads.columns else None)
+    hourly = scratch.written(hourly)
+    saved = None
+    if "upgrade" in keys and others:
+        groups = [k for k in keys if k != "upgrade"]
+        saved = rollup.with_baseline(hourly, groups, "ts", "upgrade", TARGETS, config.baseline)
+    return hourly.select(*keys, "ts", *rounded), saved
+
 
 def run(config: RunConfig, buildings: DataFrame, loads: DataFrame, hourly_weather: DataFrame, keys: list[str], electric: list[str], gas: list[str], weight: str = "weight", settings: regress.Settings | None = None) -> Result:
-    """buildings and loads: keys, a weight, a column for each end use (kWh); loads also ts. hourly_weather: county, year, ts, measures.
+    """buildings: keys, a weight, a column for each end use (kWh). loads: ts, a column for each end use, and either the building
+    and upgrade (then groups and weights come from buildings), or keys and a weight. hourly_weather: county, year, ts, measures.
 
-    If both have a column upgrade, those of the configuration are taken, and upgrade is one of the keys. keys have the county column; weather is looked up by the county that the configuration names. Everything is one lazy
-    plan but for the fits, which are kept so that profiles and metrics do not fit twice."""
+    If both have a column upgrade, those of the configuration are taken, and upgrade is one of the keys. keys have the county
+    column; weather is looked up by the county that the configuration names.
+
+    Hourly sums are written once, and fits are kept, so nothing is summed or fitted twice; the rest are lazy plans. A group
+    without a profile (no base weather, or too few hours) has missing values in reconciled, and counties counts such groups."""
     county = config.weather_county()
     if "upgrade" in buildings.columns and "upgrade" in loads.columns:
         # The upgrades of this run, side by side: each is a group of its own.
-        buildings, loads = (df.where(F.col("upgrade").isin(*config.upgrades)) for df in (buildings, loads))
+        wanted = list(dict.fromkeys([*config.upgrades, *([config.baseline] if config.savings else [])]))
+        buildings, loads = (df.where(F.col("upgrade").isin(*wanted)) for df in (buildings, loads))
         keys = list(dict.fromkeys(["upgrade", *keys]))
     scoped = config.scope(buildings) if "state" in buildings.columns else buildings
     meta = rollup.metadata_rollup(scoped, keys, electric, gas, weight=weight, applied_only=config.applied_only)
-    in_scope = loads.join(meta.select(*keys).distinct(), keys, "left_semi")
-    rows = in_scope.select(*keys, "ts", *([weight] if weight in loads.columns else []), (row_sum(*electric) / 1000).alias("hvac_mwh"), (row_sum(*gas) / 1000).alias("gas_mwh"))
-    hourly = rollup.hourly_rollup(rows, keys, TARGETS, weight=weight if weight in loads.columns else None)
-    hourly = hourly.select(*keys, "ts", *[F.bround(t, 6).alias(t) for t in TARGETS])
+    hourly, saved = _hourly(config, scoped, loads, keys, electric, gas, weight)
+    # Sums first, then the groups in scope: the join meets a row for each group and hour, not raw loads.
+    hourly = hourly.join(meta.select(*keys).distinct(), keys, "left_semi")
     measures = [c for c in weather.MEASURES if c in hourly_weather.columns]
     features = weather.weather_features(hourly_weather.withColumnRenamed("county", county), [county, "year"], measures, list(config.lags))
     of_year = lambda y: series.without_leap_day(features.where(F.col("year") == y).drop("year"), [county])
@@ -47,7 +83,17 @@ def run(config: RunConfig, buildings: DataFrame, loads: DataFrame, hourly_weathe
     settings = settings or regress.Settings(folds=config.folds)
     profiles, fits = regress.translate(hourly, of_year(config.base_year), of_year(config.target_year), keys, [county], TARGETS, names, "dry_bulb", settings)
     profiles = profiles.withColumn("value", F.bround("value", 6))
-    regressed = series.first_rows(profiles, [*keys, "target"]).groupBy(*keys).agg(*[F.coalesce(F.sum(F.when(F.col("target") == t, F.col("value"))), F.lit(0.0)).alias(t) for t in TARGETS])
+    # A sum of missing values is missing; groups whose loads are zero have zeros in their profile.
+    year = series.first_rows(profiles, [*keys, "target"]).groupBy(*keys)
+    regressed = year.agg(*[F.sum(F.when(F.col("target") == t, F.col("value"))).alias(t) for t in TARGETS])
     reconciled = reconcile.reconcile(meta, series.annual(hourly, keys, TARGETS), regressed, keys, TARGETS)
-    counties = profiles.where(F.col("target") == TARGETS[0]).groupBy(*(["upgrade"] if "upgrade" in keys else []), config.county_column, "ts").agg(mwh_to_gwh(F.sum("value")).alias("gwh"))
-    return Result(meta, hourly, profiles, fits, reconciled, counties)
+    of_county = [*(["upgrade"] if "upgrade" in keys else []), config.county_column]
+    gwh = mwh_to_gwh(F.sum("value")).alias("gwh")
+    counties = profiles.where(F.col("target") == TARGETS[0]).groupBy(*of_county, "ts").agg(gwh, F.count(F.when(F.col("value").isNull(), 1)).alias("groups_without_profile"))
+    return Result(meta, hourly, saved, profiles, fits, reconciled, counties)
+
+
+def save(result: Result, folder: str) -> None:
+    """Every table under folder/{name}, by upgrade where it has one. A run of some upgrades replaces theirs and leaves the others."""
+    for name, df in result.tables().items():
+        writers.replace_partitions(df, f"{folder}/{name}", ["upgrade"] if "upgrade" in df.columns else [])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import season
-from ..operators import relational, rollup, series, stats
+from ..operators import ranking, relational, rollup, series, stats
 from ..sources.writers import html_table
 
 
@@ -16,8 +16,7 @@ def national(pairs: DataFrame) -> DataFrame:
 
 def of_zones(pairs: DataFrame, zones: DataFrame) -> DataFrame:
     """zone, ts, ref, reg; counties without a zone are one zone, `unmapped`."""
-    side = lambda v: rollup.rolled_up(pairs.select("fips", "ts", v), zones, "fips", "ba", "ts", v, unmapped="unmapped")
-    return side("ref").join(side("reg"), ["ba", "ts"])
+    return rollup.rolled_up_all(pairs.select("fips", "ts", "ref", "reg"), zones, "fips", "ba", "ts", ["ref", "reg"], unmapped="unmapped")
 
 
 def tables(ref: DataFrame, reg: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
@@ -31,14 +30,14 @@ def tables(ref: DataFrame, reg: DataFrame, zones: DataFrame) -> dict[str, DataFr
         "unmapped counties": pairs.select("fips").distinct().join(zones, "fips", "left_anti"),
         "zones by state": stats.state_lists(zones, "ba", "state"),
         "national total": stats.annual_pct_diff(whole, []),
-        "national by month": series.by_month(whole, [], "ref").join(series.by_month(whole, [], "reg"), "month"),
-        "national by season": series.by_season(whole, [], "ref").join(series.by_season(whole, [], "reg"), ["season_no", "season"]),
+        "national by month": series.by_month_of(whole, [], ["ref", "reg"]),
+        "national by season": series.by_season_of(whole, [], ["ref", "reg"]),
         "national errors": stats.errors(whole, []),
         "national hourly correlation": stats.hourly_correlation(whole),
         "national daily correlation": stats.daily_correlation(whole),
         "diurnal correlation by month": stats.diurnal_correlation(whole, F.month("ts"), F.hour("ts")),
         "national peaks": stats.peaks(whole, []),
-        "national percentiles": stats.percentiles(whole),
+        "national percentiles": ranking.percentiles(whole),
         "county percent difference": stats.across(county_pct, "pct_diff", "fips"),
         "county extremes": relational.extremes(county_pct, "pct_diff", "fips"),
         "county errors": stats.across(county_errors, "nmae", "fips"),

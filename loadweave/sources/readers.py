@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parsed
-from ..functions.text import normal_fips
+from ..functions.text import normal_fips, title_case
 from ..operators.relational import keep_last
 
 
@@ -46,11 +47,14 @@ def lookup(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame
 
 
 def zones(spark: SparkSession, path: str) -> DataFrame:
-    """County-to-zone table: fips without leading zeros, zone, county, state; one row for each county."""
+    """County-to-zone table: fips without leading zeros, zone, county, state; one row for each county, the first in the file."""
     df = spark.read.option("header", True).csv(path)
     cols = {c.lower(): c for c in df.columns}
-    picked = df.select(normal_fips(F.col(cols["fips"])).alias("fips"), F.trim(cols["ba"]).alias("ba"), F.initcap(F.trim(cols["county_name"])).alias("county"), F.trim(cols["state"]).alias("state"))
-    return picked.groupBy("fips").agg(*[F.min(c).alias(c) for c in ("ba", "county", "state")])
+    place = F.struct(F.input_file_name(), F.monotonically_increasing_id())
+    trimmed = lambda name: F.trim(F.col(f"`{cols[name]}`"))
+    values = F.struct(trimmed("ba").alias("ba"), title_case(trimmed("county_name")).alias("county"), trimmed("state").alias("state"))
+    picked = df.select(normal_fips(F.col(cols["fips"])).alias("fips"), values.alias("x"), place.alias("at"))
+    return picked.groupBy("fips").agg(F.min_by("x", "at").alias("x")).select("fips", "x.*")
 
 
 # Columns of weather files, and our names.
@@ -113,13 +117,33 @@ def parsed_chunk_names(df: DataFrame, path: str) -> DataFrame:
     return found.select(path, part(1).alias("prefix"), part(2).cast("int").alias("upgrade"), part(3).cast("int").alias("start"), part(4).cast("int").alias("end"))
 
 
+#: Answers of a server that may be better a little later.
+PASSING_CODES = (500, 503)
+
+
+def passing(error: BaseException) -> bool:
+    """Whether trying again may help: connections and timeouts, and the codes above; not wrong names, types, plans or rights."""
+    code = getattr(error, "code", None) or getattr(getattr(error, "response", None), "status_code", None)
+    if isinstance(code, int):
+        return code in PASSING_CODES
+    if isinstance(error, (FileNotFoundError, FileExistsError, PermissionError, IsADirectoryError, NotADirectoryError)):
+        return False
+    if isinstance(error, OSError):
+        return True
+    # What Java threw reaches Python as text only.
+    known = r"SocketTimeoutException|ConnectException|UnknownHostException|ConnectionReset|NoHttpResponse|SocketException"
+    return bool(re.search(rf"{known}|[Ss]tatus [Cc]ode:? (?:{'|'.join(map(str, PASSING_CODES))})\b", str(error)))
+
+
 def retried(action: Callable[[], DataFrame], times: int = 5, wait: float = 10.0) -> DataFrame:
-    """The result of an action on a remote source, tried again after a pause. Tasks have Spark's own retries besides."""
+    """The result of an action on a remote source, tried again after a pause if the error is a passing one.
+
+    Tasks have Spark's own retries besides."""
     for k in range(times):
         try:
             return action()
-        except Exception:
-            if k == times - 1:
+        except Exception as error:
+            if k == times - 1 or not passing(error):
                 raise
             time.sleep(wait)
     raise ValueError("times must be at least 1")
@@ -132,6 +156,9 @@ class RunConfig:
     stock: str = "commercial"
     release: str = "2025.2"
     upgrades: tuple[int, ...] = (0,)
+    baseline: int = 0
+    savings: bool = False
+    building_column: str = "bldg_id"
     county_column: str = "county"
     weather_county_column: str | None = None
     base_year: int = 2018

@@ -20,6 +20,16 @@ def to_parquet(df: DataFrame, path: str, by: list[str] | None = None, mode: str
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """Writes df by partition; partitions that df has rows of are replaced, all others stay. Without `by` the whole table is replaced.
+
+    Written again by the same run, a table is the same as before."""
+    if not by:
+        df.write.mode("overwrite").parquet(path)
+        return
+    df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
 def to_csv(df: DataFrame, path: str, single: bool = False, mode: str = "errorifexists", header: bool = True) -> None:
     (df.coalesce(1) if single else df).write.mode(mode).option("header", header).csv(path)
 

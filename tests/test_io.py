@@ -61,6 +61,8 @@ def test_chunks_of_one_upgrade(spark, tmp_path):
 def test_zones_and_lookup(spark, tmp_path):
     (tmp_path / "z.csv").write_text("FIPS,ba,county_name,state\n01001,p1,AUTAUGA,AL\n01001,p1,AUTAUGA,AL\n")
     assert [tuple(r) for r in readers.zones(spark, str(tmp_path / "z.csv")).collect()] == [("1001", "p1", "Autauga", "AL")]
+    (tmp_path / "two.csv").write_text("FIPS,ba,county_name,state\n01001,p2,ALPHA,AL\n1001,p1,O'BETA,WY\n")
+    assert [tuple(r) for r in readers.zones(spark, str(tmp_path / "two.csv")).collect()] == [("1001", "p2", "Alpha", "AL")]
     assert [tuple(r) for r in readers.lookup(spark, str(tmp_path / "z.csv"), {"FIPS": "code"}).collect()] == [("01001",)]
 
 
@@ -115,6 +117,23 @@ def test_retries(spark):
         readers.retried(lambda: (_ for _ in ()).throw(OSError()), 2, 0)
 
 
+def test_only_passing_errors_are_tried_again():
+    class Answer(Exception):
+        def __init__(self, code):
+            self.code = code
+
+    for error, times in ((Answer(503), 3), (Answer(404), 1), (TypeError(), 1), (FileNotFoundError(), 1), (ConnectionResetError(), 3), (RuntimeError("java.net.SocketTimeoutException: x"), 3), (RuntimeError("Status Code: 500; Error"), 3), (RuntimeError("Status Code: 403"), 1)):
+        calls = []
+
+        def action(error=error, calls=calls):
+            calls.append(1)
+            raise error
+
+        with pytest.raises(type(error)):
+            readers.retried(action, 3, 0)
+        assert len(calls) == times, error
+
+
 def test_stream_gives_what_the_table_gives(spark, tmp_path):
     rows = [(k, "a", dt.datetime(2024, 1, 1, k // 4, 15 * (k % 4)), float(k)) for k in range(40)]
     df = spark.createDataFrame(rows, "id long, kind string, ts timestamp_ntz, v double")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loadweave.functions import dates, numeric, text
-from loadweave.operators import learners, reconcile, regress, relational, rollup, series, stats, weather
+from loadweave.operators import learners, ranking, reconcile, regress, relational, rollup, series, stats, weather
 from loadweave.sources import readers
 
 H = dt.timedelta(hours=1)
@@ -208,3 +208,61 @@ def test_same_columns_in_the_same_order(spark):
     for other in (a.select("y", "x"), a.select("x"), a.withColumn("z", F.lit(3))):
         with pytest.raises(ValueError, match="position"):
             relational.require_same_columns(a, other)
+
+
+@pytest.mark.parametrize("n", range(1, 13))
+def test_middle_of_even_and_odd_counts(spark, n):
+    def places(k=3):
+        if n <= k:
+            return set(range(n))
+        end = min(n, max(0, n // 2 - k // 2) + k)
+        return set(range(max(0, end - k), end))
+
+    df = spark.createDataFrame([(f"k{i:02}", float(i)) for i in range(n)], "fips string, v double")
+    got = relational.best_middle_worst(df, "v", "fips").collect()
+    assert {r["rank"] - 1 for r in got if r["group"] == "middle"} == places()
+    assert {r["rank"] - 1 for r in got if r["group"] == "worst"} == set(range(max(0, n - 3), n))
+
+
+def test_ranks_and_quantiles_like_numpy(spark):
+    rng = np.random.default_rng(4)
+    rows = [("a", float(v)) for v in rng.integers(0, 5, 400)] + [("b", float(v)) for v in rng.normal(size=301)] + [(None, 1.0), (None, 2.0), ("c", None), ("d", 7.0), ("e", float("nan"))]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(7)
+    at = (0.0, 0.25, 0.5, 0.9, 0.99, 1.0)
+    got = {(r["k"], r["q"]): r["v"] for r in ranking.quantiles(df, "v", ["k"], at).collect()}
+    for k in ("a", "b", None, "d"):
+        for q in at:
+            assert got[k, q] == pytest.approx(np.quantile([v for x, v in rows if x == k], q), abs=1e-12)
+    assert len(got) == 4 * len(at)
+    whole = [v for _, v in rows if v is not None and v == v]
+    assert [r["v"] for r in ranking.quantiles(df, "v", [], (0.37,)).collect()] == pytest.approx([np.quantile(whole, 0.37)])
+    ranked = ranking.with_rank(df.where("v IS NOT NULL AND NOT isnan(v)"), ["v", "k"], n="n").collect()
+    assert sorted(r["rank"] for r in ranked) == list(range(1, len(whole) + 1)) and {r["n"] for r in ranked} == {len(whole)}
+    assert [r["v"] for r in sorted(ranked, key=lambda r: r["rank"])] == sorted(whole)
+    assert ranking.quantiles(df.limit(0), "v", [], (0.5,)).count() == 0
+
+
+def test_wide_form_loses_no_name(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0), (2, "a", None)], "i int, name string, v double")
+    assert values(relational.pivoted(df, ["i"], "name", "v", ["a", "b"]), "i", "a", "b") == [(1, 1.0, 2.0), (2, None, None)]
+    for bad, names in ((df, ["a"]), (df.union(df.limit(1)), ["a", "b"]), (df.union(spark.createDataFrame([(3, None, 1.0)], df.schema)), ["a", "b"])):
+        with pytest.raises(Exception, match="no column for|repeated"):
+            relational.pivoted(bad, ["i"], "name", "v", names).collect()
+
+
+def test_keys_as_text_do_not_clash(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a', 'b", "c"), ("a", "b', 'c"), ("None", None), ("\\", "'")], "x string, y string")
+    got = [r[0] for r in df.select(text.key_text("x", "y")).collect()]
+    assert len(set(got)) == len(got) and got[:2] == ["('a', None)", "(None, 'a')"]
+
+
+def test_title_case_and_number_formats(spark):
+    df = spark.createDataFrame([("o'BRIEN-smith of x2y",), ("",), (None,)], "s string")
+    assert [r[0] for r in df.select(text.title_case(F.col("s"))).collect()] == ["O'Brien-Smith Of X2Y", "", None]
+    numbers = [0.0, 1.0, -1234.5678, 0.00012345, 1e-7, 999.6, 12.0, 123456789.0, 0.5, None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in numbers], "v double")
+    got = [r[0] for r in df.select(text.significant(F.col("v"))).collect()]
+    assert got == [None if v is None or v != v else f"{v:.3g}" for v in numbers]
+    df = spark.createDataFrame([(v,) for v in numbers[:-1]], "v double")
+    assert [r[0] for r in df.select(text.fixed(F.col("v"), 3, grouped=True)).collect()] == [None if v is None else f"{v:,.3f}" for v in numbers[:-1]]
+    assert [r[0] for r in df.select(text.fixed(F.col("v"), 2)).collect()] == [None if v is None else f"{v:.2f}" for v in numbers[:-1]]
