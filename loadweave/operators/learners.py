@@ -1,108 +1,165 @@
-"""The two regressors of the grouped step, in numpy: a forest over histogram bins and a small neural network."""
+"""The two regressors of the grouped step, in numpy: a forest of trees without a depth limit and a small neural network."""
 
 from __future__ import annotations
 
 import numpy as np
 
 
+class Tree:
+    """A regression tree as lists of nodes: feature (-1 at a leaf), threshold, left and right child, value, and each feature's gain.
+
+    A node is split at the midpoint between two neighbouring distinct values of a feature, the place that lowers the squared
+    error most; ties go to the first feature and the lowest place. Nodes are split until their values are all the same, or no
+    feature tells their rows apart, or `depth` is reached."""
+
+    def __init__(self, feature: np.ndarray, threshold: np.ndarray, left: np.ndarray, right: np.ndarray, value: np.ndarray, gain: np.ndarray):
+        self.feature, self.threshold, self.left, self.right, self.value, self.gain = feature, threshold, left, right, value, gain
+
+    @classmethod
+    def grow(cls, x: np.ndarray, order: np.ndarray, y: np.ndarray, weight: np.ndarray, depth: int | None) -> Tree:
+        """order (features, rows): rows by value of each feature. Rows of weight 0 take no part.
+
+        All nodes of a level are split at once. Each feature's rows stay sorted by node and value from level to level, so a
+        level costs a few passes over the rows that are left, and rows of finished nodes leave."""
+        width = x.shape[1]
+        rows = order[weight[order] > 0].reshape(width, -1)  # each feature's rows by value
+        root = rows[0]
+        center = np.average(y[root], weights=weight[root])
+        raw, y = y, y - center
+        parts: dict[str, list[np.ndarray]] = {k: [] for k in ("feature", "threshold", "left", "right", "value")}
+        sizes, gains, made, level = np.array([rows.shape[1]]), np.zeros(width), 1, 0
+        while len(sizes):
+            count = len(sizes)
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            w, wy = weight[rows], weight[rows] * y[rows]
+            total_w, total_y = np.add.reduceat(w[0], starts), np.add.reduceat(wy[0], starts)
+            own = y[rows[0]]
+            pure = np.maximum.reduceat(own, starts) == np.minimum.reduceat(own, starts)
+            parts["value"].append(np.where(pure, raw[rows[0][starts]], total_y / total_w + center))
+            feature, threshold = np.full(count, -1), np.zeros(count)
+            left, right = np.full(count, -1), np.full(count, -1)
+            if depth is None or level < depth:
+                best, place = cls._best(x, y, rows, w, wy, starts, sizes, total_w, total_y)
+                split = ~pure & (place >= 0)
+                k = np.flatnonzero(split)
+                f, at = np.divmod(place[k], rows.shape[1])
+                low, high = x[rows[f, at], f], x[rows[f, at + 1], f]
+                middle = low + (high - low) / 2
+                # Between neighbouring doubles the midpoint may be the upper one.
+                threshold[k], feature[k] = np.where(middle < high, middle, low), f
+                np.add.at(gains, f, best[k] - total_y[k] ** 2 / total_w[k])
+                left[k], right[k] = made + 2 * np.arange(len(k)), made + 2 * np.arange(len(k)) + 1
+                made += 2 * len(k)
+            else:
+                k = np.zeros(0, int)
+            for name, values in (("feature", feature), ("threshold", threshold), ("left", left), ("right", right)):
+                parts[name].append(values)
+            rows, sizes = cls._parted(x, rows, sizes, feature, threshold, k)
+            level += 1
+        return cls(*(np.concatenate(parts[k]) for k in ("feature", "threshold", "left", "right", "value")), gains)
+
+    @staticmethod
+    def _best(x, y, rows, w, wy, starts, sizes, total_w, total_y) -> tuple[np.ndarray, np.ndarray]:
+        """Of each node the best sum of squares over weights after a split, and where (feature * rows + place of the last row on the left), -1 for nowhere."""
+        n = rows.shape[1]
+        node = np.repeat(np.arange(len(sizes)), sizes)
+        before = lambda s: s.cumsum(1) - np.concatenate([np.zeros((len(s), 1)), s.cumsum(1)], 1)[:, starts][:, node]
+        lw, ly = before(w), before(wy)
+        rw, ry = total_w[node] - lw, total_y[node] - ly
+        values = np.take_along_axis(x.T, rows, 1)
+        ends = np.zeros(n, bool)
+        ends[starts + sizes - 1] = True
+        # A split stands between two rows of one node whose values differ.
+        apart = np.concatenate([values[:, 1:] > values[:, :-1], np.zeros((len(values), 1), bool)], 1) & ~ends
+        with np.errstate(divide="ignore", invalid="ignore"):
+            score = np.where(apart, ly**2 / lw + ry**2 / rw, -np.inf)
+        top = np.maximum.reduceat(score, starts, axis=1)
+        # What differs by rounding only is a tie: scores are at most the node's sum of squares, which tells their size.
+        near = top.max(0) - 1e-9 * np.add.reduceat(w[0] * y[rows[0]] ** 2, starts)
+        feature = (top >= near).argmax(0)
+        chosen = score[feature[node], np.arange(n)]
+        hit = np.where((chosen >= near[node]) & np.isfinite(chosen), np.arange(n), n)
+        at = np.minimum.reduceat(hit, starts)
+        return score[feature, np.minimum(at, n - 1)], np.where(at < n, feature * n + at, -1)
+
+    @staticmethod
+    def _parted(x, rows, sizes, feature, threshold, k) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the nodes k that were split, sorted by child and value again, and the sizes of the children."""
+        node = np.repeat(np.arange(len(sizes)), sizes)
+        stays = np.isin(np.arange(len(sizes)), k)[node]
+        rows, node = rows[:, stays], node[stays]
+        if not rows.shape[1]:
+            return rows, np.zeros(0, int)
+        # The side of each row is one for all features; children stand in order, left before right.
+        right = np.zeros(len(x), np.int64)
+        right[rows[0]] = x[rows[0], feature[node]] > threshold[node]
+        number = np.full(len(sizes), -1)
+        number[k] = np.arange(len(k))
+        child = 2 * number[node] + right[rows]
+        return np.take_along_axis(rows, np.argsort(child, axis=1, kind="stable"), 1), np.bincount(child[0], minlength=2 * len(k))
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        node, live = np.zeros(len(x), np.int64), np.arange(len(x))
+        while len(live):
+            at = node[live]
+            inner = self.feature[at] >= 0
+            live, at = live[inner], at[inner]
+            node[live] = np.where(x[live, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
+        return self.value[node]
+
+
 class Forest:
-    """Bagged regression trees. Features are cut into bins once; a level of a tree finds all its nodes' splits from histograms."""
+    """Trees over bootstrap samples, each of all features; depth None is no limit. Predictions and importances are the trees' means."""
 
-    def __init__(self, trees: int = 100, depth: int = 10, bins: int = 64, leaf: int = 1, seed: int = 42):
-        self.trees, self.depth, self.bins, self.leaf, self.seed = trees, depth, bins, leaf, seed
+    def __init__(self, trees: int = 100, depth: int | None = None, seed: int = 42, bootstrap: bool = True):
+        self.count, self.depth, self.seed, self.bootstrap = trees, depth, seed, bootstrap
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Forest:
-        n, width = x.shape
-        self.edges = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, self.bins + 1)[1:-1])) for k in range(width)]
-        binned = self._binned(x)
+        n = len(x)
+        order = np.argsort(x, axis=0, kind="stable").T
         rng = np.random.default_rng(self.seed)
-        self.gain = np.zeros(width)
-        self.nodes = [self._grow(binned, y, rng.multinomial(n, np.full(n, 1 / n)).astype(float)) for _ in range(self.trees)]
+        draw = lambda: rng.multinomial(n, np.full(n, 1 / n)).astype(float) if self.bootstrap else np.ones(n)
+        self.width = x.shape[1]
+        self.trees = [Tree.grow(x, order, y, draw(), self.depth) for _ in range(self.count)]
         return self
 
-    def _binned(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(e, x[:, k]) for k, e in enumerate(self.edges)], 1)
-
-    def _grow(self, binned: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Arrays over a full binary tree: feature (-1 at a leaf), bin that still goes left, value."""
-        width, bins = binned.shape[1], self.bins
-        size = 2 ** (self.depth + 1) - 1
-        feature, cut, value = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)
-        rows = np.flatnonzero(weight)
-        node = np.zeros(len(rows), np.int64)
-        w, wy = weight[rows], weight[rows] * y[rows]
-        value[0] = wy.sum() / w.sum()
-        for level in range(self.depth):
-            base, count = 2**level - 1, 2**level
-            live = np.unique(node - base)
-            if not len(live):
-                break
-            slot = np.full(count, -1)
-            slot[live] = np.arange(len(live))
-            own = slot[node - base]
-            best, chosen = np.full(len(live), 1e-12), np.full((len(live), 2), -1)
-            tw, ty = np.bincount(own, w, len(live)), np.bincount(own, wy, len(live))
-            for k in range(width):
-                cell = own * bins + binned[rows, k]
-                cw = np.bincount(cell, w, len(live) * bins).reshape(-1, bins).cumsum(1)[:, :-1]
-                cy = np.bincount(cell, wy, len(live) * bins).reshape(-1, bins).cumsum(1)[:, :-1]
-                rw, ry = tw[:, None] - cw, ty[:, None] - cy
-                ok = (cw >= self.leaf) & (rw >= self.leaf)
-                gain = np.where(ok, cy**2 / np.maximum(cw, 1e-9) + ry**2 / np.maximum(rw, 1e-9) - (ty**2 / tw)[:, None], 0)
-                at = gain.argmax(1)
-                top = gain[np.arange(len(live)), at]
-                better = top > best
-                best[better] = top[better]
-                chosen[better] = np.stack([np.full(better.sum(), k), at[better]], 1)
-            split = chosen[:, 0] >= 0
-            if not split.any():
-                break
-            np.add.at(self.gain, chosen[split, 0], best[split])
-            feature[base + live[split]], cut[base + live[split]] = chosen[split, 0], chosen[split, 1]
-            go = split[own]
-            rows, node, w, wy, own = rows[go], node[go], w[go], wy[go], own[go]
-            node = 2 * node + 1 + (binned[rows, chosen[own, 0]] > chosen[own, 1])
-            sums = np.bincount(node, wy, size)
-            weights = np.bincount(node, w, size)
-            new = np.flatnonzero(weights)
-            value[new] = sums[new] / weights[new]
-        return feature, cut, value
-
     def predict(self, x: np.ndarray) -> np.ndarray:
-        binned = self._binned(x)
-        out, rows = np.zeros(len(x)), np.arange(len(x))
-        for feature, cut, value in self.nodes:
-            node = np.zeros(len(x), np.int64)
-            for _ in range(self.depth):
-                f = feature[node]
-                inner = f >= 0
-                node = np.where(inner, 2 * node + 1 + (binned[rows, np.maximum(f, 0)] > cut[node]), node)
-            out += value[node]
-        return out / self.trees
+        return sum((t.predict(x) for t in self.trees), np.zeros(len(x))) / self.count
 
     @property
     def importances(self) -> np.ndarray:
-        return self.gain / max(self.gain.sum(), 1e-300)
+        """Each feature's share of what splits gained, averaged over trees that split at all; zeros if none did."""
+        gains = [t.gain for t in self.trees if t.gain.sum() > 0]
+        shares = np.mean([g / g.sum() for g in gains], 0) if gains else np.zeros(self.width)
+        return shares / (shares.sum() or 1.0)
 
 
 class Network:
-    """Two hidden layers with rectifiers and one linear output, trained by Adam on squared error. Inputs are standardised here."""
+    """Two hidden layers with rectifiers and one linear output, trained by Adam on squared error.
+
+    `scaled` sets how inputs and outputs are standardised and draws the weights; `train` goes on from the weights and the
+    optimiser's state as they are, so it can be called for one part of the rows after another; `fit` does both."""
 
     def __init__(self, hidden: tuple[int, int] = (128, 64), epochs: int = 50, batch: int = 10, rate: float = 1e-3, seed: int = 42):
         self.hidden, self.epochs, self.batch, self.rate, self.seed = hidden, epochs, batch, rate, seed
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> Network:
-        rng = np.random.default_rng(self.seed)
+    def scaled(self, x: np.ndarray, y: np.ndarray) -> Network:
+        """Means and population deviations of all rows given; a feature that does not vary is only centred."""
+        self.rng = np.random.default_rng(self.seed)
         self.mean, self.spread = x.mean(0), np.where(x.std(0) > 0, x.std(0), 1.0)
         self.level, self.scale = y.mean(), y.std() or 1.0
-        x, y = (x - self.mean) / self.spread, (y - self.level) / self.scale
         sizes = [x.shape[1], *self.hidden, 1]
-        self.w = [rng.uniform(-1, 1, (a, b)) * np.sqrt(6 / (a + b)) for a, b in zip(sizes, sizes[1:])]
+        self.w = [self.rng.uniform(-1, 1, (a, b)) * np.sqrt(6 / (a + b)) for a, b in zip(sizes, sizes[1:])]
         self.b = [np.zeros(b) for b in sizes[1:]]
+        self.first, self.second = ([np.zeros_like(p) for p in (*self.w, *self.b)] for _ in range(2))
+        self.steps = 0
+        return self
+
+    def train(self, x: np.ndarray, y: np.ndarray) -> Network:
+        x, y = (x - self.mean) / self.spread, (y - self.level) / self.scale
         params = [*self.w, *self.b]
-        m1, m2, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
         for _ in range(self.epochs):
-            order = rng.permutation(len(x))
+            order = self.rng.permutation(len(x))
             for k in range(0, len(x), self.batch):
                 own = order[k : k + self.batch]
                 layers = self._layers(x[own])
@@ -113,13 +170,16 @@ class Network:
                     gb.insert(0, delta.sum(0))
                     if layer:
                         delta = (delta @ self.w[layer].T) * (layers[layer] > 0)
-                step += 1
-                for p, g, a, b in zip(params, [*gw, *gb], m1, m2, strict=True):
+                self.steps += 1
+                for p, g, a, b in zip(params, [*gw, *gb], self.first, self.second, strict=True):
                     a += 0.1 * (g - a)
                     b += 0.001 * (g * g - b)
-                    p -= self.rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-7)
+                    p -= self.rate * (a / (1 - 0.9**self.steps)) / (np.sqrt(b / (1 - 0.999**self.steps)) + 1e-7)
         return self
 
+    def fit(self, x: np.ndarray, y: np.ndarray) -> Network:
+        return self.scaled(x, y).train(x, y)
+
     def _layers(self, x: np.ndarray) -> list[np.ndarray]:
         a = np.maximum(0, x @ self.w[0] + self.b[0])
         c = np.maximum(0, a @ self.w[1] + self.b[1])

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clip_low, total
+from ..sources.scratch import written
 from .series import drop_ends, numbered, shifted_with_edge
 from .stats import model_metrics
 
@@ -29,8 +30,11 @@ GROUPS_AT_ONCE = 8
 
 @dataclass(frozen=True)
 class Settings:
+    """depth None: trees grow until their leaves are pure. folds > 1: models are validated over that many folds, and the forest that
+    predicts is fitted on all rows; else both are fitted without the held-out share. epochs: of the network, for each fold."""
+
     trees: int = 100
-    depth: int = 10
+    depth: int | None = None
     epochs: int = 50
     hold_out: float = 0.2
     folds: int = 0
@@ -38,8 +42,11 @@ class Settings:
 
 
 def split_fold(keys: list[str], parts: int, seed: int = 42):
-    """The part, from 0, that a row belongs to: a hash of its key and hour, the same in every run."""
-    return F.pmod(F.xxhash64(*keys, "hour_no", F.lit(seed)), F.lit(parts)).cast("int")
+    """The part, from 0, that a row belongs to: a hash of its key and hour, the same in every run and in other engines too.
+
+    The first 32 bits of the MD5 of key, hour and seed as text, joined by |."""
+    name = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in (*keys, "hour_no")], F.lit(str(seed)))
+    return F.pmod(F.conv(F.substring(F.md5(name.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(parts)).cast("int")
 
 
 def fit_predict(load: DataFrame, base_weather: DataFrame, target_weather: DataFrame, keys: list[str], weather_keys: list[str], features: list[str], temperature: str, settings: Settings | None = None, ts: str = "ts") -> DataFrame:
@@ -47,9 +54,13 @@ def fit_predict(load: DataFrame, base_weather: DataFrame, target_weather: DataFr
 
     load: keys, weather_keys, ts, y. Load loses its first row and base weather its last, and rows pair by place.
 
-    what `prediction`: value at hour_no, name the model used; what `metric`: mae, mse, r2 on held-out rows, cv_mse (mean over folds) if folds are
-    asked for, share_extrapolated; what `importance`: each feature's. Hours within the temperatures seen in training come from the forest, others
-    from the network, which is trained only for groups that need it."""
+    what `prediction`: value at hour_no, name the model used; what `importance`: each feature's. what `metric`: without folds mae, mse,
+    r2 on held-out rows, which no model was fitted on. With folds cv_mse and cv_mae (means over folds, each predicted by a forest of
+    the others), then one forest of all rows predicts, and its mae_in_sample, mse_in_sample, r2_in_sample are on the same held-out
+    rows, which it has seen. share_extrapolated: percent of target hours whose temperature is outside those of base hours. These
+    come from the network, which is trained only for groups that need it: without folds on rows not held out, with folds on all
+    rows but one fold, and then on, with the weights and the optimiser as they are, on all but the next;
+    network_fold_mse_1 and so on are the errors on the fold left out, after each."""
     settings = settings or Settings()
     every = list(dict.fromkeys([*keys, *weather_keys]))
     held = int(round(10 * settings.hold_out))
@@ -89,32 +100,46 @@ def _fit_one(rows: pd.DataFrame, base: pd.DataFrame, target: pd.DataFrame, featu
 
     from .learners import Forest, Network
 
+    # Two phases with folds: first what the folds tell, then one model of all rows.
     x, y, held = base[features].to_numpy(float), rows["y"].to_numpy(float), rows["held_out"].to_numpy(bool)
     train = ~held if 0 < held.sum() < len(y) else np.ones(len(y), bool)
+    test = ~train if (~train).any() else train
     forest = lambda some: Forest(settings.trees, settings.depth, seed=settings.seed).fit(x[some], y[some])
+    metric = lambda name, value: ("metric", 0, float(value), name)
     out: list[tuple[str, int, float, str]] = []
-    if settings.folds > 1:
-        fold = rows["fold"].to_numpy()
-        scores = [np.mean((y[fold == k] - forest(fold != k).predict(x[fold == k])) ** 2) for k in range(settings.folds) if 0 < (fold == k).sum() < len(y)]
-        out.append(("metric", 0, float(np.mean(scores)) if scores else float("nan"), "cv_mse"))
+    folds = [np.flatnonzero(rows["fold"].to_numpy() == k) for k in range(settings.folds)] if settings.folds > 1 else []
+    folds = [some for some in folds if 0 < len(some) < len(y)]
+    others = [np.setdiff1d(np.arange(len(y)), some) for some in folds]
+    if folds:
+        gaps = [y[some] - forest(rest).predict(x[some]) for some, rest in zip(folds, others, strict=True)]
+        out += [metric("cv_mse", np.mean([(g**2).mean() for g in gaps])), metric("cv_mae", np.mean([np.abs(g).mean() for g in gaps]))]
+        train = np.ones(len(y), bool)
+    seen_too = "_in_sample" if train[test].any() else ""
     model = forest(train)
-    test = ~train if (~train).any() else train
     gap = y[test] - model.predict(x[test])
     spread = y[test].var()
-    out += [("metric", 0, float(np.abs(gap).mean()), "mae"), ("metric", 0, float((gap**2).mean()), "mse"), ("metric", 0, float(1 - (gap**2).mean() / spread) if spread > 0 else float("nan"), "r2")]
+    out += [metric(f"mae{seen_too}", np.abs(gap).mean()), metric(f"mse{seen_too}", (gap**2).mean()), metric(f"r2{seen_too}", 1 - (gap**2).mean() / spread if spread > 0 else np.nan)]
     out += [("importance", 0, float(v), f) for f, v in zip(features, model.importances, strict=True)]
     tx, t, seen = target[features].to_numpy(float), target[temperature].to_numpy(float), base[temperature].to_numpy(float)
     outside = (t < seen.min()) | (t > seen.max())
     predicted = model.predict(tx) if len(tx) else np.zeros(0)
     if outside.any():
-        predicted[outside] = Network(epochs=settings.epochs, seed=settings.seed).fit(x[train], y[train]).predict(tx[outside])
-    out.append(("metric", 0, float(outside.mean()) * 100 if len(outside) else 0.0, "share_extrapolated"))
+        # Standardised by all base rows, whatever the network is trained on.
+        network = Network(epochs=settings.epochs, seed=settings.seed).scaled(x, y)
+        for k, (some, rest) in enumerate(zip(folds, others, strict=True), 1):
+            network.train(x[rest], y[rest])
+            out.append(metric(f"network_fold_mse_{k}", ((y[some] - network.predict(x[some])) ** 2).mean()))
+        if not folds:
+            network.train(x[train], y[train])
+        predicted[outside] = network.predict(tx[outside])
+    out.append(metric("share_extrapolated", outside.mean() * 100 if len(outside) else 0.0))
     out += [("prediction", int(n), float(v), "network" if o else "forest") for n, v, o in zip(target["hour_no"], predicted, outside, strict=True)]
     return pd.DataFrame(out, columns=["what", "hour_no", "value", "name"])
 
 
 def translate(load: DataFrame, base_weather: DataFrame, target_weather: DataFrame, keys: list[str], weather_keys: list[str], targets: list[str], features: list[str], temperature: str, settings: Settings | None = None) -> tuple[DataFrame, DataFrame]:
-    """(profiles, fits). profiles: keys, target, ts, value for the target year; fits: keys, target, what, name, value.
+    """(profiles, fits), fitted when this is called. profiles: keys, target, ts, value for the target year; fits: keys, target, what,
+    name, value.
 
     load: keys, ts and a column for each target; each key has one weather key (a column of load too)."""
     every = list(dict.fromkeys([*keys, *weather_keys]))
@@ -125,7 +150,8 @@ def translate(load: DataFrame, base_weather: DataFrame, target_weather: DataFram
     zero = sums.where(F.col("_sum") <= ZERO_LOAD)
     fitted = long.join(zero.select(*own), own, "left_anti")
     found = fit_predict(fitted, base_weather, target_weather, own, weather_keys, features, temperature, settings)
-    found = found.persist()
+    # Written, so that profiles and metrics come from one fit, which a lost executor does not repeat.
+    found = written(found)
     hours = numbered(target_weather, weather_keys, "ts", "hour_no").select(*weather_keys, "ts", "hour_no")
     groups = long.select(*dict.fromkeys([*own, *weather_keys])).distinct()
     stamped = groups.join(hours, weather_keys)

@@ -585,9 +585,9 @@ def scaler_stats(spark, sf_dir):
     return rounded(hourly(spark, sf_dir).groupBy("kind").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("spread")))
 
 
-@query()
+@query(f"WITH {HOURLY}, n AS (SELECT kind, row_number() OVER (PARTITION BY kind ORDER BY ts) AS i FROM hourly) SELECT kind, (('0x' || md5(kind || '|' || i || '|42')[1:8])::BIGINT % 5)::INTEGER AS fold, count(*) AS n FROM n GROUP BY ALL")
 def hash_split_counts(spark, sf_dir):
-    """Rows of each part of the deterministic split; the hash has no counterpart in the other engine."""
+    """Rows of each part of the deterministic split."""
     h = series.numbered(hourly(spark, sf_dir), ["kind"], name="hour_no")
     return h.groupBy("kind", regress.split_fold(["kind"], 5).alias("fold")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -617,6 +617,25 @@ def regression_metrics(spark, sf_dir):
     return _translation(spark, sf_dir, _WHOLE)[1]
 
 
+@query(f"WITH {HOURLY}, t AS (SELECT unnest(['gas', 'hvac']) AS target) SELECT kind, target, ts, TRUE AS known, TRUE AS not_negative, target = 'gas' AS zero FROM hourly, t WHERE day(ts) > 15")
+def regression_rows(spark, sf_dir):
+    """What does not hang on chance in regression_pipeline: its stamps, that no value is missing or negative, and that only loads of nothing are zero all through."""
+    found = _translation(spark, sf_dir, _WHOLE)[0]
+    zero = F.max("value").over(Window.partitionBy("kind", "target")) == 0
+    return found.select("kind", "target", "ts", F.col("value").isNotNull().alias("known"), (F.col("value") >= 0).alias("not_negative"), zero.alias("zero"))
+
+
+@query(f"WITH {HOURLY}, s AS (SELECT kind, min(n) FILTER (day(ts) <= 15 AND ts < m) AS lo, max(n) FILTER (day(ts) <= 15 AND ts < m) AS hi FROM (SELECT *, max(ts) FILTER (day(ts) <= 15) OVER (PARTITION BY kind) AS m FROM hourly) GROUP BY kind), o AS (SELECT kind, 100 * avg((n NOT BETWEEN lo AND hi)::INTEGER) AS share FROM hourly JOIN s USING (kind) WHERE day(ts) > 15 GROUP BY kind) SELECT kind, 'hvac' AS target, round_even(share, 6) AS share_extrapolated, 1.0::DOUBLE AS importances, (CASE WHEN share > 0 THEN 5 ELSE 0 END)::BIGINT AS network_folds FROM o")
+def regression_sums(spark, sf_dir):
+    """What does not hang on chance in regression_metrics: shares of extrapolated hours, importances that sum to 1, and a network error for each fold where hours are extrapolated."""
+    fits = _translation(spark, sf_dir, _WHOLE)[1]
+    pick = lambda c: F.sum(F.when(c, F.col("value")))
+    return fits.groupBy("kind", "target").agg(
+        r(pick(F.col("name") == "share_extrapolated")).alias("share_extrapolated"), r(pick(F.col("what") == "importance")).alias("importances"),
+        F.count(F.when(F.col("name").startswith("network_fold_mse_") & F.col("value").isNotNull(), 1)).alias("network_folds"),
+    )
+
+
 _ACTUAL = "a AS (SELECT kind, ts, v, v * 1.1 + 2 AS p FROM hourly)"
 
 

@@ -133,6 +133,107 @@ def test_forest_and_network_learn():
     assert np.array_equal(learners.Forest(3, 4).fit(x, y).predict(x), learners.Forest(3, 4).fit(x, y).predict(x))
 
 
+def _brute_tree(x, y, w):
+    """(value,) or (value, feature, threshold, left, right): splits by trying every feature and every place."""
+    rows = np.flatnonzero(w > 0)
+    value = np.average(y[rows], weights=w[rows])
+    best = None
+    for k in range(x.shape[1] if len(set(y[rows])) > 1 else 0):
+        places = np.unique(x[rows, k])
+        for low, high in zip(places, places[1:]):
+            at = low + (high - low) / 2
+            sides = [rows[x[rows, k] <= at], rows[x[rows, k] > at]]
+            error = sum((w[s] * (y[s] - np.average(y[s], weights=w[s])) ** 2).sum() for s in sides)
+            if best is None or error < best[0] - 1e-9 * max(1, best[0]):
+                best = (error, k, at)
+    if best is None:
+        return (value,)
+    _, k, at = best
+    return value, k, at, _brute_tree(x, y, np.where(x[:, k] <= at, w, 0)), _brute_tree(x, y, np.where(x[:, k] > at, w, 0))
+
+
+def _same_tree(tree, node, brute):
+    if tree.value[node] != pytest.approx(brute[0], abs=1e-9) or (tree.feature[node] < 0) != (len(brute) == 1):
+        return False
+    if len(brute) == 1:
+        return True
+    k, at = tree.feature[node], tree.threshold[node]
+    return (k, at) == (brute[1], pytest.approx(brute[2])) and _same_tree(tree, tree.left[node], brute[3]) and _same_tree(tree, tree.right[node], brute[4])
+
+
+@pytest.mark.parametrize(("n", "places", "seed"), [(500, 6, 1), (300, 1, 2), (40, 0, 3), (1, 3, 4)])
+def test_trees_split_like_brute_force(n, places, seed):
+    """Every distinct value is a place to split at, and depth has no bound; with few places many values tie."""
+    rng = np.random.default_rng(seed)
+    x, y = rng.normal(size=(n, 3)).round(places), rng.normal(size=n).round(3)
+    w = rng.multinomial(n, np.full(n, 1 / n)).astype(float)
+    tree = learners.Tree.grow(x, np.argsort(x, 0, kind="stable").T, y, w, None)
+    assert _same_tree(tree, 0, _brute_tree(x, y, w))
+
+
+def test_forests_without_bound_fit_every_row():
+    rng = np.random.default_rng(5)
+    x, y = rng.normal(size=(600, 2)), rng.normal(size=600)
+    whole = learners.Forest(1, bootstrap=False).fit(x, y)
+    assert np.allclose(whole.predict(x), y, atol=1e-9)
+    chain = learners.Forest(1, bootstrap=False).fit(np.arange(24.0)[:, None], 2.0 ** np.arange(24))
+    assert np.allclose(chain.predict(np.arange(24.0)[:, None]), 2.0 ** np.arange(24), rtol=1e-9)
+    assert not learners.Forest(3).fit(np.ones((9, 2)), np.arange(9.0)).importances.any()
+
+
+def _one_group(n=120, folds=0, outside=5):
+    rng = np.random.default_rng(6)
+    base = pd.DataFrame({"dry_bulb": rng.uniform(0, 20, n), "hour": rng.integers(0, 24, n)})
+    target = pd.DataFrame({"hour_no": range(1, 11), "dry_bulb": [10.0] * (10 - outside) + [40.0] * outside, "hour": range(10)})
+    rows = pd.DataFrame({"y": 2 * base["dry_bulb"] + rng.normal(size=n), "fold": np.arange(n) % max(2, folds), "held_out": np.arange(n) % 5 == 0})
+    return rows, base, target, ["dry_bulb", "hour"], "dry_bulb", regress.Settings(trees=5, epochs=2, folds=folds)
+
+
+def test_with_folds_the_model_that_predicts_has_seen_all_rows(monkeypatch):
+    seen = []
+
+    class Seen(learners.Forest):
+        def fit(self, x, y):
+            seen.append(len(y))
+            return super().fit(x, y)
+
+    monkeypatch.setattr(learners, "Forest", Seen)
+    out = regress._fit_one(*_one_group(folds=4))
+    assert seen == [90] * 4 + [120]
+    names = set(out[out["what"] == "metric"]["name"])
+    assert {"cv_mse", "cv_mae", "mae_in_sample", "mse_in_sample", "r2_in_sample", "share_extrapolated"} <= names and "mae" not in names
+    value = out.set_index("name")["value"]
+    assert value["mae_in_sample"] < value["cv_mae"]
+    seen.clear()
+    names = set(regress._fit_one(*_one_group())["name"])
+    assert seen == [96] and {"mae", "mse", "r2"} <= names and not any("in_sample" in x or x.startswith("cv_") for x in names)
+
+
+def test_the_network_goes_on_from_fold_to_fold(monkeypatch):
+    made, steps = [], []
+
+    class Seen(learners.Network):
+        def scaled(self, x, y):
+            made.append(len(y))
+            return super().scaled(x, y)
+
+        def train(self, x, y):
+            before = getattr(self, "steps", 0)
+            super().train(x, y)
+            steps.append((before, self.steps))
+            return self
+
+    monkeypatch.setattr(learners, "Network", Seen)
+    out = regress._fit_one(*_one_group(folds=4))
+    # One network, standardised by all rows, trained 4 times 2 epochs of 9 batches without a new start.
+    assert made == [120] and steps == [(0, 18), (18, 36), (36, 54), (54, 72)]
+    folds = out[out["name"].str.startswith("network_fold_mse_")]
+    assert sorted(folds["name"]) == [f"network_fold_mse_{k}" for k in range(1, 5)] and folds["value"].iloc[-1] < folds["value"].iloc[0]
+    made.clear()
+    regress._fit_one(*_one_group(folds=4, outside=0))
+    assert not made
+
+
 def test_translation(spark):
     """Load follows the weather of the hour before; a warmer target year needs the network; a zero load stays zero."""
     n = 240
