@@ -670,6 +670,30 @@ def partitioned_scan(spark, sf_dir):
 def metrics_append_mean(spark, sf_dir):
     path = scratch.folder(spark)
     m = hourly(spark, sf_dir).groupBy("kind").agg(F.avg("v").alias("mae"), F.max("v").alias("mse"))
-    for part in (F.col("kind") <= "purchase", F.col("kind") > "purchase"):
-        writers.append_metrics(m.where(part), path)
+    for chunk, part in ((0, F.col("kind") <= "purchase"), (1, F.col("kind") > "purchase"), (1, F.col("kind") > "purchase")):
+        writers.append_metrics(m.where(part), path, "first run", chunk)  # the last task runs twice
     return writers.mean_metrics(spark.read.parquet(path), ["kind"])
+
+
+@query(f"WITH {PAIRS} SELECT n_regionkey AS upgrade, '(''' || n_name || ''', ' || nation || ')' AS bldg_id, ts, round_even(ref, 6) AS mwh FROM pairs JOIN nation ON nation = n_nationkey WHERE n_regionkey IN (1, 3)")
+def chunk_files_round_trip(spark, sf_dir):
+    """Wide load files, one for each upgrade (region) and chunk of four nations, read again by upgrade; each has columns of its own."""
+    path = scratch.folder(spark)
+    nations = read(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("upgrade"), F.col("n_nationkey").alias("nation"), "n_name")
+    series_name = F.concat(F.lit("('"), "n_name", F.lit("', "), "nation", F.lit(")")).alias("name")
+    loads = pairs(spark, sf_dir).join(nations, "nation").select("upgrade", "nation", "ts", series_name, F.col("ref").alias("value"))
+    writers.chunk_loads(loads, rollup.chunked(nations, ["nation"], 4), ["nation"], 4, path, "res_", "loads")
+    of = lambda u: readers.chunk_series(spark, path, "res_loads", u).select(F.lit(u).alias("upgrade"), "bldg_id", "ts", "mwh")
+    return of(1).unionByName(of(3)).where(F.col("mwh").isNotNull())
+
+
+@query("SELECT o_orderstatus AS state, count(*) AS n, FALSE AS skipped FROM orders GROUP BY ALL UNION ALL SELECT 'BROKEN', 0, TRUE")
+def scan_without_broken_files(spark, sf_dir):
+    """Orders by status in partitions, one more partition with a file that is no Parquet: it is skipped and named, the rest is read."""
+    path = scratch.folder(spark)
+    o = read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("state"), F.col("o_orderpriority").alias("county"))
+    writers.to_parquet(o, path, ["state", "county"])
+    writers.write_text(spark, ["no parquet"], f"{path}/state=BROKEN/county=x")
+    rows, skipped = readers.readable(spark, path, o.schema)
+    counts = rows.groupBy("state").agg(F.count(F.lit(1)).alias("n")).withColumn("skipped", F.lit(False))
+    return counts.unionByName(skipped.where("file LIKE '%part-%'").select("state", F.lit(0).cast("long").alias("n"), F.lit(True).alias("skipped")))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..functions.dates import parsed
 from ..functions.text import normal_fips, title_case
 from ..operators.relational import keep_last
+from .wide import number, wide_files
 
 
 def buildings(spark: SparkSession, root: str, schema: T.StructType | str, states: list[str] | None = None, counties: list[str] | None = None, state: str = "state", county: str = "county") -> DataFrame:
@@ -27,6 +28,24 @@ def buildings(spark: SparkSession, root: str, schema: T.StructType | str, states
     return df
 
 
+def readable(spark: SparkSession, root: str, schema: T.StructType | str, state: str = "state", county: str = "county") -> tuple[DataFrame, DataFrame]:
+    """(rows, skipped): buildings() without the files that cannot be read, and the names of these, (file, state, county).
+
+    Files that are there are compared with files that rows came from, so a file is skipped if no row of it was read: it is broken,
+    or gone meanwhile, or has no rows. One that breaks off later gives the rows before that. An error if no file gives a row."""
+    reader = spark.read.schema(schema).option("basePath", root).option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
+    df = reader.parquet(root)
+    there = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(F.col("path").alias("file"), "length")
+    there = there.where(~F.col("file").rlike(r"/[._][^/=]*(/|$)"))
+    plain = lambda c: F.regexp_replace(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    read = df.select(plain(F.col("_metadata.file_path")).alias("of")).distinct()
+    if read.isEmpty():
+        raise FileNotFoundError(f"no file under {root} can be read")
+    part = lambda k: F.url_decode(F.regexp_extract("file", rf"/{k}(?:=|%3D)([^/]*)/", 1)).alias(k)
+    skipped = there.withColumn("of", plain(F.col("file"))).join(read, "of", "left_anti").select("file", part(state), part(county))
+    return df, skipped
+
+
 def require(df: DataFrame, expected: DataFrame, on: list[str]) -> DataFrame:
     """df, if it has rows of every expected partition; else an error that names some that are missing."""
     missing = expected.select(*on).distinct().join(df.select(*on).distinct(), on, "left_anti").orderBy(*on).limit(5).collect()
@@ -77,7 +96,8 @@ def weather(spark: SparkSession, root: str, year: int | None = None) -> DataFram
 def wide_series(spark: SparkSession, path: str, name: str = "fips", value: str = "gwh", formats: tuple[str, ...] = ("M/d/yyyy H:mm", "M/d/yyyy")) -> DataFrame:
     """A wide CSV (stamps, then a column for each series) as a long table (ts, name, value).
 
-    Of rows with the same stamp the last counts. Stamps that no format fits are an error with samples, as is a file without rows."""
+    Of rows with the same stamp the last counts. Stamps that no format fits are an error with samples, as is a file without rows;
+    fields that are no numbers are an error when the plan runs."""
     raw = spark.read.option("header", True).csv(path)
     first, *series = raw.columns
     if not series:
@@ -89,20 +109,13 @@ def wide_series(spark: SparkSession, path: str, name: str = "fips", value: str =
     rows = keep_last(rows, ["ts"], "_at")
     if rows.isEmpty():
         raise ValueError(f"{path} has no rows")
-    values = rows.select("ts", *[F.col(f"`{c}`").try_cast("double").alias(c) for c in series])
-    return values.unpivot(["ts"], series, name, value).withColumn(value, F.when(~F.isnan(value), F.col(value)))
+    long = rows.select("ts", *[F.col(f"`{c}`") for c in series]).unpivot(["ts"], [F.col(f"`{c}`") for c in series], name, value)
+    return long.withColumn(value, number(F.col(value), F.col(name)))
 
 
 def chunk_series(spark: SparkSession, folder: str, prefix: str, upgrade: int) -> DataFrame:
-    """All chunk files of exactly this upgrade as one long table; each file has columns of its own."""
-    names = chunk_files(spark, folder).where((F.col("prefix") == prefix) & (F.col("upgrade") == upgrade)).orderBy("start")
-    frames = [wide_series(spark, r["path"], "bldg_id", "mwh") for r in names.collect()]
-    if not frames:
-        raise FileNotFoundError(f"no chunk of {prefix}, upgrade {upgrade}, in {folder}")
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df)
-    return out
+    """(ts, bldg_id, mwh) of all chunk files of exactly this upgrade; each file has columns of its own (wide.wide_files)."""
+    return wide_files(spark, folder, f"{prefix}_upgrade{upgrade}_*-*.csv", "bldg_id", "mwh").drop("file")
 
 
 def chunk_files(spark: SparkSession, folder: str) -> DataFrame:
