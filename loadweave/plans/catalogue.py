@@ -675,14 +675,14 @@ def metrics_append_mean(spark, sf_dir):
     return writers.mean_metrics(spark.read.parquet(path), ["kind"])
 
 
-@query(f"WITH {PAIRS} SELECT n_regionkey AS upgrade, '(''' || n_name || ''', ' || nation || ')' AS bldg_id, ts, round_even(ref, 6) AS mwh FROM pairs JOIN nation ON nation = n_nationkey WHERE n_regionkey IN (1, 3)")
+@query(f"WITH {PAIRS} SELECT n_regionkey AS upgrade, '(''' || n_name || ''', ' || nation || ')' AS bldg_id, ts, round_even(ref, 8) AS mwh FROM pairs JOIN nation ON nation = n_nationkey WHERE n_regionkey IN (1, 3)")
 def chunk_files_round_trip(spark, sf_dir):
     """Wide load files, one for each upgrade (region) and chunk of four nations, read again by upgrade; each has columns of its own."""
     path = scratch.folder(spark)
     nations = read(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("upgrade"), F.col("n_nationkey").alias("nation"), "n_name")
     series_name = F.concat(F.lit("('"), "n_name", F.lit("', "), "nation", F.lit(")")).alias("name")
     loads = pairs(spark, sf_dir).join(nations, "nation").select("upgrade", "nation", "ts", series_name, F.col("ref").alias("value"))
-    writers.chunk_loads(loads, rollup.chunked(nations, ["nation"], 4), ["nation"], 4, path, "res_", "loads")
+    writers.chunk_loads(loads, rollup.chunked(nations, ["nation"], 4), ["nation"], 4, path, "res_", "loads", places=8)
     of = lambda u: readers.chunk_series(spark, path, "res_loads", u).select(F.lit(u).alias("upgrade"), "bldg_id", "ts", "mwh")
     return of(1).unionByName(of(3)).where(F.col("mwh").isNotNull())
 
