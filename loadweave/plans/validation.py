@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from html import escape
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import season
+from ..functions.text import normal_fips
 from ..operators import ranking, relational, rollup, series, stats
+from ..sources import readers, writers
+from ..sources.scratch import written
 from ..sources.writers import html_table
+from . import charts
 
 
 def national(pairs: DataFrame) -> DataFrame:
@@ -19,14 +24,16 @@ def of_zones(pairs: DataFrame, zones: DataFrame) -> DataFrame:
     return rollup.rolled_up_all(pairs.select("fips", "ts", "ref", "reg"), zones, "fips", "ba", "ts", ["ref", "reg"], unmapped="unmapped")
 
 
-def tables(ref: DataFrame, reg: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
-    """All tables by name. ref, reg: ts, fips, gwh; zones: fips, ba, county, state."""
+def tables(ref: DataFrame, reg: DataFrame, zones: DataFrame, given: tuple[DataFrame, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """All tables by name. ref, reg: ts, fips, gwh; zones: fips, ba, county, state. given: both sides as they came, if ref and reg are
+    aligned already; alignment is counted on them."""
+    given = given or (ref, reg)
     pairs = relational.aligned(ref, reg, ["ts", "fips"], "gwh")
     whole, ba = national(pairs), of_zones(pairs, zones)
     county_errors, county_pct = stats.errors(pairs, ["fips"]), stats.annual_pct_diff(pairs, ["fips"])
     return {
-        "stamps": relational.alignment(ref, reg, ["ts"]),
-        "counties": relational.alignment(ref, reg, ["fips"]),
+        "stamps": relational.alignment(*given, ["ts"]),
+        "counties": relational.alignment(*given, ["fips"]),
         "unmapped counties": pairs.select("fips").distinct().join(zones, "fips", "left_anti"),
         "zones by state": stats.state_lists(zones, "ba", "state"),
         "national total": stats.annual_pct_diff(whole, []),
@@ -50,22 +57,24 @@ def tables(ref: DataFrame, reg: DataFrame, zones: DataFrame) -> dict[str, DataFr
     }
 
 
-def chart_data(ref: DataFrame, reg: DataFrame) -> dict[str, DataFrame]:
-    """The points of each chart, bounded by hours or counties; drawing is left to whoever reads them."""
+def chart_data(ref: DataFrame, reg: DataFrame, zones: DataFrame | None = None, targets: list[str] | None = None) -> dict[str, DataFrame]:
+    """The tables of all charts (charts.points): bounded by months, counties shown, cells of a grid, or hours of a month."""
     pairs = relational.aligned(ref, reg, ["ts", "fips"], "gwh")
-    whole = national(pairs)
-    month = Window.partitionBy(F.month("ts")).orderBy("ts")
-    return {
-        "monthly_bars": series.by_month(whole, [], "ref").join(series.by_month(whole, [], "reg"), "month"),
-        "top_counties": relational.extremes(stats.annual_pct_diff(pairs, ["fips"]), "pct_diff", "fips"),
-        "daily_points": series.by_day(whole, [], "ref").join(series.by_day(whole, [], "reg"), "day"),
-        "hourly_points": whole.where(F.col("ref").isNotNull() & F.col("reg").isNotNull()).withColumn("season", season(F.col("ts"))),
-        "profile_panels": whole.withColumns({"month": F.month("ts"), "hour_of_month": F.row_number().over(month) - 1}),
-    }
+    return charts.points(pairs, national(pairs), zones, targets)
+
 
+def read_pair(spark: SparkSession, ref: str, reg: str) -> tuple[DataFrame, DataFrame]:
+    """Two wide CSV files as ts, fips, gwh; an error unless their headers name the same series in the same order."""
+    heads = [spark.read.option("header", True).csv(path) for path in (ref, reg)]
+    relational.require_same_columns(*[df.select(*[F.col(f"`{c}`") for c in df.columns[1:]]) for df in heads])
+    sides = [readers.wide_series(spark, path) for path in (ref, reg)]
+    return tuple(df.withColumn("fips", normal_fips(F.col("fips"))) for df in sides)
 
-def warnings(ref: DataFrame, reg: DataFrame, zones: DataFrame) -> list[str]:
+
+def warnings(ref: DataFrame, reg: DataFrame, zones: DataFrame, targets: list[str] | None = None) -> list[str]:
     out = []
+    found = {r[0] for r in zones.where(F.lower("ba").isin(*[t.lower() for t in targets])).join(ref, "fips", "left_semi").select(F.lower("ba")).distinct().collect()} if targets else set()
+    out += [f"no county of zone {t} in the inputs" for t in targets or [] if t.lower() not in found]
     for what, keys in (("stamps", ["ts"]), ("counties", ["fips"])):
         r = relational.alignment(ref, reg, keys).first()
         if r["ref_only"] or r["reg_only"]:
@@ -76,8 +85,37 @@ def warnings(ref: DataFrame, reg: DataFrame, zones: DataFrame) -> list[str]:
     return out
 
 
-def report(ref: DataFrame, reg: DataFrame, zones: DataFrame, title: str) -> str:
-    """The report as HTML. Only tables of bounded size reach the driver."""
-    notes = "".join(f"<li>{w}</li>" for w in warnings(ref, reg, zones)) or "<li>none</li>"
-    body = "".join(html_table(df, name) for name, df in tables(ref, reg, zones).items())
-    return f"<!doctype html><html><head><meta charset='utf-8'><title>{title}</title></head><body><h1>{title}</h1><h2>Warnings</h2><ul>{notes}</ul>{body}</body></html>"
+def report(ref: DataFrame, reg: DataFrame, zones: DataFrame, title: str, targets: list[str] | None = None) -> str:
+    """The report as HTML, with tables and charts. Only tables of bounded size reach the driver.
+
+    targets: zones whose counties get scatters of their own. Every series is in the comparison only if both sides have it."""
+    notes = "".join(f"<li>{escape(w)}</li>" for w in warnings(ref, reg, zones, targets)) or "<li>none</li>"
+    # Read by every table: written once.
+    pairs = written(relational.aligned(ref, reg, ["ts", "fips"], "gwh"))
+    sides = [pairs.select("ts", "fips", F.col(v).alias("gwh")) for v in ("ref", "reg")]
+    body = "".join(html_table(df, name) for name, df in tables(*sides, zones, (ref, reg)).items())
+    pictures = "".join(f"<figure>{charts.draw(name, df)}</figure>" for name, df in charts.points(pairs, national(pairs), zones, targets).items())
+    head = f"<head><meta charset='utf-8'><title>{escape(title)}</title></head>"
+    return f"<!doctype html><html>{head}<body><h1>{escape(title)}</h1><h2>Warnings</h2><ul>{notes}</ul>{body}<h2>Charts</h2>{pictures}</body></html>"
+
+
+def files_report(files: DataFrame, step: int) -> DataFrame:
+    """line, by prefix and upgrade: how many chunk files there are, the first and the last, the ranges that are missing, and places where
+    a file does not end where the next one begins. files: prefix, upgrade, start, end (readers.chunk_files)."""
+    keys = ["prefix", "upgrade"]
+    name = lambda a, b: writers.chunk_name("", "", F.col("upgrade"), F.col(a), F.col(b))
+    named = lambda a, b: F.concat("prefix", name(a, b))
+    of = series.summary(files, "start", "end", keys)
+    heads = F.array(
+        F.concat(F.lit("Results for "), "prefix", F.lit(" (upgrade "), F.col("upgrade").cast("string"), F.lit("):")),
+        F.concat(F.lit("Total files found: "), F.col("n").cast("string")),
+        F.concat(F.lit("First file: "), named("first_start", "first_end")), F.concat(F.lit("Last file: "), named("last_start", "last_end")),
+    )
+    line = lambda df, order, text: df.select(*keys, F.lit(order).alias("part"), F.col("at").cast("long").alias("at"), text.alias("line"))
+    lines = line(of.select(*keys, F.posexplode(heads).alias("at", "text")), 0, F.col("text"))
+    missing = series.gaps(files, "start", "end", step, keys)
+    lines = lines.unionByName(line(missing.withColumn("at", F.col("gap_start")), 1, F.concat(F.lit("Missing: "), named("gap_start", "gap_end"))))
+    neighbours = files.withColumns({c: F.lead(d).over(Window.partitionBy(*keys).orderBy("start")) for c, d in (("next_start", "start"), ("next_end", "end"))})
+    off = neighbours.where("next_start <> end").withColumn("at", F.col("start"))
+    lines = lines.unionByName(line(off, 2, F.concat(F.lit("Misaligned: "), named("start", "end"), F.lit(" -> "), named("next_start", "next_end"))))
+    return lines.orderBy(*keys, "part", "at").select("line")

@@ -90,7 +90,9 @@ def test_flow_and_report(spark, tmp_path):
     zones = spark.createDataFrame([("50003", "p<1>", "X", "VT")], "fips string, ba string, county string, state string")
     html = validation.report(side, side.withColumn("gwh", F.col("gwh") * 2), zones, "t")
     assert "p&lt;1&gt;" in html and "100.000" in html
-    assert set(validation.chart_data(side, side)) == {"monthly_bars", "top_counties", "daily_points", "hourly_points", "profile_panels"}
+    kinds = {"monthly bars", "top counties", "daily scatter", "hourly scatter", "profile by month", "ranked scatters"}
+    assert set(validation.chart_data(side, side)) == kinds
+    assert set(validation.chart_data(side, side, zones, ["P<1>"])) == kinds | {"target zone scatters"}
 
 
 def test_flow_keeps_upgrades_apart(spark):
