@@ -97,6 +97,14 @@ def pivoted(long: DataFrame, ids: list[str], name: str, value: str, names: list[
     return of.groupBy(*ids).agg(*[one(c).alias(str(n)) for n, c in cells.items()])
 
 
+def inserted(df: DataFrame, place: int, name: str, column: Column) -> DataFrame:
+    """df with one more column at a place from 0; one that has the name already is an error."""
+    if name in df.columns:
+        raise ValueError(f"column {name} exists")
+    old = [F.col(f"`{c}`") for c in df.columns]
+    return df.select(*old[:place], column.alias(name), *old[place:])
+
+
 def extremes(df: DataFrame, by: str, key: str, k: int = 5) -> DataFrame:
     """The k highest and k lowest rows, each side without sorting all rows; `side` tells which. Ties go to the smaller key."""
     known = df.where(F.col(by).isNotNull())

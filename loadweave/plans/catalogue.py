@@ -5,6 +5,7 @@ Sums of doubles depend on their order in the last digits, so results are rounded
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -14,7 +15,8 @@ from ..functions import dates, numeric, text
 from ..operators import reconcile as rec
 from ..operators import ranking, regress, relational, rollup, savings, series, stats
 from ..operators import weather as wx
-from ..sources import readers, scratch, writers
+from ..sources import readers, schema, scratch, warehouse, writers
+from . import charts, validation
 from .inputs import HOURLY, PAIRS, hourly, pairs, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -697,3 +699,80 @@ def scan_without_broken_files(spark, sf_dir):
     rows, skipped = readers.readable(spark, path, o.schema)
     counts = rows.groupBy("state").agg(F.count(F.lit(1)).alias("n")).withColumn("skipped", F.lit(False))
     return counts.unionByName(skipped.where("file LIKE '%part-%'").select("state", F.lit(0).cast("long").alias("n"), F.lit(True).alias("skipped")))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'P') AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice > 100000 AND (o_custkey % 2 = 0 OR o_totalprice < 200000)")
+def warehouse_scan(spark, sf_dir):
+    """A saved table in partitions, read with given lists of values and conditions as text."""
+    name = f"orders_{uuid.uuid4().hex}"
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    warehouse.save(o, name, ["o_orderstatus", "o_orderpriority"], scratch.folder(spark))
+    restrict = [("o_orderstatus", ["F", "P"]), ("o_orderpriority", ["1-URGENT", "2-HIGH"])]
+    return warehouse.scan(spark, name, ["o_orderkey", "o_totalprice"], restrict, ["o_totalprice > 100000", "o_custkey % 2 = 0 OR o_totalprice < 200000"])
+
+
+_USES = "coalesce(l_quantity, 0) + coalesce(l_discount, 0)"
+
+
+@query(f"SELECT l_returnflag AS county, 2 * round_even(sum(({_USES}) * l_linenumber) / 1000, 6) AS hvac_mwh, 2 * round_even(sum(l_tax * 0.293071 * l_linenumber) / 1000, 6) AS gas_mwh FROM lineitem GROUP BY ALL")
+def releases_in_one_schema(spark, sf_dir):
+    """Line items under the names of two releases, gas in kWh and in kBtu; both give the same totals, which are added up."""
+    items = read(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("double").alias("w"), "l_returnflag", "l_quantity", "l_discount", "l_tax")
+    old = items.toDF("building_id", "build_existing_model.sample_weight", "build_existing_model.county", "end_use__electricity__heating__kwh", "end_use__electricity__cooling__kwh", "end_use__natural_gas__heating__kbtu")
+    new = items.withColumn("l_tax", F.col("l_tax") * numeric.KWH_PER_KBTU)
+    new = new.toDF("bldg_id", "weight", "in.county", "out.electricity.heating.energy_consumption..kwh", "out.electricity.cooling.energy_consumption..kwh", "out.natural_gas.heating.energy_consumption..kwh")
+    sides = []
+    for df, release in ((old, "2024.2"), (new, "2025.1")):
+        found = schema.resolve(df, readers.RunConfig(stock="residential", release=release))
+        sides.append(rollup.metadata_rollup(found.df, ["county"], found.electric, found.gas))
+    return sides[0].unionByName(sides[1]).groupBy("county").agg(r(F.sum("hvac_mwh")).alias("hvac_mwh"), r(F.sum("gas_mwh")).alias("gas_mwh"))
+
+
+@query(f"WITH {PAIRS}, k AS (SELECT nation, least(ref, reg) AS a, greatest(ref, reg) AS b, ref, reg FROM pairs), m AS (SELECT nation, min(a) AS low, max(b) AS high, avg(abs(ref - reg)) AS mae FROM k GROUP BY ALL) SELECT nation::VARCHAR AS \"of\", least(59, floor((ref - low) / (high - low) * 60))::INTEGER AS x, least(59, floor((reg - low) / (high - low) * 60))::INTEGER AS y, count(*) AS n, round_even(mae, 6) AS mae FROM k JOIN m USING (nation) GROUP BY ALL")
+def scatter_cells(spark, sf_dir):
+    """Scatters of each nation's days as counts in cells, which charts draw."""
+    return charts.cells(pairs(spark, sf_dir), F.col("nation").cast("string")).select("of", "x", "y", "n", r("mae").alias("mae"))
+
+
+@query("SELECT DISTINCT s_nationkey::VARCHAR AS nation, CASE WHEN s_nationkey IN (1, 7) THEN 'a, \"b\"' ELSE 'plain' END AS note FROM supplier")
+def lookup_csv_round_trip(spark, sf_dir):
+    """A lookup of repeated rows written as CSV and read under other names, each row once; fields hold commas and quotes."""
+    path = scratch.folder(spark)
+    note = F.when(F.col("s_nationkey").isin(1, 7), 'a, "b"').otherwise("plain").alias("in.note")
+    read(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("in.nation"), note).write.option("header", True).option("escape", '"').csv(path)
+    return readers.lookup(spark, path, {"in.nation": "nation", "in.note": "note"})
+
+
+@query(f"WITH {PAIRS} SELECT n_regionkey::VARCHAR AS state, nation::VARCHAR AS county, year(ts)::INTEGER AS year, ts, round_even(ref, 8) AS dry_bulb, CASE WHEN month(ts) > 1 THEN round_even(reg, 6) END AS humidity FROM pairs JOIN nation ON nation = n_nationkey WHERE year(ts) = 1996")
+def weather_files_round_trip(spark, sf_dir):
+    """A CSV file for each nation and year under its region, as weather comes; one year is read again, in one scan."""
+    path = scratch.folder(spark)
+    regions = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("nation"), "n_regionkey")
+    p = pairs(spark, sf_dir).join(regions, "nation")
+    measures = {**{c: F.lit(0.0) for c in readers.WEATHER_COLUMNS}, "Dry Bulb Temperature [°C]": r("ref", 8), "Relative Humidity [%]": F.when(F.month("ts") > 1, r("reg"))}
+    file = F.concat(F.lit("state="), "n_regionkey", F.lit("/"), "nation", F.lit("_"), F.year("ts"), F.lit(".csv"))
+    rows = p.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date_time"), *[c.alias(n) for n, c in measures.items()], file.alias("file"))
+    writers.named_csv(rows, path, "file", ["date_time"])
+    return readers.weather(spark, path, 1996).select(F.col("state").cast("string").alias("state"), "county", "year", "ts", "dry_bulb", "humidity")
+
+
+@query("SELECT regexp_replace(trim(p_brand), '^0+', '') AS fips, arg_min(p_name, p_partkey) AS ba, arg_min(p_type, p_partkey) AS state FROM part GROUP BY 1")
+def zones_first_row(spark, sf_dir):
+    """A zone table whose entities come several times: the first row of each counts, as a whole."""
+    path = scratch.folder(spark)
+    p = read(spark, sf_dir, "part").orderBy("p_partkey").select(F.col("p_brand").alias("FIPS"), F.col("p_name").alias("ba"), F.lit("x").alias("county_name"), F.col("p_type").alias("state"))
+    writers.to_csv(p, path, single=True)
+    return readers.zones(spark, path).select("fips", "ba", "state")
+
+
+@query("""WITH f AS (SELECT 'o' || o_orderstatus AS p, (o_custkey % 3)::INTEGER AS u, min(o_orderkey) * 15 AS s FROM orders GROUP BY ALL UNION SELECT 'o' || o_orderstatus, (o_custkey % 3)::INTEGER, max(o_orderkey) * 15 FROM orders GROUP BY ALL),
+n AS (SELECT p, u, s, s + 15 AS e, lead(s) OVER (PARTITION BY p, u ORDER BY s) AS nx FROM f), pad AS (SELECT p, u, lpad(s::VARCHAR, greatest(4, length(s::VARCHAR))::INTEGER, '0') || '-' || lpad((s + 15)::VARCHAR, greatest(4, length((s + 15)::VARCHAR))::INTEGER, '0') AS r, s FROM f)
+SELECT 'Total files found: ' || count(*) AS line FROM f GROUP BY p, u UNION ALL SELECT 'Results for ' || p || ' (upgrade ' || u || '):' FROM f GROUP BY p, u
+UNION ALL SELECT 'First file: ' || p || '_upgrade' || u || '_' || arg_min(r, s) || '.csv' FROM pad GROUP BY p, u UNION ALL SELECT 'Last file: ' || p || '_upgrade' || u || '_' || arg_max(r, s) || '.csv' FROM pad GROUP BY p, u
+UNION ALL SELECT 'Misaligned: ' || a.p || '_upgrade' || a.u || '_' || a.r || '.csv -> ' || b.p || '_upgrade' || b.u || '_' || b.r || '.csv' FROM n JOIN pad a ON a.p = n.p AND a.u = n.u AND a.s = n.s JOIN pad b ON b.p = n.p AND b.u = n.u AND b.s = n.nx WHERE n.nx <> n.e
+UNION ALL SELECT 'Missing: ' || p || '_upgrade' || u || '_' || lpad(g::VARCHAR, greatest(4, length(g::VARCHAR))::INTEGER, '0') || '-' || lpad(least(g + 15, nx)::VARCHAR, greatest(4, length(least(g + 15, nx)::VARCHAR))::INTEGER, '0') || '.csv' FROM (SELECT p, u, nx, unnest(generate_series(e, nx - 1, 15)) AS g FROM n WHERE nx > e)""")
+def chunk_files_report(spark, sf_dir):
+    """Report lines on chunk files: those of the first and the last order of each status and upgrade, and all that lack between."""
+    of = read(spark, sf_dir, "orders").groupBy(F.concat(F.lit("o"), "o_orderstatus").alias("prefix"), (F.col("o_custkey") % 3).cast("int").alias("upgrade"))
+    ends = of.agg(F.explode(F.array_distinct(F.array(F.min("o_orderkey") * 15, F.max("o_orderkey") * 15))).alias("start"))
+    return validation.files_report(ends.withColumn("end", F.col("start") + 15), 15)

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..functions.numeric import mwh_to_gwh, row_sum
-from ..operators import reconcile, regress, rollup, savings, series, weather
+from ..operators import reconcile, regress, relational, rollup, savings, series, weather
 from ..sources import scratch, writers
 from ..sources.readers import RunConfig
 
@@ -97,3 +98,25 @@ def save(result: Result, folder: str) -> None:
     """Every table under folder/{name}, by upgrade where it has one. A run of some upgrades replaces theirs and leaves the others."""
     for name, df in result.tables().items():
         writers.replace_partitions(df, f"{folder}/{name}", ["upgrade"] if "upgrade" in df.columns else [])
+
+
+def export(result: Result, config: RunConfig, keys: list[str], folder: str) -> list[str]:
+    """The CSV files that other tools take, and their names. Repeated, it replaces them.
+
+    By upgrade: the metadata rollup, and county profiles in GWh by county number. By upgrade and chunk of counties
+    (config.chunk_size): reconciled totals, and profiles in MWh with a column for each group."""
+    prefix = {"commercial": "com_", "residential": "res_"}[config.stock]
+    county, groups = config.county_column, [k for k in keys if k != "upgrade"]
+    at = lambda df: df if "upgrade" in df.columns else df.withColumn("upgrade", F.lit(config.baseline))
+    named = F.coalesce(*[F.when(F.col("upgrade") == int(u), F.lit(n)) for u, n in config.upgrade_names.items()], F.col("upgrade").cast("string"))
+    file = lambda kind: F.concat(F.lit(f"{prefix}{kind}_upgrade"), F.col("upgrade").cast("string"), F.lit(".csv")).alias("_file")
+    meta, reconciled, profiles = at(result.meta), at(result.reconciled), at(result.profiles).where(F.col("target") == TARGETS[0])
+    done = writers.named_csv(meta.select(*meta.columns, file("meta_master")), folder, "_file", groups)
+    chunks = rollup.chunked(meta, [county], config.chunk_size)
+    # Gas heating stands next to the keys too, and the upgrade's name after the upgrade.
+    wide = relational.inserted(reconciled.select("upgrade", *groups, *[c for c in reconciled.columns if c not in ("upgrade", *groups)]), len(groups) + 1, "gas_heating_mwh", F.col(f"{TARGETS[1]}_reg"))
+    done += writers.chunk_tables(relational.inserted(wide, 1, "upgrade_name", named), chunks, [county], config.chunk_size, folder, prefix)
+    loads = profiles.select("upgrade", *groups, "ts", text.key_text(*groups).alias("name"), "value")
+    done += writers.chunk_loads(loads, chunks, [county], config.chunk_size, folder, prefix)
+    counties = at(result.counties).select(file("agg_eulp_hvac_elec_GWh"), "ts", F.coalesce(text.county_fips(F.col(county)).cast("string"), F.col(county).cast("string")).alias("name"), "gwh")
+    return done + writers.named_wide(counties, folder, "_file", "name", "gwh")

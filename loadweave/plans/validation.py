@@ -65,7 +65,7 @@ def chart_data(ref: DataFrame, reg: DataFrame, zones: DataFrame | None = None, t
 
 def read_pair(spark: SparkSession, ref: str, reg: str) -> tuple[DataFrame, DataFrame]:
     """Two wide CSV files as ts, fips, gwh; an error unless their headers name the same series in the same order."""
-    heads = [spark.read.option("header", True).csv(path) for path in (ref, reg)]
+    heads = [spark.read.option("header", True).option("escape", '"').csv(path) for path in (ref, reg)]
     relational.require_same_columns(*[df.select(*[F.col(f"`{c}`") for c in df.columns[1:]]) for df in heads])
     sides = [readers.wide_series(spark, path) for path in (ref, reg)]
     return tuple(df.withColumn("fips", normal_fips(F.col("fips"))) for df in sides)

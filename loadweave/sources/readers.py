@@ -61,13 +61,13 @@ def with_path_values(df: DataFrame, **patterns: str) -> DataFrame:
 
 def lookup(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     """Some columns of a CSV with a header, renamed: {file's name: our name}; all are text."""
-    df = spark.read.option("header", True).csv(path)
+    df = spark.read.option("header", True).option("escape", '"').csv(path)
     return df.select(*[F.trim(F.col(f"`{a}`")).alias(b) for a, b in columns.items()]).distinct()
 
 
 def zones(spark: SparkSession, path: str) -> DataFrame:
     """County-to-zone table: fips without leading zeros, zone, county, state; one row for each county, the first in the file."""
-    df = spark.read.option("header", True).csv(path)
+    df = spark.read.option("header", True).option("escape", '"').csv(path)
     cols = {c.lower(): c for c in df.columns}
     place = F.struct(F.input_file_name(), F.monotonically_increasing_id())
     trimmed = lambda name: F.trim(F.col(f"`{cols[name]}`"))
@@ -98,7 +98,7 @@ def wide_series(spark: SparkSession, path: str, name: str = "fips", value: str =
 
     Of rows with the same stamp the last counts. Stamps that no format fits are an error with samples, as is a file without rows;
     fields that are no numbers are an error when the plan runs."""
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').csv(path)
     first, *series = raw.columns
     if not series:
         raise ValueError(f"{path} has no series")

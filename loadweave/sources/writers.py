@@ -36,7 +36,7 @@ def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
 
 
 def to_csv(df: DataFrame, path: str, single: bool = False, mode: str = "errorifexists", header: bool = True) -> None:
-    (df.coalesce(1) if single else df).write.mode(mode).option("header", header).csv(path)
+    (df.coalesce(1) if single else df).write.mode(mode).option("header", header).option("escape", '"').csv(path)
 
 
 def append_metrics(df: DataFrame, path: str, run: str | None = None, chunk: int = 0) -> None:
@@ -104,8 +104,14 @@ def chunk_loads(df: DataFrame, chunks: DataFrame, keys: list[str], size: int, fo
     places; a stamp that a series lacks is an empty field. df: keys, name, upgrade, ts, value, one row each."""
     start = F.col("chunk") * size
     of = df.join(chunks, keys).withColumn("_file", chunk_name(prefix, kind, F.col(upgrade), start, start + size))
+    return named_wide(of, folder, "_file", name, value, ts, places)
+
+
+def named_wide(df: DataFrame, folder: str, file: str, name: str, value: str, ts: str = "ts", places: int = 6) -> list[str]:
+    """Wide CSV files named by a column, each with the columns of its own series in order of their names. A line is as wide as its
+    file has series, so files should have a bounded number of them (a chunk, the counties of a country)."""
+    of = df.select(F.col(file).alias("_file"), ts, name, value)
     cell = F.struct(F.col(name).alias("k"), F.bround(value, places).alias("v"))
-    # As wide as a chunk: `size` keys and what series they have.
     lines = of.groupBy("_file", ts).agg(F.map_from_entries(F.collect_list(cell)).alias("cells"))
     heads = of.groupBy("_file").agg(F.sort_array(F.collect_set(name)).alias("names"))
     body = lines.join(heads, "_file").select("_file", F.col(ts).cast("string").alias("at"), F.concat_ws(",", F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.array_join(F.transform("names", lambda k: csv_text(F.col("cells")[k])), ",")).alias("text"))
