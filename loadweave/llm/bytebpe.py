@@ -183,7 +183,8 @@ def vocabulary(path: str | None = None, pattern: str | None = None) -> tuple[byt
 
 
 def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None, text: str = "text") -> DataFrame:
-    """docs with `ids` (array of int), `ids_le` (the same as bytes) and `decoded` (the bytes that the ids stand for)."""
+    """docs with `ids` (array of int), `ids_le` (the same as bytes) and `decoded` (the bytes that the ids stand for);
+    columns of these names are replaced, all others kept."""
     spark = docs.sparkSession
     # The vocabulary file is read once, on the driver; its size does not depend on the data.
     rank_file, pattern = vocabulary(path, pattern)

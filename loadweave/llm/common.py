@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bounds what a Python worker holds: Spark's default of 10,000 rows is too many for long texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Bounds what a Python worker holds: Spark's default of 10,000 rows is too many for long texts. A smaller setting stays.
+
+    The setting stays lowered, as plans that are returned run later."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it plans hand so many rows at once to Python; then the caller's setting holds again. Plans made here must run here."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """df.mapInArrow for columns of any names: Spark itself takes none with a dot or a backtick, so these go by other names inside."""
     small_batches(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    odd = [c for c in df.columns if "." in c or "`" in c]
+    if not odd:
+        return df.mapInArrow(fn, schema)
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    inside = dict(zip(odd, fresh(df, *[f"odd_{k}" for k in range(len(odd))]), strict=True))
+    fields = [T.StructField(inside.get(f.name, f.name), f.dataType, f.nullable) for f in schema]
+    return df.toDF(*[inside.get(c, c) for c in df.columns]).mapInArrow(fn, T.StructType(fields)).toDF(*schema.names)
 
 
 def widened(df: DataFrame, more: str) -> T.StructType:
@@ -91,6 +115,15 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers each that may be broadcast: some 60 MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(df: DataFrame) -> DataFrame:
+    """df, marked for broadcasting if it was counted to have at most BROADCAST_ROWS rows. For narrow rows only."""
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
 def discard(*frames: DataFrame) -> None:
     """Deletes the folders of settled() tables that no later step reads."""
     for df in frames:

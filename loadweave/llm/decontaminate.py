@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_of, map_batches, settled, table
+from .common import column_of, fresh, map_batches, settled, sized, table
 
 WINDOW, LITERALS, COVERAGE, CONSISTENCY = 5, 3, 0.8, 0.5
 #: Bits of the table of benchmark windows: 4 MB, whatever the input.
@@ -287,8 +287,9 @@ def contaminated(docs: DataFrame, items: DataFrame, coverage: float = COVERAGE,
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs, unchanged, that no item contaminates."""
-    bad = contaminated(docs, items).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    (lost,) = fresh(docs, "lost_doc")
+    bad = settled(contaminated(docs, items).select(F.col("doc_id").alias(lost)).distinct())
+    return docs.join(sized(bad), F.col("doc_id").eqNullSafe(F.col(lost)), "left_anti")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,14 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, settled, table
+from .common import fresh, settled, sized, table
 
 #: Digests that the sketch tracks: at least so many, and so many for each shuffle partition, and at most so many.
 TRACKED_LEAST, TRACKED_A_PARTITION, TRACKED_MOST = 4096, 8, 65_536
 #: Sketches are merged in so many groups before the groups are.
 MERGE_GROUPS = 64
-#: Rows of (digest, doc_id) that may be broadcast: some 60 MB.
-BROADCAST_ROWS = 1_000_000
 
 
 def digest_of(text: Column) -> Column:
@@ -74,7 +72,6 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     lost = named(found.where(~same)).distinct()
     repeated = named(found.where(same).groupBy("digest", "doc_id").count().where("count > 1"))
-    sized = lambda df: F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
     on = (F.col(digest) == F.col(other)) & F.col("doc_id").eqNullSafe(F.col(doc))
     left = docs.withColumn(digest, digest_of(F.col("text"))).join(sized(lost), on, "left_anti")
     repeated = sized(repeated)

@@ -18,27 +18,32 @@ matter, so as many ids are looked at as k and the most frequent id of the entry
 Cases: null vectors, and vectors with null or non-finite components, take no part, nor do rows without vec_id; vectors of
 other lengths are searched among themselves; rows that share the query's vec_id are the query's own and no candidates;
 repeated candidate rows count each, repeated query rows once (the least vector, if they differ); an empty table gives no
-rows; extra columns are ignored. Sums are exact while a vector's squared length, after scaling, is below 2^52; a longer
-vector stops the job with an error that says so, as its scores would be wrong.
+rows; extra columns are ignored. Sums of doubles are exact while a vector's squared length, after scaling, is below 2^52. Longer
+vectors are kept in blocks of their own; what they are compared with is scored in integers of any size, without a tree. Vectors
+with a component of 2^57 or more after scaling take no part; a score that fits no long is null in the query.
 """
 
 from __future__ import annotations
 
+import heapq
 import io
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import settled, table
+from .common import batch_rows, settled, table
 
 SCALE, K, EVERY = 64, 20, 20
 #: Vectors of a tree, entries of a page, pages of an inner node, queries of a block.
 TREE, PAGE, FAN, QUERIES_AT_ONCE = 4096, 64, 16, 512
-#: Squared lengths from here on are refused: below it every sum of products is an exact double.
+#: Below this squared length every sum of products is an exact double; pairs with a longer vector are scored in integers.
 TOO_LONG = 2.0**52
+#: Components are smaller than this after scaling, so that the scores of 4,096 of them have 38 digits at most.
+TOO_LARGE = 2.0**57
 
 
 class Tree:
@@ -197,71 +202,105 @@ class Tree:
 
 
 def scaled(vector: Column) -> Column:
-    """floor(SCALE * x) of each component as a double; null if the vector or a component is null, or one is not finite; an error if it is too long."""
+    """floor(SCALE * x) of each component as a double; null if the vector takes no part: it or a component is null, or a component
+    is not finite or reaches TOO_LARGE after scaling."""
     x = vector.cast("array<double>")
-    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    # Doubles this large are whole numbers, which floor() would cast to a long.
-    whole = F.transform(x, lambda v: F.when(F.abs(v) < TOO_LONG, F.floor(v * SCALE).cast("double")).otherwise(v * SCALE))
-    norm2 = F.aggregate(whole, F.lit(0.0), lambda a, v: a + v * v)
-    error = F.raise_error(F.lit("an embedding's squared length reaches 2^52 after scaling: its scores would not be exact")).cast("array<double>")
-    return F.when(x.isNotNull() & (F.size(x) > 0) & ~bad, F.when(norm2 < TOO_LONG, whole).otherwise(error))
+    bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) * SCALE >= TOO_LARGE))
+    return F.when(x.isNotNull() & (F.size(x) > 0) & ~bad, F.transform(x, lambda v: F.floor(v * SCALE).cast("double")))
+
+
+def exact_best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[list[int], list[int], list[int]]:
+    """(query_id, vec_id, score) of each query's k best rows, its own id left out, by integers of any size."""
+    whole = lambda x: np.array([int(v) for v in x.ravel().tolist()], object).reshape(x.shape)
+    out: tuple[list[int], list[int], list[int]] = ([], [], [])
+    for q, row in zip(query_ids.tolist(), whole(queries) @ whole(vectors).T, strict=True):
+        best = heapq.nsmallest(k, ((-s, v) for s, v in zip(row.tolist(), ids.tolist(), strict=True) if v != q))
+        for s, v in best:
+            for to, value in zip(out, (q, v, -s), strict=True):
+                to.append(value)
+    return out
 
 
 def _packed(rows: DataFrame, name: str, size: int) -> DataFrame:
-    """Rows (vec_id, z) in blocks of about `size`: dim, name (the block's number), ids, values (rows end to end)."""
-    n = rows.groupBy("dim").count().select("dim", F.ceil(F.col("count") / size).cast("int").alias("parts"))
-    dealt = rows.join(F.broadcast(n), "dim").withColumn(name, F.pmod(F.xxhash64("vec_id", "z", F.lit(name)), F.col("parts")).cast("int"))
-    packed = dealt.groupBy("dim", name).agg(F.collect_list(F.struct("vec_id", "z")).alias("rows"))
-    return packed.select("dim", name, F.col("rows.vec_id").alias("ids"), F.flatten("rows.z").alias("values"))
+    """Rows (vec_id, z, long) in blocks of about `size`: dim, name (the block's number), long, ids, values (rows end to end).
+
+    Blocks hold long vectors only or none; those of long ones have numbers of their own."""
+    n = rows.groupBy("dim", "long").count().select("dim", "long", F.ceil(F.col("count") / size).cast("int").alias("parts"))
+    number = 2 * F.pmod(F.xxhash64("vec_id", "z", F.lit(name)), F.col("parts")).cast("int") + F.col("long").cast("int")
+    dealt = rows.join(F.broadcast(n), ["dim", "long"]).withColumn(name, number)
+    packed = dealt.groupBy("dim", name, "long").agg(F.collect_list(F.struct("vec_id", "z")).alias("rows"))
+    return packed.select("dim", name, "long", F.col("rows.vec_id").alias("ids"), F.flatten("rows.z").alias("values"))
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = K) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the k highest inner products of each query with all rows. rows: vec_id, embedding."""
+    """(query_id, rank, vec_id, score decimal(38,0)) of the k highest inner products of each query with all rows. rows: vec_id, embedding."""
     spark = rows.sparkSession
     asks = is_query.alias("asks")
     good = rows.select(F.col("vec_id").cast("long").alias("vec_id"), asks, scaled(F.col("embedding")).alias("z")).where(F.col("vec_id").isNotNull() & F.col("z").isNotNull())
     # Of rows with one id and one vector no more than k can be among anyone's k best, so k of them are all that a tree needs.
     each = good.groupBy("vec_id", "z").agg(F.count(F.lit(1)).alias("copies"), F.coalesce(F.bool_or("asks"), F.lit(False)).alias("asks"))
-    each = settled(each.withColumn("dim", F.size("z")))
-    candidates = each.select("vec_id", "z", "dim", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)).cast("int"))).alias("copy")).drop("copy")
+    is_long = F.aggregate("z", F.lit(0.0), lambda a, v: a + v * v) >= TOO_LONG
+    each = settled(each.withColumns({"dim": F.size("z"), "long": is_long}))
+    candidates = each.select("vec_id", "z", "dim", "long", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)).cast("int"))).alias("copy")).drop("copy")
     width = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    of_rows = lambda batch, row, ids: (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in (ids, ids + 1))
+    save = lambda ids, vectors: b"".join([np.int64(len(ids)).tobytes(), np.asarray(ids, np.int64).tobytes(), np.asarray(vectors, np.float64).tobytes()])
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, values = (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in (2, 3))
-                tree = Tree.build(ids, values.reshape(len(ids), -1).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[row : row + 1], batch.column(1)[row : row + 1], pa.array([tree.save()], pa.binary())], ["dim", "tree_no", "tree"])
-
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    trees = settled(_packed(candidates, "tree_no", TREE).mapInArrow(plant, "dim int, tree_no int, tree binary"))
-    own = each.where("asks").groupBy("vec_id").agg(F.min("z").alias("z")).withColumn("dim", F.size("z"))
+                ids, values = of_rows(batch, row, 3)
+                plain = batch.column(2)[row].as_py()
+                # Long vectors are kept as they are: their distances are beyond exact doubles.
+                tree = save(ids, values) if plain else Tree.build(ids, values.reshape(len(ids), -1).astype(np.int64)).save()
+                yield pa.RecordBatch.from_arrays([*(batch.column(c)[row : row + 1] for c in (0, 1, 2)), pa.array([tree], pa.binary())], ["dim", "tree_no", "long", "tree"])
+
+    with batch_rows(spark, 1):
+        trees = settled(_packed(candidates, "tree_no", TREE).mapInArrow(plant, "dim int, tree_no int, long boolean, tree binary"))
+    own = each.where("asks").groupBy("vec_id").agg(F.min(F.struct("z", "long")).alias("x")).select("vec_id", "x.z", "x.long", F.size("x.z").alias("dim"))
     queries = settled(_packed(own, "query_no", QUERIES_AT_ONCE))
     # Each tree goes to one task, once, and query blocks come to it one after another.
     numbers = trees.select("dim", "tree_no")
     asked = queries.join(F.broadcast(numbers.groupBy("dim").agg(F.collect_list("tree_no").alias("all"))), "dim")
-    asked = asked.select("dim", F.explode("all").alias("tree_no"), "query_no", "ids", "values", F.lit(None).cast("binary").alias("tree"))
-    first = trees.select("dim", "tree_no", F.lit(-1).alias("query_no"), F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<double>").alias("values"), "tree")
+    asked = asked.select("dim", F.explode("all").alias("tree_no"), "query_no", "ids", "values", "long", F.lit(None).cast("binary").alias("tree"))
+    first = trees.select("dim", "tree_no", F.lit(-1).alias("query_no"), F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<double>").alias("values"), "long", "tree")
     lined = first.unionByName(asked).repartition(width, "dim", "tree_no").sortWithinPartitions("dim", "tree_no", "query_no")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = None
+        tree: Tree | None = None
+        block: tuple[np.ndarray, np.ndarray] | None = None
         for batch in batches:
             for row in range(batch.num_rows):
                 if batch.column(2)[row].as_py() < 0:
-                    tree = Tree.load(batch.column(5)[row].as_py())
+                    data = batch.column(6)[row].as_py()
+                    tree = block = None
+                    if batch.column(5)[row].as_py():
+                        n = int(np.frombuffer(data, np.int64, 1)[0])
+                        block = np.frombuffer(data, np.int64, n, 8), np.frombuffer(data, np.float64, offset=8 + 8 * n).reshape(n, -1)
+                    else:
+                        tree = Tree.load(data)
                     continue
-                ids, values = (batch.column(c)[row].values.to_numpy(zero_copy_only=False) for c in (3, 4))
-                q, v, s = tree.search(ids, values.reshape(len(ids), -1), k)
-                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(s)], ["query_id", "vec_id", "score"])
-
-    found = lined.mapInArrow(search, "query_id long, vec_id long, score long")
+                ids, values = of_rows(batch, row, 3)
+                vectors = values.reshape(len(ids), -1)
+                if tree is not None and not batch.column(5)[row].as_py():
+                    q, v, s = tree.search(ids, vectors, k)
+                    s = pa.array(s).cast(pa.decimal128(38, 0))
+                else:
+                    # A long vector on either side: in integers, whatever their size.
+                    against = block or (tree.ids, np.repeat(tree.vectors, np.diff(tree.id_at), axis=0))
+                    q, v, s = exact_best(ids, vectors, *against, k)
+                    s = pa.array(list(map(Decimal, s)), pa.decimal128(38, 0))
+                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), s], ["query_id", "vec_id", "score"])
+
+    with batch_rows(spark, 1):
+        found = settled(lined.mapInArrow(search, "query_id long, vec_id long, score decimal(38,0)"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op1_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % EVERY == 0)
+    found = top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % EVERY == 0)
+    return found.withColumn("score", F.col("score").try_cast("long"))
 
 
 ORACLE = f"""

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import fresh, settled, sized, table
 
 # The base patterns, with letters in either case spelt out, and the weak ones.
 _EITHER = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
@@ -106,19 +106,21 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
 
     Weak candidates that linking reports are replaced too, wherever their text stands in the document."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    linked = base_and_weak(docs)
-    linked = link(linked).groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "end")).alias("weak")).select(F.col("doc_id").alias("s_doc"), F.col("key").alias("s_key"), "weak")
-    rows = docs.withColumn("_key", _key(text)).join(linked, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("_key") == F.col("s_key")), "left")
+    key, weak, of_doc, of_key, new = fresh(docs, "key", "weak", "of_doc", "of_key", "new")
+    linked = link(base_and_weak(docs)).groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "end")).alias(weak))
+    linked = settled(linked.select(F.col("doc_id").alias(of_doc), F.col("key").alias(of_key), weak))
+    rows = docs.withColumn(key, _key(text)).join(sized(linked), F.col("doc_id").eqNullSafe(F.col(of_doc)) & (F.col(key) == F.col(of_key)), "left")
     # Longest first: an address is replaced as a whole before a key that is part of it.
-    words = F.array_distinct(F.transform(F.coalesce("weak", F.array().cast("array<struct<start:bigint,end:bigint>>")), lambda x: F.substring(text, (x["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int"))))
+    words = F.array_distinct(F.transform(F.coalesce(F.col(weak), F.array().cast("array<struct<start:bigint,end:bigint>>")), lambda x: F.substring(text, (x["start"] + 1).cast("int"), (x["end"] - x["start"]).cast("int"))))
     words = F.array_sort(words, lambda a, b: F.length(b) - F.length(a))
     clean = F.aggregate(words, text, lambda t, w: F.replace(t, w, F.lit(mark)))
     named = f"((?:{_EITHER})[\"']?\\x20*[:=]\\x20*[\"']?)[A-Za-z0-9+/_.=-]{{{VALUE},}}"
     for pattern, by in ((named, "$1" + mark), (ACCESS, mark), (HEX, mark)):
         clean = F.regexp_replace(clean, pattern, by)
-    out = rows.withColumn("_new", F.when(F.col("text").isNotNull(), clean))
-    changed = ~F.col("_new").eqNullSafe(F.col("text"))
-    columns = [F.when(changed, F.length("_new")).otherwise(F.col(c)).cast(t).alias(c) if c == "n_chars" else F.col("_new").alias("text") if c == "text" else F.col(c) for c, t in docs.dtypes]
+    out = rows.withColumn(new, F.when(F.col("text").isNotNull(), clean))
+    changed = ~F.col(new).eqNullSafe(F.col("text"))
+    counted = lambda c, t: F.when(changed, F.length(new)).otherwise(F.col(c)).cast(t).alias(c)
+    columns = [counted(c, t) if c == "n_chars" else F.col(new).alias("text") if c == "text" else F.col(f"`{c}`") for c, t in docs.dtypes]
     return out.select(*columns)
 
 

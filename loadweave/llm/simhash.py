@@ -17,10 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column_of, map_batches, settled, table, widened
+from .common import batch_rows, column_of, fresh, map_batches, settled, sized, table, widened
 from .components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
@@ -142,8 +142,8 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
                 edges = np.array(forest(as_array(x), as_array(y) if y.is_valid else None, radius), np.uint64).reshape(-1, 2).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0].copy()), pa.array(edges[:, 1].copy())], ["u", "v"])
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    return both.mapInArrow(run, "u long, v long")
+    with batch_rows(spark, 64):
+        return settled(both.mapInArrow(run, "u long, v long"))
 
 
 def grouped(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -172,13 +172,21 @@ def representatives(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One row of docs, unchanged, of each component: of its smallest doc_id, and where rows of that doc_id have several of
     the component's texts, the text of the smallest hash.
 
-    Rows without a doc_id cannot stand for others and are kept."""
-    least = grouped(docs, radius).where(F.col("doc_id") == F.col("component_id"))
-    chosen = least.groupBy("root", "component_id").agg(F.min("text_hash").alias("_hash")).select(F.col("component_id").alias("_chosen"), "_hash")
-    own = docs.join(chosen, (F.col("doc_id") == F.col("_chosen")) & (_text_hash() == F.col("_hash")), "left_semi")
-    repeats = Window.partitionBy("doc_id", _text_hash()).orderBy(F.xxhash64(*docs.columns))
-    one = own.withColumn("_row", F.row_number().over(repeats)).where("_row = 1").drop("_row")
-    return one.unionByName(docs.where(F.col("doc_id").isNull()))
+    Rows without a doc_id cannot stand for others and are kept. Rows that go are named by doc_id and hash of their text and taken
+    out by an anti-join, so texts stay where they are when few rows go. Of repeated rows one stays; where they differ in other
+    columns, any of them. Columns may have any names and types."""
+    hashed, doc, of_hash = fresh(docs, "hash", "of_doc", "of_hash")
+    found = grouped(docs, radius).where(F.col("doc_id").isNotNull())
+    found = settled(found.groupBy("doc_id", "text_hash", "root", "component_id").agg(F.count(F.lit(1)).alias("n")))
+    least = found.where(F.col("doc_id") == F.col("component_id")).groupBy("root", "component_id").agg(F.min("text_hash").alias("text_hash"))
+    stays = least.select(F.col("component_id").alias("doc_id"), "text_hash")
+    named = lambda df: settled(df.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(of_hash)))
+    lost = named(found.join(stays, ["doc_id", "text_hash"], "left_anti"))
+    repeated = sized(named(found.where("n > 1").join(stays, ["doc_id", "text_hash"], "left_semi")))
+    on = (F.col("doc_id") == F.col(doc)) & (F.col(hashed) == F.col(of_hash))
+    left = docs.withColumn(hashed, _text_hash()).join(sized(lost), on, "left_anti")
+    once = left.join(repeated, on, "left_semi").dropDuplicates(["doc_id", hashed])
+    return left.join(repeated, on, "left_anti").unionByName(once).drop(hashed)
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

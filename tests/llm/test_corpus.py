@@ -223,11 +223,31 @@ def test_search_of_repeated_own_rows(spark):
     assert [r["vec_id"] for r in mtree.top_k(df, F.col("vec_id") == 21, 26).orderBy("rank").collect()] == [20] * 25 + [22]
 
 
-@pytest.mark.parametrize("x", [2e17, 2e7, -3e37])
-def test_search_refuses_lengths_it_cannot_add_up(spark, x):
-    df = spark.createDataFrame([(20, [x]), (21, [1.0])], "vec_id long, embedding array<float>")
-    with pytest.raises(Exception, match="would not be exact"):
-        mtree.top_k(df, F.col("vec_id") == 20).collect()
+def test_long_vectors_are_scored_in_integers(spark):
+    """Lengths beyond exact doubles, on either side or both, beside brute force; what no 64-bit integer holds takes no part."""
+    rng = np.random.default_rng(8)
+    rows = [(k, [float(np.float32(v)) for v in rng.normal(0, 10.0 ** rng.integers(-1, 14), 6)]) for k in range(120)] + [(200, [1e7] * 6), (201, [1e7] * 5 + [1e7 + 1]), (220, [-3e37] + [0.0] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    whole = {i: [int(np.floor(np.float64(np.float32(v)) * 64)) for v in x] for i, x in rows if i != 220}
+    want = []
+    for q in (i for i in whole if i % 20 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], x, strict=True)), i) for i, x in whole.items() if i != q)[:20]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    got = mtree.top_k(df, F.col("vec_id") % 20 == 0).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], int(r["score"])) for r in got) == sorted(want)
+
+
+def test_batch_size_is_the_callers_again(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "777")
+    try:
+        df = spark.createDataFrame([(k, [float(k)]) for k in range(30)], "vec_id long, embedding array<float>")
+        mtree.top_k(df, F.col("vec_id") == 20)
+        simhash.links(spark.createDataFrame([(1,), (2,)], "fingerprint long"))
+        assert spark.conf.get(name) == "777"
+    finally:
+        spark.conf.set(name, before)
 
 
 def test_stored_distances_avoid_computations():
