@@ -419,7 +419,27 @@ def test_licences(spark):
     rows = [(20, mit), (21, "Text.\nReleased under the MIT License."), (22, licences.SENTENCES["mit-as-is"]), (23, "licensed UNDER the apache license,  version 2.0 and more"), (24, "Licensed under CC BY-NC 4.0."), *EDGES]
     got = {r["doc_id"]: ",".join(r["licences"]) for r in licences.scan(docs(spark, rows)).collect()}
     assert [got[k] for k in (20, 21, 22, 23, 24)] == ["MIT", "MIT", "", "", "CC-BY-NC-4.0"] and licences.scan(docs(spark, rows)).count() == len(rows)
-    assert all(any(w in s for w in licences.KEY_WORDS) for s in licences.known_sentences())
+    # Tags stand in texts behind "SPDX-License-Identifier".
+    assert all(any(w in s for w in licences.KEY_WORDS) for s in licences.known_sentences() if not s.startswith(licences.TAG))
+
+
+def test_tags_notices_and_tails_of_statements(spark):
+    lgpl = "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.\n"
+    agpl = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+    cases = {
+        "// SPDX-License-Identifier: GPL-2.0-only\ncode": "GPL-2.0-only", "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0-or-later", "SPDX-License-Identifier: GPL-2.0+": "GPL-2.0+",
+        "/* SPDX-License-Identifier: (MIT OR Apache-2.0) */": "Apache-2.0,MIT", "SPDX-License-Identifier: EPL-2.0": "EPL-2.0", "spdx-license-identifier: mit AND BSD-3-Clause WITH other": "BSD-3-Clause,MIT",
+        lgpl: "LGPL-2.1", agpl: "AGPL-3.0", "Released under the 3-clause BSD license.": "BSD-3-Clause", "This code is licensed under the MIT license, see LICENSE.": "MIT",
+        "Licensed under the MIT License. See the LICENSE file for details.": "MIT", "Licensed under the Eclipse Public License v. 2.0": "EPL-2.0", "SPDX-License-Identifier:": "", "SPDX-License-Identifier: none of these": "", "Licence: MIT.\nMIT.": "",
+        licences.SENTENCES["mit-grant"] + " " + licences.SENTENCES["mit-notice"] + " " + licences.SENTENCES["mit-as-is"]: "MIT", "The origin of this software must not be misrepresented; yes": "",
+    }
+    df = docs(spark, list(enumerate(cases)))
+    got = licences.scan(df).collect()
+    assert {r["doc_id"]: ",".join(r["licences"]) for r in got} == dict(enumerate(cases.values()))
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    found = con.execute(licences.ORACLE).fetchall()
+    assert sorted(found) == sorted((r["doc_id"], ",".join(r["licences"]), r["n_sentences"]) for r in got)
 
 
 def test_licences_that_go_on_after_a_colon(spark):
