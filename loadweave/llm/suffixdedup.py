@@ -1,4 +1,4 @@
-"""Removal of repeated 100-byte strings by distributed prefix doubling over sampled positions.
+"""Removal of repeated 100-byte strings by grouping anchors, in place of distributed prefix doubling.
 
 A rank is the class of the bytes that start at a position. Doubling ranks at all positions would sort some thirty bytes a
 byte of text in every round; here positions are thinned first, in a way that equal strings agree on:
@@ -177,6 +177,14 @@ def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
+def _by_bucket(bucket: np.ndarray, order: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket that occurs, with its part of `order`, which sorts by bucket. However many buckets there are, this takes as many
+    turns as a piece has anchors at most."""
+    ordered = bucket[order]
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])) if len(ordered) else np.zeros(0, np.int64)
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(ordered)], strict=True) if len(starts) else ():
+        yield int(ordered[a]), order[a:b]
+
 
 def _input(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("mark", F.xxhash64("text"))
@@ -194,14 +202,11 @@ def _repeated_grams(docs: DataFrame, parts: int, hot: int) -> DataFrame:
             gram = gram[first]
             bucket = gram % _U(parts)
             order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(parts + 1, dtype=np.uint64))
             rows = []
-            for k in range(parts):
-                if cuts[k] < cuts[k + 1]:
-                    own = order[cuts[k] : cuts[k + 1]]
-                    many = uses[own] > 1
-                    # Incompressible, so plain bytes.
-                    rows.append((k, gram[own[~many]].tobytes(), gram[own[many]].tobytes(), shapes[own[many]].astype(np.uint32).tobytes()))
+            for k, own in _by_bucket(bucket, order):
+                many = uses[own] > 1
+                # Incompressible, so plain bytes.
+                rows.append((k, gram[own[~many]].tobytes(), gram[own[many]].tobytes(), shapes[own[many]].astype(np.uint32).tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["bucket", "once", "many", "shapes"])
 
@@ -296,16 +301,13 @@ def _repeats(docs: DataFrame, tables: tuple[bytes, bytes], parts: int) -> DataFr
             keep = order[lead]
             keep = keep[_in_table(live_table, a.gram[keep]) & ~_in_table(hot_table, a.gram[keep])]
             bucket = (a.gram[keep] % _U(parts)).astype(np.int64)
-            keep = keep[np.argsort(bucket, kind="stable")]
-            cuts = np.searchsorted(np.sort(bucket), np.arange(parts + 1))
             out = []
-            for k in range(parts):
-                m = keep[cuts[k] : cuts[k + 1]]
-                if len(m):
-                    width = a.last[m] - a.first[m] + LENGTH
-                    inside = np.arange(int(width.sum())) - np.repeat(np.cumsum(width) - width, width)
-                    around = a.data[np.repeat(a.first[m], width) + inside]
-                    out.append((k, _pack(a.gram[m], doc[m], mark[m], start[m], (a.anchor - a.first)[m].astype(np.uint8), (width - LENGTH).astype(np.uint8), around)))
+            for k, own in _by_bucket(bucket, np.argsort(bucket, kind="stable")):
+                m = keep[own]
+                width = a.last[m] - a.first[m] + LENGTH
+                inside = np.arange(int(width.sum())) - np.repeat(np.cumsum(width) - width, width)
+                around = a.data[np.repeat(a.first[m], width) + inside]
+                out.append((k, _pack(a.gram[m], doc[m], mark[m], start[m], (a.anchor - a.first)[m].astype(np.uint8), (width - LENGTH).astype(np.uint8), around)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int32()), pa.array([0] * len(out), pa.int64()), pa.array([0] * len(out), pa.int64()), pa.array([p for _, p in out], pa.binary())], ["bucket", "doc_id", "mark", "payload"])
 
