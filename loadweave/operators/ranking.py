@@ -33,6 +33,18 @@ def with_rank(df: DataFrame, order: list[str], rank: str = "rank", n: str | None
     return (out.withColumn(n, F.col("_all")) if n else out).drop("_part", "_place", "_before", "_all")
 
 
+def with_next(df: DataFrame, order: str, following: str) -> DataFrame:
+    """df with the next row's value of order, missing for the last row; missing values come first.
+
+    The last row of a range gets the first of the next range that has rows, from a table of one row for each range."""
+    dealt = written(df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()))
+    ranges = dealt.groupBy("_part").agg(F.min(order).alias("_first"))
+    after = ranges.select("_part", F.lead("_first").over(Window.orderBy("_part")).alias("_after"))
+    inside = F.lead(order).over(Window.partitionBy("_part").orderBy(order))
+    rows = dealt.withColumn("_inside", inside).join(F.broadcast(after), "_part")
+    return rows.withColumn(following, F.coalesce("_inside", "_after")).drop("_part", "_inside", "_after")
+
+
 def quantiles(df: DataFrame, value: str, keys: list[str], at: tuple[float, ...]) -> DataFrame:
     """keys, q, value: exact quantiles of known values, with linear interpolation between neighbours.
 

@@ -60,7 +60,8 @@ def fit_predict(load: DataFrame, base_weather: DataFrame, target_weather: DataFr
     rows, which it has seen. share_extrapolated: percent of target hours whose temperature is outside those of base hours. These
     come from the network, which is trained only for groups that need it: without folds on rows not held out, with folds on all
     rows but one fold, and then on, with the weights and the optimiser as they are, on all but the next;
-    network_fold_mse_1 and so on are the errors on the fold left out, after each."""
+    network_fold_mse_1 and so on are the errors on the fold left out, after each. what `scale_mean`, `scale_spread`: by which each
+    feature, and the load (`y`), is standardised for the network, over all base rows."""
     settings = settings or Settings()
     every = list(dict.fromkeys([*keys, *weather_keys]))
     held = int(round(10 * settings.hold_out))
@@ -126,6 +127,8 @@ def _fit_one(rows: pd.DataFrame, base: pd.DataFrame, target: pd.DataFrame, featu
     if outside.any():
         # Standardised by all base rows, whatever the network is trained on.
         network = Network(epochs=settings.epochs, seed=settings.seed).scaled(x, y)
+        scales = zip([*features, "y"], [*network.mean, network.level], [*network.spread, network.scale], strict=True)
+        out += [(what, 0, float(v), f) for f, *both in scales for what, v in zip(("scale_mean", "scale_spread"), both, strict=True)]
         for k, (some, rest) in enumerate(zip(folds, others, strict=True), 1):
             network.train(x[rest], y[rest])
             out.append(metric(f"network_fold_mse_{k}", ((y[some] - network.predict(x[some])) ** 2).mean()))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import SEASONS, season
 from ..functions.numeric import total
+from .ranking import with_next
 
 #: Hours of a year without a leap day.
 YEAR_HOURS = 8760
@@ -123,8 +124,12 @@ def summary(ranges: DataFrame, start: str, end: str, keys: list[str] | None = No
 
 
 def gaps(ranges: DataFrame, start: str, end: str, step: int, keys: list[str] | None = None) -> DataFrame:
-    """Start and end of every range that is missing between neighbours, in steps; `whole` tells if the last of them ends where the next begins."""
-    w = Window.partitionBy(*(keys or [])).orderBy(start)
-    following = ranges.withColumn("_next", F.lead(start).over(w)).where(F.col("_next") > F.col(end))
-    out = following.withColumn("gap_start", F.explode(F.sequence(F.col(end), F.col("_next") - 1, F.lit(step))))
+    """Start and end of every range that is missing between neighbours, in steps; `whole` tells if the last of them ends where the next begins.
+
+    Without keys neighbours are found by ranges of start, which are written when this is called, so no task sees all rows."""
+    if keys:
+        nexts = ranges.withColumn("_next", F.lead(start).over(Window.partitionBy(*keys).orderBy(start)))
+    else:
+        nexts = with_next(ranges, start, "_next")
+    out = nexts.where(F.col("_next") > F.col(end)).withColumn("gap_start", F.explode(F.sequence(F.col(end), F.col("_next") - 1, F.lit(step))))
     return out.select(*(keys or []), "gap_start", F.least(F.col("gap_start") + step, F.col("_next")).alias("gap_end"), ((F.col("_next") - F.col(end)) % step == 0).alias("whole"))

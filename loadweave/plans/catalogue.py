@@ -594,13 +594,17 @@ def hash_split_counts(spark, sf_dir):
     return h.groupBy("kind", regress.split_fold(["kind"], 5).alias("fold")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _translation(spark, sf_dir, settings):
+def _weathers(spark, sf_dir):
+    """Hourly values, base and target weather, features: event counts play the weather, the first half of the month is the base, the second the target."""
     h = hourly(spark, sf_dir)
-    # Event counts play the weather, values the load: the first half of the month is the base, the second the target.
     weather = wx.weather_features(h.select(F.col("kind").alias("county"), "ts", F.col("n").cast("double").alias("dry_bulb"), F.col("v").alias("humidity")), ["county"], ["dry_bulb", "humidity"])
-    features = wx.feature_names(["dry_bulb", "humidity"], wx.LAGS, "dry_bulb")
+    return h, weather.where(F.dayofmonth("ts") <= 15), weather.where(F.dayofmonth("ts") > 15), wx.feature_names(["dry_bulb", "humidity"], wx.LAGS, "dry_bulb")
+
+
+def _translation(spark, sf_dir, settings):
+    h, base, target, features = _weathers(spark, sf_dir)
+    # Values play the load.
     load = h.where(F.dayofmonth("ts") <= 15).select("kind", F.col("kind").alias("county"), "ts", F.col("v").alias("hvac"), F.lit(0.0).alias("gas"))
-    base, target = weather.where(F.dayofmonth("ts") <= 15), weather.where(F.dayofmonth("ts") > 15)
     return regress.translate(load, base, target, ["kind"], ["county"], ["hvac", "gas"], features, "dry_bulb", settings)
 
 
@@ -638,6 +642,50 @@ def regression_sums(spark, sf_dir):
     )
 
 
+#: Seen temperatures, as regression_sums has them: base hours but the last.
+_SEEN = (
+    "m AS (SELECT *, max(ts) FILTER (day(ts) <= 15) OVER (PARTITION BY kind) AS m FROM hourly), "
+    "s AS (SELECT kind, min(n) AS lo, max(n) AS hi FROM m WHERE day(ts) <= 15 AND ts < m GROUP BY kind)"
+)
+#: What trees and epochs have no part in: one of each is enough.
+_LEAST = regress.Settings(trees=1, epochs=1)
+
+
+@query(
+    f"WITH {HOURLY}, {_SEEN} SELECT kind, (row_number() OVER (PARTITION BY kind ORDER BY ts))::INTEGER AS hour_no, "
+    "CASE WHEN n BETWEEN lo AND hi THEN 'forest' ELSE 'network' END AS model FROM hourly JOIN s USING (kind) WHERE day(ts) > 15"
+)
+def model_of_hours(spark, sf_dir):
+    """Which model predicts each target hour."""
+    h, base, target, features = _weathers(spark, sf_dir)
+    load = h.where(F.dayofmonth("ts") <= 15).select("kind", F.col("kind").alias("county"), "ts", F.col("v").alias("y"))
+    found = regress.fit_predict(load, base, target, ["kind"], ["county"], features, "dry_bulb", _LEAST)
+    return found.where("what = 'prediction'").select("kind", "hour_no", F.col("name").alias("model"))
+
+
+_FEATURES = (
+    "f AS (SELECT kind, ts, v, n::DOUBLE AS dry_bulb, v AS humidity, hour(ts)::DOUBLE AS hour, (isodow(ts) >= 6)::INTEGER::DOUBLE AS weekend, "
+    "(lead(n, 1) OVER w)::DOUBLE AS dry_bulb_lag_m1, "
+    + ", ".join(f"coalesce(lag(n, {k}) OVER w, first_value(n) OVER w)::DOUBLE AS dry_bulb_lag_{k}" for k in (1, 3, 6, 12))
+    + " FROM hourly WINDOW w AS (PARTITION BY kind ORDER BY ts)), "
+    "b AS (SELECT *, lead(v) OVER (PARTITION BY kind ORDER BY ts) AS y FROM f WHERE day(ts) <= 15), "
+    "u AS (UNPIVOT (SELECT * EXCLUDE (ts, v) FROM b WHERE y IS NOT NULL) ON COLUMNS(* EXCLUDE (kind)) INTO NAME name VALUE x), "
+    "o AS (SELECT kind FROM hourly JOIN s USING (kind) WHERE day(ts) > 15 GROUP BY kind HAVING bool_or(n NOT BETWEEN lo AND hi))"
+)
+
+
+@query(
+    f"WITH {HOURLY}, {_SEEN}, {_FEATURES} SELECT kind, 'hvac' AS target, name, round_even(avg(x), 6) AS mean, "
+    "round_even(CASE WHEN stddev_pop(x) > 0 THEN stddev_pop(x) ELSE 1 END, 6) AS spread FROM u SEMI JOIN o USING (kind) GROUP BY kind, name"
+)
+def network_scales(spark, sf_dir):
+    """By which the network standardises each feature and the load: means and deviations over all base hours."""
+    fits = _translation(spark, sf_dir, _LEAST)[1]
+    pick = lambda what: F.max(F.when(F.col("what") == what, F.col("value")))
+    found = fits.where(F.col("what").isin("scale_mean", "scale_spread")).groupBy("kind", "target", "name")
+    return rounded(found.agg(pick("scale_mean").alias("mean"), pick("scale_spread").alias("spread")))
+
+
 _ACTUAL = "a AS (SELECT kind, ts, v, v * 1.1 + 2 AS p FROM hourly)"
 
 

@@ -367,3 +367,29 @@ def test_title_case_and_number_formats(spark):
     df = spark.createDataFrame([(v,) for v in numbers[:-1]], "v double")
     assert [r[0] for r in df.select(text.fixed(F.col("v"), 3, grouped=True)).collect()] == [None if v is None else f"{v:,.3f}" for v in numbers[:-1]]
     assert [r[0] for r in df.select(text.fixed(F.col("v"), 2)).collect()] == [None if v is None else f"{v:.2f}" for v in numbers[:-1]]
+
+
+def test_gaps_without_keys_across_ranges(spark):
+    """Every range of starts in another partition, so that each neighbour lies in the next."""
+    starts = [k * 10 for k in range(400) if k % 7 and not 100 <= k < 130]
+    rows = spark.createDataFrame([(s, s + 10) for s in starts], "start long, `end` long").repartition(5)
+    got = {(r["gap_start"], r["gap_end"], r["whole"]) for r in series.gaps(rows, "start", "end", 10).collect()}
+    there = set(starts)
+    assert got == {(s, s + 10, True) for s in range(starts[0], starts[-1], 10) if s not in there}
+    none = spark.createDataFrame([], "start long, `end` long")
+    assert series.gaps(none, "start", "end", 10).count() == 0
+    missing = spark.createDataFrame([(None, 5), (0, 10), (20, 30)], "start long, `end` long")
+    assert [tuple(r) for r in series.gaps(missing, "start", "end", 10).collect()] == [(10, 20, True)]
+
+
+def test_scales_are_of_all_base_rows():
+    rng = np.random.default_rng(0)
+    base = pd.DataFrame({"t": rng.normal(10, 3, 60), "flat": 1.0})
+    target = pd.DataFrame({"t": [10.0, 99.0], "flat": 1.0, "hour_no": [1, 2]})
+    rows = pd.DataFrame({"y": base["t"] * 2 + 1, "fold": np.arange(60) % 3, "held_out": np.arange(60) % 5 == 0})
+    out = regress._fit_one(rows, base, target, ["t", "flat"], "t", regress.Settings(trees=1, epochs=1))
+    of = {(r["what"], r["name"]): r["value"] for _, r in out.iterrows()}
+    assert np.isclose(of["scale_mean", "t"], base["t"].mean()) and np.isclose(of["scale_spread", "t"], base["t"].std(ddof=0))
+    assert of["scale_mean", "flat"] == 1.0 and of["scale_spread", "flat"] == 1.0
+    assert np.isclose(of["scale_mean", "y"], rows["y"].mean()) and np.isclose(of["scale_spread", "y"], rows["y"].std(ddof=0))
+    assert list(out[out["what"] == "prediction"]["name"]) == ["forest", "network"]
