@@ -1,16 +1,17 @@
 """Exact top-k search by inner product with M-trees.
 
 Vectors are dealt by a hash into blocks of bounded size, and each block becomes an M-tree: pages of entries around a pivot,
-with the page's covering radius and every entry's distance to the pivot, and inner nodes over pages with the same. Trees are
-written to the shared folder. Queries go through the trees in blocks: each (query block, tree) is one task, and the best of
-each query over all trees are its result.
+with the page's covering radius and every entry's distance to the pivot, and above them as many levels of nodes over nodes as
+the block needs, up to one root, each with the same and its distance to its parent's pivot. Trees are written to the shared
+folder. Queries go through the trees in blocks: each (query block, tree) is one task, and the best of each query over all trees
+are its result.
 
 With integer vectors, <q, x> = (|q|^2 + |x|^2 - d(q, x)^2) / 2. A node of pivot p, radius r and longest vector n thus holds
-no score above (|q|^2 + n^2 - max(0, d(q, p) - r)^2) / 2, and since d(q, p) >= |d(q, o) - d(o, p)| for the parent's pivot o,
-that bound can be had from stored distances before d(q, p) is computed; likewise for entries in a page. Every query has one
-queue of nodes and pages and takes what has the best bound, a few at a time and many queries at once, until the best bound
-left is below its k-th score. Distances to pivots that the stored bound rules out are not computed; `computed` and `avoided`
-count them.
+no score above (|q|^2 + n^2 - max(0, d(q, p) - r)^2) / 2, nor above <q, p> + |q| r. Since d(q, p) >= |d(q, o) - d(o, p)| for the
+parent's pivot o, both bounds can be had from stored distances before d(q, p) is computed; likewise for entries in a page. Every
+query has one queue of nodes, which starts with the root, and takes what has the best bound, a few at a time and many queries at
+once, until the best bound left is below its k-th score. Distances and products that stored distances rule out are not computed
+(products of a page are computed for all its queries at once unless fewer than one in 16 is needed); counts tell how many.
 
 Equal vectors are one entry with their ids in order. Of a query's own ids none counts, and of the others only the first k can
 matter, so as many ids are looked at as k and the most frequent id of the entry make.
@@ -38,8 +39,10 @@ from pyspark.sql import functions as F
 from .common import batch_rows, settled, table
 
 SCALE, K, EVERY = 64, 20, 20
-#: Vectors of a tree, entries of a page, pages of an inner node, queries of a block.
-TREE, PAGE, FAN, QUERIES_AT_ONCE = 4096, 64, 16, 512
+#: Vectors of a tree, entries of a page, children of an inner node, queries of a block.
+TREE, PAGE, FAN, QUERIES_AT_ONCE = 4096, 64, 4, 512
+#: Times that the centres of a split move.
+MOVES = 4
 #: Below this squared length every sum of products is an exact double; pairs with a longer vector are scored in integers.
 TOO_LONG = 2.0**52
 #: Components are smaller than this after scaling, so that the scores of 4,096 of them have 38 digits at most.
@@ -47,13 +50,15 @@ TOO_LARGE = 2.0**57
 
 
 class Tree:
-    """One block's M-tree, as flat arrays: entries sorted by page, pages by inner node."""
+    """One block's M-tree, as flat arrays. Nodes are numbered level by level from the root, so children are neighbours, and all
+    pages (the leaves) are on the last level; entries are in the order of their pages, so every node holds a stretch of them."""
 
-    PARTS = ("vectors", "norm2", "id_at", "ids", "id_most", "page_at", "page_pivot", "page_radius", "page_norm2", "entry_far", "node_at", "node_pivot", "node_radius", "node_norm2", "page_far")
+    PARTS = ("vectors", "norm2", "id_at", "ids", "id_most", "entry_far", "start", "stop", "child_at", "pivot", "pivot2", "radius", "longest", "node_far")
+    _DOUBLES = ("vectors", "pivot")
 
     def save(self) -> bytes:
         out = io.BytesIO()
-        small = {k: v.astype(np.int32) if k in ("vectors", "page_pivot", "node_pivot") and np.abs(v).max() < 2**31 else v for k in self.PARTS for v in [getattr(self, k)]}
+        small = {k: v.astype(np.int32) if k in self._DOUBLES and np.abs(v).max() < 2**31 else v for k in self.PARTS for v in [getattr(self, k)]}
         np.savez(out, **small)
         return out.getvalue()
 
@@ -62,7 +67,7 @@ class Tree:
         tree = cls()
         with np.load(io.BytesIO(data)) as parts:
             for k in cls.PARTS:
-                setattr(tree, k, parts[k].astype(np.float64) if k in ("vectors", "page_pivot", "node_pivot") else parts[k])
+                setattr(tree, k, parts[k].astype(np.float64) if k in cls._DOUBLES else parts[k])
         return tree
 
     @classmethod
@@ -71,77 +76,123 @@ class Tree:
         order = np.lexsort((ids, inverse.reshape(-1)))
         id_at = np.searchsorted(inverse.reshape(-1)[order], np.arange(len(vectors) + 1))
         x = vectors.astype(np.float64)
-        pages: list[np.ndarray] = []
-        nodes: list[int] = []
-
-        waiting = [(np.arange(len(x)), False)]
-        while waiting:
-            own, inside = waiting.pop()
-            if not inside and len(own) <= PAGE * FAN:
-                nodes.append(len(pages))
-                inside = True
-            if len(own) <= PAGE:
-                pages.append(own)
-                continue
-            mine = x[own]
-            a = mine[((mine - mine[0]) ** 2).sum(1).argmax()]
-            b = mine[((mine - a) ** 2).sum(1).argmax()]
-            side = np.argsort(mine @ (b - a), kind="stable")
-            half = len(own) // 2
-            waiting += [(own[side[half:]], inside), (own[side[:half]], inside)]
+        # As many levels as the number of vectors asks for; each has FAN times the entries a node of the one below.
+        limits = [PAGE]
+        while limits[-1] < len(x):
+            limits.append(limits[-1] * FAN)
+        levels, children = [[np.arange(len(x))]], []
+        for limit in limits[-2::-1]:
+            parted = [cls._parted(x, own, limit) for own in levels[-1]]
+            children += map(len, parted)
+            levels.append([part for parts in parted for part in parts])
+        at = np.concatenate(levels[-1])
         tree = cls()
-        at = np.concatenate(pages)
-        tree.vectors, tree.ids = vectors[at].astype(np.float64), np.concatenate([ids[order][id_at[k] : id_at[k + 1]] for k in at.tolist()])
+        tree.vectors, tree.ids = x[at], np.concatenate([ids[order][id_at[k] : id_at[k + 1]] for k in at.tolist()])
         tree.id_at = np.concatenate([[0], np.cumsum(np.diff(id_at)[at])])
         runs = np.flatnonzero(np.concatenate([[True], (np.diff(tree.ids) != 0) | np.isin(np.arange(1, len(tree.ids)), tree.id_at)]))
         lengths = np.diff(np.append(runs, len(tree.ids)))
         tree.id_most = np.maximum.reduceat(lengths, np.searchsorted(runs, tree.id_at[:-1]))
         tree.norm2 = (tree.vectors**2).sum(1)
-        tree.page_at = np.concatenate([[0], np.cumsum([len(p) for p in pages])])
-        tree.node_at = np.array([*nodes, len(pages)])
-        tree.page_pivot, tree.page_radius, tree.page_norm2, tree.entry_far = cls._cover(tree.vectors, tree.norm2, tree.page_at)
-        tree.node_pivot, tree.node_radius, tree.node_norm2, _ = cls._cover(tree.vectors, tree.norm2, tree.page_at[tree.node_at])
-        owner = np.repeat(np.arange(len(nodes)), np.diff(tree.node_at))
-        tree.page_far = np.sqrt(((tree.page_pivot - tree.node_pivot[owner]) ** 2).sum(1))
+        ends = [np.cumsum([len(own) for own in level]) for level in levels]
+        tree.stop = np.concatenate(ends)
+        tree.start = np.concatenate([np.append(0, e[:-1]) for e in ends])
+        tree.child_at = 1 + np.cumsum([0, *children])
+        tree._cover()
         return tree
 
     @staticmethod
-    def _cover(x: np.ndarray, norm2: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of each range: the member nearest to the mean as pivot, covering radius, largest squared norm, distances to the pivot."""
-        pivots, radii, longest, far = [], [], [], np.zeros(len(x))
-        for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
-            own = x[a:b]
+    def _parted(x: np.ndarray, own: np.ndarray, limit: int) -> list[np.ndarray]:
+        """Rows `own` of x in two and two again, by the nearer of two centres, until no part has more than `limit`.
+
+        The centres start at two far members and move to their rows' means. A cut that would leave less than an eighth on one
+        side is put there instead, in the order along the line between the centres, so parts are few and the splitting ends."""
+        done, waiting = [], [own]
+        while waiting:
+            own = waiting.pop()
+            if len(own) <= limit:
+                done.append(own)
+                continue
+            mine = x[own]
+            a = mine[((mine - mine[0]) ** 2).sum(1).argmax()]
+            b = mine[((mine - a) ** 2).sum(1).argmax()]
+            for _ in range(MOVES):
+                near_b = mine @ (b - a) > ((b**2).sum() - (a**2).sum()) / 2
+                if near_b.all() or not near_b.any():
+                    break
+                a, b = mine[~near_b].mean(0), mine[near_b].mean(0)
+            along = mine @ (b - a)
+            side = np.argsort(along, kind="stable")
+            cut = int(np.searchsorted(along[side], ((b**2).sum() - (a**2).sum()) / 2, side="right"))
+            cut = min(max(cut, -(-len(own) // 8)), len(own) - -(-len(own) // 8))
+            waiting += [own[side[cut:]], own[side[:cut]]]
+        return done
+
+    def _cover(self) -> None:
+        """Of each node: the member nearest to the mean as pivot, covering radius, largest squared length, distance to the parent's
+        pivot. Of each entry: the distance to its page's pivot."""
+        pivots, radii, longest, self.entry_far = [], [], [], np.zeros(len(self.vectors))
+        for a, b in zip(self.start.tolist(), self.stop.tolist(), strict=True):
+            own = self.vectors[a:b]
             pivot = own[((own - own.mean(0)) ** 2).sum(1).argmin()]
-            far[a:b] = np.sqrt(((own - pivot) ** 2).sum(1))
+            self.entry_far[a:b] = np.sqrt(((own - pivot) ** 2).sum(1))  # pages come last
             pivots.append(pivot)
-            radii.append(far[a:b].max())
-            longest.append(norm2[a:b].max())
-        return np.array(pivots), np.array(radii), np.array(longest), far
+            radii.append(self.entry_far[a:b].max())
+            longest.append(self.norm2[a:b].max())
+        self.pivot, self.radius, self.longest = np.array(pivots), np.array(radii), np.array(longest)
+        self.pivot2 = (self.pivot**2).sum(1)
+        parent = np.append(0, np.repeat(np.arange(len(self.child_at) - 1), np.diff(self.child_at)))
+        self.node_far = np.sqrt(((self.pivot - self.pivot[parent]) ** 2).sum(1))
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query_id, vec_id, score) of each query's k best entries, its own id left out; ties to smaller ids."""
+        """(query_id, vec_id, score) of each query's k best entries, its own id left out; ties to smaller ids.
+
+        computed, avoided: distances to pivots that were worked out, and those that stored distances ruled out for a node whose
+        parent was opened. scored: products with entries; all others of the queries' products with all entries were avoided."""
         q = queries.astype(np.float64)
         n, q2 = len(q), (q**2).sum(1)
+        length = np.sqrt(q2)
         best = np.full((n, k), -np.inf)
         best_id = np.full((n, k), np.iinfo(np.int64).max)
         slack = 1e-7 * (q2 + self.norm2.max()) + 1e-6
-
-        def above(far_from: np.ndarray, rows: np.ndarray, radius: np.ndarray, longest: np.ndarray) -> np.ndarray:
-            """No score is above this."""
-            return (q2[rows, None] + longest - np.maximum(0, far_from - radius) ** 2) / 2 + slack[rows, None]
-
-        def distance(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-            return np.sqrt(np.maximum(0, q2[rows, None] + (pivots**2).sum(1) - 2 * (q[rows] @ pivots.T)))
+        self.computed, self.avoided, self.scored = 0, 0, 0
+
+        def inside(far: np.ndarray, rows: np.ndarray, pivot2: np.ndarray, radius: np.ndarray) -> np.ndarray:
+            """No vector within radius of a pivot has a higher score: the pivot's own, and the radius along the query."""
+            return (q2[rows, None] + pivot2 - far**2) / 2 + length[rows, None] * radius + slack[rows, None]
+
+        def above(far: np.ndarray, rows: np.ndarray, radius: np.ndarray, longest: np.ndarray) -> np.ndarray:
+            """No vector within radius of a pivot, and no longer than `longest`, has a higher score."""
+            return (q2[rows, None] + longest - np.maximum(0, far - radius) ** 2) / 2 + slack[rows, None]
+
+        def bound(far: np.ndarray, rows: np.ndarray, nodes: slice) -> np.ndarray:
+            """Both; far: the queries' distances to the nodes' pivots, or anything below them."""
+            return np.minimum(above(far, rows, self.radius[nodes], self.longest[nodes]), inside(far, rows, self.pivot2[nodes], self.radius[nodes]))
+
+        def distance(rows: np.ndarray, nodes: slice) -> np.ndarray:
+            self.computed += len(rows) * (nodes.stop - nodes.start)
+            return np.sqrt(np.maximum(0, q2[rows, None] + self.pivot2[nodes] - 2 * (q[rows] @ self.pivot[nodes].T)))
+
+        def products(rows: np.ndarray, own: np.ndarray, may: np.ndarray) -> np.ndarray:
+            """Scores of rows and entries; -inf where there are few that may count and this is none of them."""
+            if 16 * np.count_nonzero(may) >= may.size:
+                self.scored += may.size
+                return q[rows] @ self.vectors[own].T
+            r, c = np.nonzero(may)
+            self.scored += len(r)
+            out = np.full(may.shape, -np.inf)
+            out[r, c] = np.einsum("ij,ij->i", q[rows[r]], self.vectors[own[c]])
+            return out
 
         def visit(page: int, rows: np.ndarray, far: np.ndarray) -> None:
-            a, b = self.page_at[page], self.page_at[page + 1]
+            a, b = self.start[page], self.stop[page]
             # What the stored distances to the pivot rule out is not computed.
-            may = above(np.abs(far[:, None] - self.entry_far[a:b]), rows, np.zeros(1), self.norm2[a:b]) >= best[rows, -1:]
-            own = np.flatnonzero(may.any(0))
-            rows = rows[may.any(1)]
-            if not len(own) or not len(rows):
+            entry_far = self.entry_far[a:b]
+            may = np.minimum(above(np.abs(far[:, None] - entry_far), rows, np.zeros(1), self.norm2[a:b]), inside(far[:, None], rows, self.pivot2[page], entry_far)) >= best[rows, -1:]
+            own, some = np.flatnonzero(may.any(0)), may.any(1)
+            if not len(own):
                 return
-            scores = q[rows] @ self.vectors[a + own].T
+            rows, may = rows[some], may[some][:, own]
+            scores = products(rows, a + own, may)
             first = self.id_at[a + own]
             width = np.minimum(self.id_at[a + own + 1] - first, k + self.id_most[a + own])
             column = np.repeat(np.arange(len(own)), width)
@@ -156,47 +207,45 @@ class Tree:
             top = np.lexsort((all_ids, -all_scores), axis=1)[:, :k]
             best[rows], best_id[rows] = np.take_along_axis(all_scores, top, 1), np.take_along_axis(all_ids, top, 1)
 
-        nodes, pages = len(self.node_radius), len(self.page_radius)
-        # The queue: no score is above this, for each query and node or page that waits; and distances to the pivots.
-        far = np.full((n, nodes + pages), np.nan)
-        queue = np.full((n, nodes + pages), -np.inf)
-        far[:, :nodes] = distance(np.arange(n), self.node_pivot)
-        queue[:, :nodes] = above(far[:, :nodes], np.arange(n), self.node_radius, self.node_norm2)
-        self.computed, self.avoided = 0, 0
+        # The queue: no score is above this, for each query and node that waits; and distances to the pivots.
+        nodes, inner = len(self.radius), len(self.child_at) - 1
+        everyone, root = np.arange(n), slice(0, 1)
+        far = np.full((n, nodes), np.nan)
+        queue = np.full((n, nodes), -np.inf)
+        far[:, root] = distance(everyone, root)
+        queue[:, root] = bound(far[:, root], everyone, root)
 
         def open_node(node: int, rows: np.ndarray) -> None:
-            """Puts the node's pages into the queues of rows, but for pages that the stored distance rules out."""
-            a, b = self.node_at[node], self.node_at[node + 1]
-            stored = np.abs(far[rows, node][:, None] - self.page_far[a:b])
-            may = above(stored, rows, self.page_radius[a:b], self.page_norm2[a:b]) >= best[rows, -1:]
-            self.computed, self.avoided = self.computed + int(may.sum()), self.avoided + int((~may).sum())
+            """Puts the node's children into the queues of rows, but for those that the stored distance rules out."""
+            a, b = int(self.child_at[node]), int(self.child_at[node + 1])
+            stored = np.abs(far[rows, node][:, None] - self.node_far[a:b])
+            may = bound(stored, rows, slice(a, b)) >= best[rows, -1:]
+            self.avoided += int((~may).sum())
             for c in np.flatnonzero(may.any(0)).tolist():
-                some, page = rows[may[:, c]], slice(a + c, a + c + 1)
-                d = distance(some, self.page_pivot[page])
-                far[some, nodes + a + c] = d[:, 0]
-                queue[some, nodes + a + c] = above(d, some, self.page_radius[page], self.page_norm2[page])[:, 0]
+                some, child = rows[may[:, c]], slice(a + c, a + c + 1)
+                d = distance(some, child)
+                far[some, a + c] = d[:, 0]
+                queue[some, a + c] = bound(d, some, child)[:, 0]
 
         def take(rows: np.ndarray, items: np.ndarray) -> None:
             queue[rows, items] = -np.inf
             order = np.argsort(items, kind="stable")
             for part in np.split(order, np.flatnonzero(np.diff(items[order])) + 1):
-                if len(part) and (item := int(items[part[0]])) < nodes:
+                if len(part) and (item := int(items[part[0]])) < inner:
                     open_node(item, rows[part])
                 elif len(part):
-                    visit(item - nodes, rows[part], far[rows[part], item])
+                    visit(item, rows[part], far[rows[part], item])
 
-        # First the best page of the best node, which gives each query a score to beat.
-        active = np.arange(n)
-        take(active, queue[:, :nodes].argmax(1))
-        take(active, nodes + queue[:, nodes:].argmax(1))
-        step = 2
+        # First the best path down to a page, which gives each query a score to beat; then more and more nodes at once.
+        active, step, turn = everyone, 1, 0
         while len(active):
             some = np.argsort(-queue[active], axis=1, kind="stable")[:, :step]
-            bound = np.take_along_axis(queue[active], some, 1)
-            want = (bound >= best[active, -1:]) & (bound > -np.inf)
+            most = np.take_along_axis(queue[active], some, 1)
+            want = (most >= best[active, -1:]) & (most > -np.inf)
             r, c = np.nonzero(want)
             take(active[r], some[r, c])
-            step, active = min(2 * step, 64), active[want[:, 0]]
+            active, turn = active[want[:, 0]], turn + 1
+            step = step if FAN**turn <= nodes else min(2 * step, 64)
         rows, columns = np.nonzero(best > -np.inf)
         return query_ids[rows], best_id[rows, columns], best[rows, columns].astype(np.int64)
 

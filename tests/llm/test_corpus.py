@@ -203,7 +203,7 @@ def test_repeats_across_pieces(spark, monkeypatch):
 
 def test_tree_search_is_exact():
     rng = np.random.default_rng(0)
-    for n, d in ((1500, 64), (1500, 3), (30, 4), (1, 2)):
+    for n, d in ((4096, 64), (1500, 64), (1500, 3), (30, 4), (1, 2)):
         x = np.floor(20 * rng.normal(size=(n, d))).astype(np.int64)
         x[n // 2 : n // 2 + n // 5] = x[0]
         ids = rng.permutation(n) * 3
@@ -257,8 +257,29 @@ def test_stored_distances_avoid_computations():
     a, b, s = tree.search(np.arange(0, 4000, 100), x[::100], 5)
     want = [np.lexsort((np.arange(4000), -np.where(np.arange(4000) == i, -(2**60), x @ x[i])))[:5] for i in range(0, 4000, 100)]
     assert b.reshape(-1, 5).tolist() == [w.tolist() for w in want]
-    # Pages whose distance was worked out are fewer than all pages of all queries, and some were left out by the stored bound.
-    assert tree.avoided > 0 and tree.computed < 40 * len(tree.page_radius)
+    # Fewer distances to pivots were worked out than all nodes of all queries, some were left out by the stored bound, and few entries were scored.
+    assert tree.avoided > 0 and tree.computed < 40 * len(tree.radius) and tree.scored < 40 * len(tree.vectors) / 4
+
+
+def test_tree_has_levels_that_cover_what_is_below():
+    rng = np.random.default_rng(5)
+    tree = mtree.Tree.build(np.arange(3000), rng.integers(-50, 50, (3000, 6)))
+    inner = len(tree.child_at) - 1
+    assert tree.child_at[-1] == len(tree.radius) and (tree.stop - tree.start)[inner:].max() <= mtree.PAGE
+    depth, node = 1, 0
+    while node < inner:
+        depth, node = depth + 1, int(tree.child_at[node])
+    assert depth == 4
+    for k in range(len(tree.radius)):
+        own = tree.vectors[tree.start[k] : tree.stop[k]]
+        far = np.sqrt(((own - tree.pivot[k]) ** 2).sum(1))
+        assert far.max() == tree.radius[k] and (own**2).sum(1).max() == tree.longest[k]
+        if k >= inner:
+            assert (far == tree.entry_far[tree.start[k] : tree.stop[k]]).all()
+            continue
+        a, b = tree.child_at[k], tree.child_at[k + 1]
+        assert tree.start[a] == tree.start[k] and tree.stop[b - 1] == tree.stop[k] and (tree.start[a + 1 : b] == tree.stop[a : b - 1]).all()
+        assert np.allclose(tree.node_far[a:b], np.sqrt(((tree.pivot[a:b] - tree.pivot[k]) ** 2).sum(1)))
 
 
 def test_search_leaves_out_what_has_no_numbers(spark):
