@@ -57,8 +57,18 @@ def fixed(c: Column, places: int, grouped: bool = False) -> Column:
 
 
 def significant(c: Column, digits: int = 3) -> Column:
-    """A number with so many significant digits and no trailing zeros, 0.00123 or 12.3; beyond that 1.23e+08 or 1.23e-05."""
+    """A number with so many significant digits and no trailing zeros, 0.00123 or 12.3; beyond that 1.23e+08 or 1.23e-05.
+
+    Half to even where the number lies halfway between two such numbers; decimals that no double holds exactly, such as 12.35, go up."""
     x = c.cast("double")
+    # format_string takes halves up. Of an exact half after an even digit a little is taken off, less than the 17 digits looked at.
+    shown = F.format_string("%.16e", F.abs(x))
+    mantissa = F.replace(F.regexp_extract(shown, "^([^e]*)", 1), F.lit("."))
+    half = F.substring(mantissa, digits + 1, 17) == "5" + "0" * (16 - digits)
+    after_even = F.substring(mantissa, digits, 1).isin(*"02468")
+    # Times a power of two no digit is lost, so this is whole only if the half is exact.
+    doubled = x * F.pow(F.lit(2.0), F.greatest(F.lit(0), digits - F.regexp_extract(shown, r"e([+-]\d+)$", 1).try_cast("int")))
+    x = F.when(half & after_even & (doubled == F.rint(doubled)), x * (1 - 2.0**-50)).otherwise(x)
     whole = F.format_string(f"%.{digits - 1}e", x)
     power = F.regexp_extract(whole, r"e([+-]\d+)$", 1).try_cast("int")
     bare = lambda t: F.when(F.instr(t, ".") > 0, F.regexp_replace(t, r"\.?0+$", "")).otherwise(t)

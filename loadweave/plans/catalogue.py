@@ -73,6 +73,38 @@ def hour_end_rollup(spark, sf_dir):
     return rounded(rollup.hourly_rollup(read(spark, sf_dir, "events"), ["event_type"], ["value"]))
 
 
+@query(
+    "SELECT event_type, date_trunc('hour', ts + INTERVAL 59 MINUTE) AS ts, round_even(sum(value * (1 + user_id % 7)), 6) AS value, "
+    "round_even(sum(2.5 * (1 + user_id % 7)), 6) AS uses FROM events GROUP BY ALL"
+)
+def weighted_hour_end_rollup(spark, sf_dir):
+    """Hourly totals of weighted loads: each event counts for its user's weight."""
+    weighted = read(spark, sf_dir, "events").select("event_type", "ts", "value", F.lit(2.5).alias("uses"), (1.0 + F.col("user_id") % 7).alias("weight"))
+    return rounded(rollup.hourly_rollup(weighted, ["event_type"], ["value", "uses"], weight="weight"))
+
+
+_IN_STATES = (
+    "round_even(sum(c_acctbal * (1 + c_custkey % 3)) / 1000, 6) AS hvac_mwh "
+    "FROM (SELECT ['AK', 'HI', 'VT', 'CA', NULL][1 + c_nationkey % 5] AS state, c_custkey, c_mktsegment, c_acctbal FROM customer)"
+)
+
+
+@query(
+    f"SELECT 'named' AS run, c_mktsegment, {_IN_STATES} WHERE state IN ('CA', 'VT') GROUP BY c_mktsegment "
+    f"UNION ALL SELECT 'test', c_mktsegment, {_IN_STATES} WHERE state = 'VT' GROUP BY c_mktsegment "
+    f"UNION ALL SELECT 'all', c_mktsegment, {_IN_STATES} WHERE state IS NULL OR state NOT IN ('AK', 'HI') GROUP BY c_mktsegment"
+)
+def rollup_in_scope(spark, sf_dir):
+    """The metadata rollup of a run of named states, of a test run, and of a run without either; two states are in none of them."""
+    state = F.element_at(F.array(*[F.lit(x) for x in ("AK", "HI", "VT", "CA", None)]), (F.col("c_nationkey") % 5 + 1).cast("int"))
+    weight = (1.0 + F.col("c_custkey") % 3).alias("weight")
+    buildings = read(spark, sf_dir, "customer").select(state.alias("state"), "c_mktsegment", "c_acctbal", weight, F.lit(0.0).alias("gas"))
+    runs = {"named": readers.RunConfig(states=("CA", "VT", "HI")), "test": readers.RunConfig(test_mode=True), "all": readers.RunConfig()}
+    totals = lambda config: rollup.metadata_rollup(config.scope(buildings), ["c_mktsegment"], ["c_acctbal"], ["gas"])
+    found = [totals(config).select(F.lit(name).alias("run"), "c_mktsegment", "hvac_mwh") for name, config in runs.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query("SELECT event_id, make_timestamp((epoch_us(ts) * 1000) // 1000) AS stamp FROM events")
 def epoch_nanos_to_ts(spark, sf_dir):
     nanos = read(spark, sf_dir, "events").select("event_id", (F.unix_micros(F.col("ts").cast("timestamp")) * 1000).alias("n"))
@@ -514,6 +546,34 @@ def string_kit(spark, sf_dir):
     )
 
 
+@query(
+    "WITH v AS (SELECT p_partkey, replace(lower(p_name), ' ', chr(39)) || '-' || upper(p_type) AS name, sqrt(p_retailprice) AS share, sqrt(p_retailprice) * power(10, p_size % 13 - 7) AS any_size FROM part) "
+    "SELECT p_partkey, array_to_string(list_transform(regexp_extract_all(name, '[A-Za-z]+|[^A-Za-z]+'), lambda x: upper(x[1]) || lower(x[2:])), '') AS title, "
+    "format('{:.2f}', share) AS two_places, format('{:,.3f}', share * 1000) AS grouped, format('{:.3g}', any_size) AS three_digits FROM v"
+)
+def text_formats(spark, sf_dir):
+    """Title case after any mark, and numbers as reports show them."""
+    name = F.concat(F.replace(F.lower("p_name"), F.lit(" "), F.lit("'")), F.lit("-"), F.upper("p_type"))
+    share = F.sqrt("p_retailprice")
+    any_size = share * F.pow(F.lit(10.0), F.col("p_size") % 13 - 7)
+    return read(spark, sf_dir, "part").select(
+        "p_partkey", text.title_case(name).alias("title"), text.fixed(share, 2).alias("two_places"),
+        text.fixed(share * 1000, 3, grouped=True).alias("grouped"), text.significant(any_size).alias("three_digits"),
+    )
+
+
+@query(
+    "WITH t AS (SELECT n_regionkey, n_nationkey, n_name FROM nation) SELECT n_nationkey, place::INTEGER AS place, "
+    "CASE place WHEN 0 THEN n_regionkey::VARCHAR WHEN 1 THEN 'r' || n_regionkey || 'n' || n_nationkey WHEN 2 THEN n_nationkey::VARCHAR ELSE n_name END AS cell FROM t, range(4) p(place)"
+)
+def column_inserted_at_place(spark, sf_dir):
+    """A column put in second place; every cell with the place that its column has."""
+    df = read(spark, sf_dir, "nation").select("n_regionkey", "n_nationkey", "n_name")
+    wide = relational.inserted(df, 1, "key", F.concat(F.lit("r"), "n_regionkey", F.lit("n"), "n_nationkey"))
+    cells = F.array(*[F.col(c).cast("string") for c in wide.columns])
+    return wide.select("n_nationkey", F.posexplode(cells).alias("place", "cell"))
+
+
 @query("SELECT s_suppkey, CASE s_nationkey % 6 WHEN 1 THEN 'AL' WHEN 2 THEN 'AK' WHEN 4 THEN 'AZ' WHEN 5 THEN 'AR' END AS state FROM supplier")
 def fips_to_state(spark, sf_dir):
     return read(spark, sf_dir, "supplier").select("s_suppkey", text.state_of(F.concat(F.lit("G0"), F.col("s_nationkey") % 6, F.lit("00010"))).alias("state"))

@@ -360,7 +360,7 @@ def test_keys_as_text_do_not_clash(spark):
 def test_title_case_and_number_formats(spark):
     df = spark.createDataFrame([("o'BRIEN-smith of x2y",), ("",), (None,)], "s string")
     assert [r[0] for r in df.select(text.title_case(F.col("s"))).collect()] == ["O'Brien-Smith Of X2Y", "", None]
-    numbers = [0.0, 1.0, -1234.5678, 0.00012345, 1e-7, 999.6, 12.0, 123456789.0, 0.5, None, float("nan")]
+    numbers = [0.0, 1.0, -1234.5678, 0.00012345, 1e-7, 999.6, 12.0, 123456789.0, 0.5, 130500.0, -131500.0, 900.5, 901.5, 10.25, 10.75, 1.125, 1.375, 0.0009765625, None, float("nan")]
     df = spark.createDataFrame([(v,) for v in numbers], "v double")
     got = [r[0] for r in df.select(text.significant(F.col("v"))).collect()]
     assert got == [None if v is None or v != v else f"{v:.3g}" for v in numbers]
