@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import pct_diff
 from ..operators import relational, series, stats
+from ..sources.scratch import written
 
 #: Cells of a scatter in each direction.
 CELLS = 60
@@ -22,8 +23,10 @@ _W, _H, _M = 480, 360, 46
 def cells(pairs: DataFrame, of: Column, bins: int = CELLS) -> DataFrame:
     """of, x, y, n, low, high, mae, nmae: how many points (ref, reg) of each scatter lie in each cell of its grid from low to high.
 
-    Only points with both values. `of` tells the scatters apart; a scatter whose values are all one has one cell."""
-    known = pairs.select(of.alias("of"), "ref", "reg").where(F.col("ref").isNotNull() & F.col("reg").isNotNull())
+    Only points with both values. `of` tells the scatters apart; a scatter whose values are all one has one cell.
+    Points are written when this is called: sums of doubles that are computed twice may differ in the last digit, and the lowest
+    point would then lie below its own grid."""
+    known = written(pairs.select(of.alias("of"), "ref", "reg").where(F.col("ref").isNotNull() & F.col("reg").isNotNull()))
     errors = stats.errors(known, ["of"]).select("of", "mae", "nmae")
     limits = known.groupBy("of").agg(F.min(F.least("ref", "reg")).alias("low"), F.max(F.greatest("ref", "reg")).alias("high"))
     cell = lambda v: F.when(F.col("high") > F.col("low"), F.least(F.lit(bins - 1), F.floor((F.col(v) - F.col("low")) / (F.col("high") - F.col("low")) * bins))).otherwise(0).cast("int")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import re
 import xml.etree.ElementTree as ET
 
@@ -56,6 +57,16 @@ def test_cells_hold_all_points(spark):
     assert charts.draw("hourly scatter", charts.cells(df.limit(0), F.lit("a"))) == ""
 
 
+def test_cells_read_the_same_points_for_limits_and_places(spark):
+    """Values that differ in their last digits each time they are computed, as sums of doubles may."""
+    noisy = F.udf(lambda v: v + int.from_bytes(os.urandom(2)) * 1e-13, "double").asNondeterministic()
+    df = spark.range(400).select((F.col("id") % 40).alias("of"), noisy((F.col("id") / 40).cast("int") + F.lit(1.0)).alias("ref"), F.lit(20.0).alias("reg"))
+    got = charts.cells(df, F.col("of")).collect()
+    assert sum(r["n"] for r in got) == 400
+    assert {(r["x"], r["y"]) for r in got if r["x"] < 3} == {(0, 59)} and all(0 <= r["x"] < charts.CELLS for r in got)
+    assert sum(r["x"] == 0 for r in got) == 40
+
+
 def test_fit_charts(spark):
     df = spark.createDataFrame([("g", "hvac", T0 + k * H, float(k), float(k + 1)) for k in range(50)], "k string, target string, ts timestamp_ntz, predicted double, actual double")
     points = charts.fit_points(df)
