@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.dates import SEASONS, season
@@ -11,6 +11,8 @@ from .ranking import with_next
 
 #: Hours of a year without a leap day.
 YEAR_HOURS = 8760
+#: Missing ranges that a row stands for at most while they are dealt out.
+STRETCH = 10_000
 
 
 def along(keys: list[str], ts: str = "ts") -> WindowSpec:
@@ -123,13 +125,30 @@ def summary(ranges: DataFrame, start: str, end: str, keys: list[str] | None = No
     return of.select(*(keys or []), "n", F.col(f"a.{start}").alias("first_start"), F.col(f"a.{end}").alias("first_end"), F.col(f"z.{start}").alias("last_start"), F.col(f"z.{end}").alias("last_end"))
 
 
-def gaps(ranges: DataFrame, start: str, end: str, step: int, keys: list[str] | None = None) -> DataFrame:
-    """Start and end of every range that is missing between neighbours, in steps; `whole` tells if the last of them ends where the next begins.
+def stretches(ranges: DataFrame, start: str, end: str, step: int, keys: list[str] | None = None) -> DataFrame:
+    """keys, _end, _next, _from, _to: what is missing between neighbours (one's end, the next one's start), cut into stretches; each stands
+    for _from, _from + step, and so on up to _to.
 
-    Without keys neighbours are found by ranges of start, which are written when this is called, so no task sees all rows."""
+    Neighbours may be far apart, and a stretch has STRETCH steps at most, so stretches can be dealt out evenly. Without keys neighbours
+    are found by ranges of start, which are written when this is called, so no task sees all rows."""
     if keys:
         nexts = ranges.withColumn("_next", F.lead(start).over(Window.partitionBy(*keys).orderBy(start)))
     else:
         nexts = with_next(ranges, start, "_next")
-    out = nexts.where(F.col("_next") > F.col(end)).withColumn("gap_start", F.explode(F.sequence(F.col(end), F.col("_next") - 1, F.lit(step))))
-    return out.select(*(keys or []), "gap_start", F.least(F.col("gap_start") + step, F.col("_next")).alias("gap_end"), ((F.col("_next") - F.col(end)) % step == 0).alias("whole"))
+    last, steps = F.col("_next") - 1, max(1, min(STRETCH, (2**31 - 1) // step))
+    out = nexts.where(F.col("_next") > F.col(end)).withColumn("_from", F.explode(F.sequence(F.col(end), last, F.lit(step * steps))))
+    return out.select(*(keys or []), F.col(end).alias("_end"), "_next", "_from", (F.col("_from") + F.least(last - F.col("_from"), F.lit(step * (steps - 1)))).alias("_to"))
+
+
+def gaps(ranges: DataFrame, start: str, end: str, step: int, keys: list[str] | None = None) -> DataFrame:
+    """Start and end of every range that is missing between neighbours, in steps; `whole` tells if the last of them ends where the next begins.
+
+    Stretches are dealt out to a given number of tasks, which adaptive execution does not merge though they are small."""
+    found = stretches(ranges, start, end, step, keys)
+    dealt = found.repartition(partitions(found.sparkSession), *(keys or []), "_from")
+    out = dealt.withColumn("gap_start", F.explode(F.sequence("_from", "_to", F.lit(step))))
+    return out.select(*(keys or []), "gap_start", F.least(F.col("gap_start") + step, F.col("_next")).alias("gap_end"), ((F.col("_next") - F.col("_end")) % step == 0).alias("whole"))
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

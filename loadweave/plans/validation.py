@@ -101,7 +101,9 @@ def report(ref: DataFrame, reg: DataFrame, zones: DataFrame, title: str, targets
 
 def files_report(files: DataFrame, step: int) -> DataFrame:
     """line, by prefix and upgrade: how many chunk files there are, the first and the last, the ranges that are missing, and places where
-    a file does not end where the next one begins. files: prefix, upgrade, start, end (readers.chunk_files)."""
+    a file does not end where the next one begins. files: prefix, upgrade, start, end (readers.chunk_files).
+
+    Rows are sorted while one of them still stands for a stretch of missing ranges; their lines follow in place."""
     keys = ["prefix", "upgrade"]
     name = lambda a, b: writers.chunk_name("", "", F.col("upgrade"), F.col(a), F.col(b))
     named = lambda a, b: F.concat("prefix", name(a, b))
@@ -111,11 +113,15 @@ def files_report(files: DataFrame, step: int) -> DataFrame:
         F.concat(F.lit("Total files found: "), F.col("n").cast("string")),
         F.concat(F.lit("First file: "), named("first_start", "first_end")), F.concat(F.lit("Last file: "), named("last_start", "last_end")),
     )
-    line = lambda df, order, text: df.select(*keys, F.lit(order).alias("part"), F.col("at").cast("long").alias("at"), text.alias("line"))
-    lines = line(of.select(*keys, F.posexplode(heads).alias("at", "text")), 0, F.col("text"))
-    missing = series.gaps(files, "start", "end", step, keys)
-    lines = lines.unionByName(line(missing.withColumn("at", F.col("gap_start")), 1, F.concat(F.lit("Missing: "), named("gap_start", "gap_end"))))
+    whole = lambda c: F.col(c).cast("long").alias(c)
+    row = lambda df, part, text: df.select(*keys, F.lit(part).alias("part"), whole("_from"), whole("_to"), whole("_next"), text.alias("text"))
+    line = lambda df, part, at: row(df.withColumns({"_from": F.col(at), "_to": F.col(at), "_next": F.lit(None)}), part, F.col("text"))
+    rows = line(of.select(*keys, F.posexplode(heads).alias("at", "text")), 0, "at")
+    rows = rows.unionByName(row(series.stretches(files, "start", "end", step, keys), 1, F.lit(None).cast("string")))
     neighbours = files.withColumns({c: F.lead(d).over(Window.partitionBy(*keys).orderBy("start")) for c, d in (("next_start", "start"), ("next_end", "end"))})
-    off = neighbours.where("next_start <> end").withColumn("at", F.col("start"))
-    lines = lines.unionByName(line(off, 2, F.concat(F.lit("Misaligned: "), named("start", "end"), F.lit(" -> "), named("next_start", "next_end"))))
-    return lines.orderBy(*keys, "part", "at").select("line")
+    off = neighbours.where("next_start <> end").withColumn("text", F.concat(F.lit("Misaligned: "), named("start", "end"), F.lit(" -> "), named("next_start", "next_end")))
+    rows = rows.unionByName(line(off, 2, "start"))
+    order = [*keys, "part", "_from"]
+    dealt = rows.repartitionByRange(series.partitions(files.sparkSession), *order).sortWithinPartitions(*order)
+    each = dealt.withColumn("gap_start", F.explode_outer(F.sequence("_from", "_to", F.lit(step)))).withColumn("gap_end", F.least(F.col("gap_start") + step, F.col("_next")))
+    return each.select(F.when(F.col("part") == 1, F.concat(F.lit("Missing: "), named("gap_start", "gap_end"))).otherwise(F.col("text")).alias("line"))

@@ -101,3 +101,15 @@ def test_report_on_chunk_files(spark):
         "Missing: res_meta_upgrade1_0030-0045.csv", "Missing: res_meta_upgrade1_0045-0060.csv",
         "Misaligned: res_meta_upgrade1_0015-0030.csv -> res_meta_upgrade1_0060-0075.csv", "Misaligned: res_meta_upgrade1_0060-0075.csv -> res_meta_upgrade1_0070-0085.csv",
     ]
+
+
+def test_far_apart_files_are_reported_by_many_tasks(spark):
+    """One gap of 120,000 missing ranges: lines in their order, made by more than one task."""
+    far = 120_000 * 15 + 15
+    lines = validation.files_report(spark.createDataFrame([("a", 1, 0, 15), ("a", 1, far + 5, far + 20), ("b", 0, 0, 15)], "prefix string, upgrade int, start int, end int"), 15)
+    got = [r["line"] for r in lines.collect()]
+    missing = [f"Missing: a_upgrade1_{k:04}-{min(k + 15, far + 5):04}.csv" for k in range(15, far + 5, 15)]
+    assert got[:4] == ["Results for a (upgrade 1):", "Total files found: 2", "First file: a_upgrade1_0000-0015.csv", f"Last file: a_upgrade1_{far + 5}-{far + 20}.csv"]
+    assert got[4:-5] == missing and got[-5] == f"Misaligned: a_upgrade1_0000-0015.csv -> a_upgrade1_{far + 5}-{far + 20}.csv"
+    by_task = [r["count"] for r in lines.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert len(by_task) > 1 and max(by_task) < 0.7 * len(got)

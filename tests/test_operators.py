@@ -97,6 +97,17 @@ def test_gaps(spark):
     assert values(series.gaps(df, "s", "e", 15), "gap_start", "gap_end", "whole") == [(30, 45, True), (45, 60, True), (75, 80, False)]
 
 
+@pytest.mark.parametrize("keys", [None, ["k"]])
+def test_large_gap_is_dealt_out(spark, keys):
+    """A gap of 60,001 ranges between two neighbours, the last one cut short; no task has it to itself."""
+    df = spark.createDataFrame([(1, 0, 15), (1, 900_020, 900_035)], "k int, s int, e int")
+    out = series.gaps(df, "s", "e", 15, keys)
+    assert dict(out.dtypes) | {"k": "int"} == {"k": "int", "gap_start": "int", "gap_end": "int", "whole": "boolean"}
+    assert sorted(tuple(r) for r in out.select("gap_start", "gap_end", "whole").collect()) == [(g, min(g + 15, 900_020), False) for g in range(15, 900_020, 15)]
+    by_task = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert len(by_task) > 1
+
+
 def test_chunks_follow_key_order(spark):
     df = spark.createDataFrame([(f"k{i:03}",) for i in range(100)] * 2, "k string").repartition(7)
     assert values(rollup.chunked(df, ["k"], 30), "k", "chunk") == [(f"k{i:03}", i // 30) for i in range(100)]
